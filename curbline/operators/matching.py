@@ -10,7 +10,8 @@ Physical strategy, chosen from a measured size:
 * The segment-side table (bounded by the number of street segments, not by the
   number of tickets) is measured with one aggregate. Under
   ``policy.broadcast_max_bytes`` it is broadcast; tickets then stream through
-  the hash join without any shuffle of raw tickets.
+  the hash join without any shuffle of raw tickets. (An input with fewer
+  partitions than cores is rebalanced at its source, right after the scan.)
 * Over the bound, tickets are first pre-aggregated to distinct
   (address, year) probes with a count (map-side combine, so hot addresses
   collapse before the shuffle), and joined with a shuffle join. House-number
@@ -143,15 +144,17 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
 
     narrow_bc = stats.narrow_bytes <= policy.broadcast_max_bytes
     wide_bc = stats.wide_bytes <= policy.broadcast_max_bytes
-
     def prepared(broadcast: bool) -> DataFrame:
         if by_ticket:
             return probes.select(*probe_cols, "ticket_id")
-        if broadcast:
+        stream = broadcast
+        if policy.preaggregate != "auto":
+            stream = policy.preaggregate == "never"
+        if stream:
             # stream raw probes through the broadcast hash join; the counts
             # are combined map-side after the join
             return probes.select(*probe_cols, F.lit(1).cast("bigint").alias("n"))
-        # shuffle join: combine duplicate addresses before they are shuffled
+        # combine duplicate addresses (map-side first) before the shuffle
         return probes.groupBy(*probe_cols).agg(F.count(F.lit(1)).alias("n"))
 
     parts = []

@@ -59,6 +59,9 @@ class MatchPolicy:
     broadcast_max_bytes
                     the segment-side table is broadcast only when its measured
                     size is below this bound; otherwise a shuffle join is used.
+    preaggregate    ``auto``: stream raw tickets through a broadcast join, but
+                    collapse them to distinct probes with a count before a
+                    shuffle join; ``always`` / ``never`` force the choice.
     """
 
     name: str = "canonical"
@@ -78,6 +81,7 @@ class MatchPolicy:
     bin_width: int | None = 10
     max_bins: int = 64
     broadcast_max_bytes: int = 128 * 1024 * 1024
+    preaggregate: str = "auto"
 
     def __post_init__(self) -> None:
         checks = (
@@ -100,6 +104,8 @@ class MatchPolicy:
             raise ValueError("years must be a non-empty sequence of distinct years")
         if self.bin_width is not None and self.bin_width <= 0:
             raise ValueError("bin_width must be positive or None")
+        if self.preaggregate not in ("auto", "always", "never"):
+            raise ValueError("preaggregate must be auto, always or never")
         if self.max_bins < 1:
             raise ValueError("max_bins must be >= 1")
 
