@@ -112,7 +112,9 @@ def measure_sides(sides_blocked: DataFrame, policy: MatchPolicy) -> SideStats:
 
 def _join(probes: DataFrame, sides: DataFrame, keys: list[str], policy: MatchPolicy,
           broadcast: bool, payload: list[str]) -> DataFrame:
-    p, s = probes.alias("p"), (F.broadcast(sides) if broadcast else sides).alias("s")
+    # Over the measured bound the join is pinned to sort-merge (which can spill),
+    # so that an optimistic size estimate cannot turn it into a broadcast.
+    p, s = probes.alias("p"), (F.broadcast(sides) if broadcast else sides.hint("merge")).alias("s")
     cond = [F.col(f"p.{k}") == F.col(f"s.{k}") for k in keys]
     cond.append(match_condition(policy))
     return p.join(s, cond, "inner").select(
