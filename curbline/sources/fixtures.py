@@ -24,24 +24,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def rebalanced(df: DataFrame) -> DataFrame:
+def rebalanced(df: DataFrame, key: str) -> DataFrame:
     """Spread an under-partitioned input over the cluster's cores.
 
     A single large row group is read by one task, and every narrow operator
     after it would run in that task too. When the input has fewer partitions
-    than there are cores, a round-robin repartition right after the scan
-    parallelises the per-row work; inputs that are already split (the normal
-    case for large data) are returned unchanged.
+    than there are cores, a hash repartition on a high-cardinality ``key``
+    right after the scan parallelises the per-row work. (Hash, not
+    round-robin: round-robin sorts every row first to stay deterministic on
+    retry.) Inputs that are already split, the normal case for large data,
+    are returned unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def fixture_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to part: one ticket per line item (raw text fields)."""
     li = rebalanced(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
-    ))
+    ), "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     qty = F.col("l_quantity").cast("bigint").cast("string")
     house = (

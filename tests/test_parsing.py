@@ -71,3 +71,14 @@ def test_side_range(spark, mode, lo, hi, expected):
     parts = side_range(F.col("lo"), F.col("hi"), mode)
     row = df.select(*[c.alias(f"c{i}") for i, c in enumerate(parts)]).first()
     assert tuple(row) == expected
+
+
+@pytest.mark.parametrize("text", ["125", "70-23", "71-", "-5", "25-3-1", "7-A", "A-5", "12A", "", "1--2",
+                                  "9" * 19 + "-1", "1-" + "9" * 19, " 1-2", "1-2 ", None])
+def test_house_first_two_equals_split_then_strict(spark, text):
+    from curbline.functions.parsing import house_first_two
+    df = spark.createDataFrame([(text,)], "x string")
+    a, b = split_first_two(F.col("x"))
+    c, d = house_first_two(F.col("x"))
+    row = df.select(strict_int(a).alias("a"), strict_int(b).alias("b"), c.alias("c"), d.alias("d")).first()
+    assert (row["a"], row["b"]) == (row["c"], row["d"])
