@@ -80,9 +80,12 @@ def ticket_probes(tickets: DataFrame, policy: MatchPolicy) -> DataFrame:
     else:
         probes = tickets.select("*", F.lit(0).alias("kind"))
         is_left = hn % 2 == 1
-    probes = probes.withColumn("is_left", is_left)
+    # hn is never NULL here (normalize_tickets drops those rows). The coalesce
+    # only tells Catalyst that the join keys are not nullable, so it does not
+    # infer extra IS NOT NULL filters that re-evaluate the house-number parse.
+    probes = probes.withColumn("is_left", F.coalesce(is_left, F.lit(False)))
     if policy.bin_width:
-        probes = probes.withColumn("bin", block_of(hn, policy.bin_width))
+        probes = probes.withColumn("bin", F.coalesce(block_of(hn, policy.bin_width), F.lit(-1).cast("bigint")))
     return probes
 
 
