@@ -412,5 +412,31 @@ FLAGSHIP_POLICY = CANON.with_(order_by_id=True)
 QUERIES["report_sorted"] = _report_query(FLAGSHIP_POLICY)
 ORACLES["report_sorted"] = O.report_sql(FLAGSHIP_POLICY)
 
+# The path a large segment table takes: no broadcast (measured size over the
+# bound), probes pre-aggregated map-side, sort-merge join on the four keys.
+SHUFFLE_POLICY = CANON.with_(broadcast_max_bytes=0)
+QUERIES["match_canonical_shuffle_join"] = _report_query(SHUFFLE_POLICY)
+ORACLES["match_canonical_shuffle_join"] = O.report_sql(CANON)
+
+
+def q_report_lines(spark, sf):
+    """The text sink's line format: fields joined by ', '."""
+    rep = segment_report(fixture_tickets(spark, sf), fixture_segments(spark, sf), CANON)
+    return rep.select(F.concat_ws(", ", *[F.col(c).cast("string") for c in rep.columns]).alias("line"))
+
+
+def q_report_count(spark, sf):
+    """The count sink: number of report rows."""
+    rep = segment_report(fixture_tickets(spark, sf), fixture_segments(spark, sf), CANON)
+    return rep.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_REPORT = O.report_sql(CANON)
+QUERIES["report_lines"] = q_report_lines
+ORACLES["report_lines"] = (f"SELECT concat_ws(', ', segment_id, {', '.join(CANON.count_columns)}, slope) AS line "
+                           f"FROM ({_REPORT})")
+QUERIES["report_count"] = q_report_count
+ORACLES["report_count"] = f"SELECT count(*) AS n_rows FROM ({_REPORT})"
+
 assert set(QUERIES) == set(ORACLES)
 assert set(PRESETS) >= set(REPORT_PRESETS)

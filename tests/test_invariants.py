@@ -16,7 +16,7 @@ ticket = st.tuples(house, st.sampled_from(STREETS), st.sampled_from(["2015", "20
                    st.sampled_from(["NY", "BX", "KINGS"]), st.integers(0, 5))
 segment = st.tuples(end, end, end, end, st.sampled_from(STREETS), st.sampled_from(["1", "2", "3"]))
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def frames(spark, tix, segs):

@@ -16,7 +16,7 @@ def con():
 
 def test_registry_complete():
     assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
-    assert len(NAMES) >= 30
+    assert len(NAMES) >= 33
 
 
 @pytest.mark.parametrize("name", NAMES)
