@@ -89,3 +89,23 @@ def test_report_from_csv_and_sinks(spark):
     lines = sorted(spark.read.text(os.path.join(out, "txt")).collect())
     assert [r[0] for r in lines] == ["10, 1, 0, 0, 0, 1, 0.0", "11, 0, 0, 0, 0, 0, 0.0"]
     assert spark.read.csv(os.path.join(out, "csv")).count() == 2
+
+
+def test_command_line(spark, capsys):
+    from curbline.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="curbline-cli-")
+    header = [f"h{i}" for i in range(TICKET_WIDTH)]
+    write_csv(os.path.join(d, "t.csv"), header, [ticket("1", "06/14/2017", "BX", "41", "Elm St"),
+                                                 ticket("2", "06/14/2018", "BX", "43", "ELM ST")])
+    seg = positional_line(SEGMENT_FIELDS, SEGMENT_WIDTH, dict(
+        segment_id="7", l_low="1", l_high="99", r_low="2", r_high="98", street_label="ELM ST",
+        boro_code="2", full_street="ELM ST", alt_label=""))
+    write_csv(os.path.join(d, "s.csv"), [f"h{i}" for i in range(SEGMENT_WIDTH)], [seg])
+    tickets, segments = os.path.join(d, "t.csv"), os.path.join(d, "s.csv")
+    assert main(["--tickets", tickets, "--segments", segments, "--format", "count"]) == 0
+    assert capsys.readouterr().out.strip() == "1"
+    out = os.path.join(d, "out")
+    assert main(["--tickets", tickets, "--segments", segments, "--out", out, "--format", "text",
+                 "--preset", "side_unpivot"]) == 0
+    assert [r[0] for r in spark.read.text(out).collect()] == ["7, 0, 0, 1, 1, 0, 0.1"]  # (0*-2 + 0*-1 + 1*0 + 1*1 + 0*2) / 10
