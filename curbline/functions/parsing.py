@@ -43,6 +43,17 @@ def strict_int(c: Column) -> Column:
     return F.when(c.rlike(_STRICT_INT), c.cast("bigint"))
 
 
+def house_number_parses(c: Column, ticket_split: str) -> Column:
+    """True exactly when the house number's base part parses (``hn`` is not
+    NULL), as one regular expression on the raw text; cheaper than testing
+    the parsed column when the text itself is a computed expression."""
+    if ticket_split == "first_two":
+        return c.rlike(r"^[0-9]{1,18}(-|\z)")
+    if ticket_split == "strict_tuple":
+        return c.rlike(r"^[0-9]{1,18}(-[0-9]{1,18})*\z")
+    raise ValueError(f"unknown ticket split {ticket_split!r}")
+
+
 def year_suffix(c: Column) -> Column:
     """Last four characters of an issue-date text (the year)."""
     return F.substring(c, -4, 4)

@@ -9,6 +9,7 @@ from curbline.functions.parsing import (
     borough_code,
     fold,
     house_first_two,
+    house_number_parses,
     strict_tuple,
     year_suffix,
 )
@@ -38,15 +39,9 @@ def valid_ticket_condition(policy: MatchPolicy):
     )
 
 
-def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bool = True) -> DataFrame:
-    """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix).
-
-    ``hn`` is NULL when the base number is not a plain integer; such a ticket
-    can never fall inside a range, so it is dropped here (before any shuffle)
-    unless ``drop_unparsed`` is False.
-    """
+def _normalized(policy: MatchPolicy):
     hn, hn_suffix = house_number_parts(F.col("house_number"), policy.ticket_split)
-    out = tickets.where(valid_ticket_condition(policy)).select(
+    return (
         F.col("ticket_id"),
         year_suffix(F.col("issue_date")).cast("int").alias("year"),
         borough_code(F.col("county"), policy.aliases).alias("boro"),
@@ -54,6 +49,17 @@ def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bo
         hn.alias("hn"),
         hn_suffix.alias("hn_suffix"),
     )
+
+
+def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bool = True) -> DataFrame:
+    """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix).
+
+    ``hn`` is NULL when the base number is not a plain integer; such a ticket
+    can never fall inside a range, so it is dropped here (before any shuffle)
+    unless ``drop_unparsed`` is False.
+    """
+    keep = valid_ticket_condition(policy)
     if drop_unparsed:
-        out = out.where(F.col("hn").isNotNull())
-    return out
+        # the same rows as "hn IS NOT NULL", tested on the raw text
+        keep = keep & house_number_parses(F.col("house_number"), policy.ticket_split)
+    return tickets.where(keep).select(*_normalized(policy))

@@ -82,3 +82,17 @@ def test_house_first_two_equals_split_then_strict(spark, text):
     c, d = house_first_two(F.col("x"))
     row = df.select(strict_int(a).alias("a"), strict_int(b).alias("b"), c.alias("c"), d.alias("d")).first()
     assert (row["a"], row["b"]) == (row["c"], row["d"])
+
+
+@pytest.mark.parametrize("split", ["first_two", "strict_tuple"])
+def test_house_number_parses_equals_not_null(spark, split):
+    from curbline.functions.parsing import house_number_parses
+    from curbline.operators.tickets import house_number_parts
+    texts = ["125", "70-23", "71-", "-5", "25-3-1", "7-A", "A-5", "12A", "", "1--2", " 1", "1 ", "+1",
+             "9" * 18, "9" * 19, "9" * 19 + "-1", "1-" + "9" * 19, "12\n", "0", "00-00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    hn, _ = house_number_parts(F.col("x"), split)
+    rows = df.select("x", hn.isNotNull().alias("a"), F.coalesce(house_number_parses(F.col("x"), split),
+                                                                F.lit(False)).alias("b")).collect()
+    for r in rows:
+        assert r["a"] == r["b"], (split, r["x"])
