@@ -35,8 +35,12 @@ def rebalanced(df: DataFrame, key: str) -> DataFrame:
     retry.) Inputs that are already split, the normal case for large data,
     are returned unchanged.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no partition count; leave as is
+        return df
+    return df.repartition(cores, key) if parts < cores else df
 
 
 def fixture_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
