@@ -13,7 +13,6 @@ aggregate over the segment sides that sizes the join strategy).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from curbline.functions.trend import apply_rounding, slope_expr
 from curbline.operators.counting import dedup_matches, explode_per_year, yearly_vector

@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from curbline.functions.trend import apply_rounding, centred_slope_expr, centred_weights, slope_expr
 
