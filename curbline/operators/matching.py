@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbline.functions.parsing import parity_is_odd
 from curbline.operators.segments import SIDE_COLUMNS, block_of, explode_blocks, with_blocks
 from curbline.policy import MatchPolicy
 
@@ -76,10 +77,10 @@ def ticket_probes(tickets: DataFrame, policy: MatchPolicy) -> DataFrame:
     if policy.compound == "four_branch":
         kinds = F.when(suffix.isNotNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         probes = tickets.select("*", F.explode(kinds).alias("kind"))
-        is_left = F.when(F.col("kind") == 0, hn % 2 == 1).otherwise(suffix % 2 == 1)
+        is_left = F.when(F.col("kind") == 0, parity_is_odd(hn)).otherwise(parity_is_odd(suffix))
     else:
         probes = tickets.select("*", F.lit(0).alias("kind"))
-        is_left = hn % 2 == 1
+        is_left = parity_is_odd(hn)  # odd numbers are on the left side
     # hn is never NULL here (normalize_tickets drops those rows). The coalesce
     # only tells Catalyst that the join keys are not nullable, so it does not
     # infer extra IS NOT NULL filters that re-evaluate the house-number parse.

@@ -15,9 +15,6 @@ from curbline.functions.parsing import (
 )
 from curbline.policy import MatchPolicy
 
-NORMALIZED_COLUMNS = ("ticket_id", "year", "boro", "street", "hn", "hn_suffix")
-
-
 def house_number_parts(house, ticket_split: str):
     """(hn, hn_suffix) as BIGINT under a ticket split mode."""
     if ticket_split == "first_two":
