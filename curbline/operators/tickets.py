@@ -24,16 +24,24 @@ def house_number_parts(house, ticket_split: str):
     raise ValueError(f"unknown ticket split {ticket_split!r}")
 
 
-def valid_ticket_condition(policy: MatchPolicy):
+def valid_ticket_condition(policy: MatchPolicy, has_year_column: bool = False):
     """Rows every variant keeps: year in the window, known borough alias,
-    non-empty street and house number."""
+    non-empty street and house number.
+
+    Curated tickets carry an integer ``year`` partition column (equal to the
+    issue-date suffix); testing it as well lets the scan skip whole year
+    partitions.
+    """
     years = [str(y) for y in policy.years]
-    return (
+    cond = (
         year_suffix(F.col("issue_date")).isin(years)
         & borough_code(F.col("county"), policy.aliases).isNotNull()
         & (F.col("street_name") != "")
         & (F.col("house_number") != "")
     )
+    if has_year_column:
+        cond = F.col("year").isin(list(policy.years)) & cond
+    return cond
 
 
 def _normalized(policy: MatchPolicy):
@@ -55,7 +63,7 @@ def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bo
     can never fall inside a range, so it is dropped here (before any shuffle)
     unless ``drop_unparsed`` is False.
     """
-    keep = valid_ticket_condition(policy)
+    keep = valid_ticket_condition(policy, "year" in tickets.columns)
     if drop_unparsed:
         # the same rows as "hn IS NOT NULL", tested on the raw text
         keep = keep & house_number_parses(F.col("house_number"), policy.ticket_split)

@@ -43,7 +43,7 @@ COUNT_COLS = [f"count_{y}" for y in YEARS]
 
 
 def fixture_policy(name: str = "canonical", **overrides) -> MatchPolicy:
-    return preset(name, years=YEARS, **overrides)
+    return preset(name, **{"years": YEARS, **overrides})
 
 
 CANON = fixture_policy()

@@ -100,7 +100,8 @@ def count_sink(report: DataFrame) -> int:
 
 
 def write_curated_tickets(tickets: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Normalised tickets as Parquet partitioned by year.
+    """Raw ticket columns as Parquet partitioned by an integer ``year``
+    (the issue-date suffix; NULL when it is not a 4-digit number).
 
     Later reports over a subset of years then read only those partitions
     (partition pruning), and column pruning replaces re-parsing the CSV.
@@ -108,5 +109,7 @@ def write_curated_tickets(tickets: DataFrame, path: str, mode: str = "overwrite"
     into one task. Each task writes at most one file per year it holds, and
     ``maxRecordsPerFile`` bounds the file size.
     """
-    (tickets.write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+    suffix = F.substring(F.col("issue_date"), -4, 4)
+    year = F.when(suffix.rlike(r"^[0-9]{4}\z"), suffix.cast("int")).alias("year")
+    (tickets.select(*TICKET_COLUMNS, year).write.mode(mode).option("maxRecordsPerFile", 5_000_000)
      .partitionBy("year").parquet(path))

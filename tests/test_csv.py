@@ -109,3 +109,20 @@ def test_command_line(spark, capsys):
     assert main(["--tickets", tickets, "--segments", segments, "--out", out, "--format", "text",
                  "--preset", "side_unpivot"]) == 0
     assert [r[0] for r in spark.read.text(out).collect()] == ["7, 0, 0, 1, 1, 0, 0.1"]  # (0*-2 + 0*-1 + 1*0 + 1*1 + 0*2) / 10
+
+
+def test_curated_parquet_prunes_years(spark):
+    from conftest import SF_SMALL
+    from curbline.plans.queries import fixture_policy
+    from curbline.sources.csv_io import read_tickets_parquet, write_curated_tickets
+    from curbline.sources.fixtures import fixture_segments, fixture_tickets
+
+    raw, segments = fixture_tickets(spark, SF_SMALL), fixture_segments(spark, SF_SMALL)
+    path = os.path.join(tempfile.mkdtemp(prefix="curbline-curated-"), "tickets")
+    write_curated_tickets(raw, path)
+    curated = read_tickets_parquet(spark, path)
+    pol = fixture_policy(years=(1996, 1997))
+    report = segment_report(curated, segments, pol)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "IN (1996,1997)]" in plan.split("PartitionFilters: [", 1)[1].split("PushedFilters")[0]  # 2 folders read
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, segment_report(raw, segments, pol).collect()))
