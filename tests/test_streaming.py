@@ -81,3 +81,29 @@ def test_stream_resumes_from_checkpoint(spark):
         assert got == want  # both halves, each counted once
     finally:
         q.stop()
+
+
+def test_stream_from_csv_files(spark):
+    """CSV ticket files with headers arriving in a folder, counted incrementally."""
+    from curbline.sources.csv_io import TICKET_WIDTH
+    from curbline.streaming.incremental import read_tickets_stream_csv
+    from test_csv import ticket, write_csv
+    from conftest import segments_df
+    from curbline.policy import preset
+
+    folder = os.path.join(tempfile.mkdtemp(prefix="curbline-stream-csv-"), "in")
+    os.makedirs(folder)
+    header = [f"h{i}" for i in range(TICKET_WIDTH)]
+    write_csv(os.path.join(folder, "day1.csv"), header, [ticket("1", "06/14/2015", "NY", "125", "MAIN ST"),
+                                                         ticket("2", "06/15/2015", "NY", "126", "MAIN ST")])
+    write_csv(os.path.join(folder, "day2.csv"), header, [ticket("3", "01/02/2016", "MN", "125", "Main St"),
+                                                         ticket("4", "01/02/2016", "ZZ", "125", "MAIN ST")])
+    segments = segments_df(spark, [("S1", "101", "199", "100", "198", "MAIN ST", "1", "MAIN ST", "")])
+    q = start_segment_counts(read_tickets_stream_csv(spark, folder, max_files_per_trigger=1), segments,
+                             preset("canonical"), query_name="csv_stream",
+                             checkpoint=tempfile.mkdtemp(prefix="curbline-ckpt-"))
+    try:
+        q.processAllAvailable()
+        assert sorted(map(tuple, spark.table("csv_stream").collect())) == [("S1", 2015, 2), ("S1", 2016, 1)]
+    finally:
+        q.stop()
