@@ -17,8 +17,11 @@ Physical strategy, chosen from a measured size:
   collapse before the shuffle), and joined with a shuffle join. House-number
   blocks keep every join key small even for a very long street; AQE's skew
   join splits what is left.
-* Sides spanning more than ``max_bins`` blocks are joined on the street keys
-  alone (exact, no block key) instead of exploding into many blocks.
+* Sides spanning more than ``max_bins`` blocks are not exploded: they sit in
+  the same lookup table under the reserved block key ``WIDE_BIN``, and, only
+  when such sides exist, every probe also looks that key up. One join, one
+  scan of the tickets, and still exact: a narrow side is reachable only
+  through its own blocks, a wide side only through ``WIDE_BIN``.
 """
 
 from __future__ import annotations
@@ -38,6 +41,9 @@ _ROW_OVERHEAD = 16
 _FIELD_BYTES = 8
 _HASH_FACTOR = 2
 
+# Block key of the sides too wide to explode (block starts are >= 0).
+WIDE_BIN = -1
+
 
 def match_condition(policy: MatchPolicy, p: str = "p", s: str = "s") -> Column:
     """Residual predicate of one (probe, segment side) pair.
@@ -67,11 +73,12 @@ def match_condition(policy: MatchPolicy, p: str = "p", s: str = "s") -> Column:
     raise ValueError(f"unknown compound rule {rule!r}")
 
 
-def ticket_probes(tickets: DataFrame, policy: MatchPolicy) -> DataFrame:
+def ticket_probes(tickets: DataFrame, policy: MatchPolicy, wide_lookup: bool = False) -> DataFrame:
     """Normalised tickets -> probes with the side (and block) they look up.
 
     Under ``four_branch`` a compound ticket produces two probes, one per
-    branch, so that both branches are counted (a sum, not an OR).
+    branch, so that both branches are counted (a sum, not an OR). With
+    ``wide_lookup`` every probe also looks up the ``WIDE_BIN`` block.
     """
     hn, suffix = F.col("hn"), F.col("hn_suffix")
     if policy.compound == "four_branch":
@@ -86,7 +93,11 @@ def ticket_probes(tickets: DataFrame, policy: MatchPolicy) -> DataFrame:
     # infer extra IS NOT NULL filters that re-evaluate the house-number parse.
     probes = probes.withColumn("is_left", F.coalesce(is_left, F.lit(False)))
     if policy.bin_width:
-        probes = probes.withColumn("bin", F.coalesce(block_of(hn, policy.bin_width), F.lit(-1).cast("bigint")))
+        block = F.coalesce(block_of(hn, policy.bin_width), F.lit(WIDE_BIN - 1).cast("bigint"))
+        if wide_lookup:
+            probes = probes.withColumn("bin", F.explode(F.array(block, F.lit(WIDE_BIN).cast("bigint"))))
+        else:
+            probes = probes.withColumn("bin", block)
     return probes
 
 
@@ -134,45 +145,34 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
     with one row per match.
     """
     by_ticket = policy.dedup != "none"
-    probes = ticket_probes(tickets, policy)
     keys = ["boro", "street", "is_left"]
-    probe_cols = keys + ["hn", "hn_suffix", "kind", "year"] + (["bin"] if policy.bin_width else [])
     payload = ["ticket_id", "year"] if by_ticket else ["year", "n"]
 
     if policy.bin_width:
         blocked = with_blocks(segment_sides, policy.bin_width)
         stats = measure_sides(blocked, policy)
-        narrow = explode_blocks(blocked.where(F.col("n_bins") <= policy.max_bins), policy.bin_width)
-        wide = blocked.where(F.col("n_bins") > policy.max_bins).select(*SIDE_COLUMNS)
+        table = explode_blocks(blocked.where(F.col("n_bins") <= policy.max_bins), policy.bin_width)
+        if stats.wide_rows:
+            wide = (blocked.where(F.col("n_bins") > policy.max_bins)
+                    .select(*SIDE_COLUMNS, F.lit(WIDE_BIN).cast("bigint").alias("bin")))
+            table = table.unionByName(wide)
+        keys = keys + ["bin"]
     else:
         stats = measure_sides(segment_sides.withColumn("n_bins", F.lit(1).cast("bigint")), policy)
-        narrow, wide = None, segment_sides
-
-    narrow_bc = stats.narrow_bytes <= policy.broadcast_max_bytes
-    wide_bc = stats.wide_bytes <= policy.broadcast_max_bytes
-    def prepared(broadcast: bool) -> DataFrame:
-        if by_ticket:
-            return probes.select(*probe_cols, "ticket_id")
-        stream = broadcast
-        if policy.preaggregate != "auto":
-            stream = policy.preaggregate == "never"
+        table = segment_sides
+    broadcast = stats.narrow_bytes + stats.wide_bytes <= policy.broadcast_max_bytes
+
+    probes = ticket_probes(tickets, policy, wide_lookup=bool(policy.bin_width and stats.wide_rows))
+    probe_cols = keys + ["hn", "hn_suffix", "kind", "year"]
+    if by_ticket:
+        prepared = probes.select(*probe_cols, "ticket_id")
+    else:
+        stream = broadcast if policy.preaggregate == "auto" else policy.preaggregate == "never"
         if stream:
             # stream raw probes through the broadcast hash join; the counts
             # are combined map-side after the join
-            return probes.select(*probe_cols, F.lit(1).cast("bigint").alias("n"))
-        # combine duplicate addresses (map-side first) before the shuffle
-        return probes.groupBy(*probe_cols).agg(F.count(F.lit(1)).alias("n"))
-
-    parts = []
-    if narrow is not None and stats.narrow_rows > 0:
-        parts.append(_join(prepared(narrow_bc), narrow, keys + ["bin"], policy, narrow_bc, payload))
-    if (narrow is None and stats.narrow_rows > 0) or (narrow is not None and stats.wide_rows > 0):
-        bc = narrow_bc if narrow is None else wide_bc
-        parts.append(_join(prepared(bc), wide, keys, policy, bc, payload))
-    if not parts:
-        # no matchable side at all: an empty result with the right schema
-        return _join(prepared(True), segment_sides.where(F.lit(False)), keys, policy, True, payload)
-    out = parts[0]
-    for extra in parts[1:]:
-        out = out.unionByName(extra)
-    return out
+            prepared = probes.select(*probe_cols, F.lit(1).cast("bigint").alias("n"))
+        else:
+            # combine duplicate addresses (map-side first) before the shuffle
+            prepared = probes.groupBy(*probe_cols).agg(F.count(F.lit(1)).alias("n"))
+    return _join(prepared, table, keys, policy, broadcast, payload)

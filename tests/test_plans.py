@@ -35,3 +35,15 @@ def test_scan_is_pruned(spark):
     df = QUERIES["match_canonical"](spark, SF_SMALL)
     plan = plan_text(df)
     assert "l_extendedprice" not in plan and "p_retailprice" not in plan
+
+
+def test_wide_sides_keep_one_ticket_scan(spark):
+    """Sides too wide to explode share the join (reserved block key): the
+    tickets are scanned once, and the result equals the default plan."""
+    t, s = fixture_tickets(spark, SF_SMALL), fixture_segments(spark, SF_SMALL)
+    pol = fixture_policy(max_bins=1)  # every side spanning 2+ blocks is "wide"
+    df = segment_report(t, s, pol)
+    plan = plan_text(df)
+    assert plan.count("FileScan parquet [l_orderkey") == 1
+    want = sorted(tuple(r) for r in segment_report(t, s, fixture_policy()).collect())
+    assert sorted(tuple(r) for r in df.collect()) == want
