@@ -54,7 +54,10 @@ class MatchPolicy:
     Physical fields
     ---------------
     bin_width       house-number block width added to the join key (range join
-                    by blocks); ``None`` joins on street keys only.
+                    by blocks); ``None`` joins on street keys only. The default
+                    100 matches block-wise house numbering (one street block
+                    spans about 100 numbers), so a side touches 1-2 blocks and a
+                    probe meets only the segments of its own block.
     max_bins        sides spanning more blocks take an exact unbinned path.
     broadcast_max_bytes
                     the segment-side table is broadcast only when its measured
@@ -78,7 +81,7 @@ class MatchPolicy:
     rounding: str = "none"
     order_by_id: bool = False
     years: tuple[int, ...] = DEFAULT_YEARS
-    bin_width: int | None = 10
+    bin_width: int | None = 100
     max_bins: int = 64
     broadcast_max_bytes: int = 128 * 1024 * 1024
     preaggregate: str = "auto"

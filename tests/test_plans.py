@@ -41,7 +41,7 @@ def test_wide_sides_keep_one_ticket_scan(spark):
     """Sides too wide to explode share the join (reserved block key): the
     tickets are scanned once, and the result equals the default plan."""
     t, s = fixture_tickets(spark, SF_SMALL), fixture_segments(spark, SF_SMALL)
-    pol = fixture_policy(max_bins=1)  # every side spanning 2+ blocks is "wide"
+    pol = fixture_policy(bin_width=10, max_bins=1)  # every side spanning 2+ blocks is "wide"
     df = segment_report(t, s, pol)
     plan = plan_text(df)
     assert plan.count("FileScan parquet [l_orderkey") == 1
