@@ -164,6 +164,15 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
 
     probes = ticket_probes(tickets, policy, wide_lookup=bool(policy.bin_width and stats.wide_rows))
     probe_cols = keys + ["hn", "hn_suffix", "kind", "year"]
+    if by_ticket and not broadcast and policy.skew_salt > 1:
+        # raw probes are shuffled on the join keys: salt them so that a hot
+        # address spreads over skew_salt tasks; each side row is replicated
+        # once per salt value, so every (probe, side) pair still meets once
+        salts = F.sequence(F.lit(0), F.lit(policy.skew_salt - 1))
+        probes = probes.withColumn("salt", F.pmod(F.hash("ticket_id"), F.lit(policy.skew_salt)))
+        table = table.select("*", F.explode(salts).alias("salt"))
+        keys = keys + ["salt"]
+        probe_cols = probe_cols + ["salt"]
     if by_ticket:
         prepared = probes.select(*probe_cols, "ticket_id")
     else:

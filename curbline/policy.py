@@ -62,6 +62,11 @@ class MatchPolicy:
     broadcast_max_bytes
                     the segment-side table is broadcast only when its measured
                     size is below this bound; otherwise a shuffle join is used.
+    skew_salt       on the sort-merge path with ticket dedup (where probes keep
+                    their ticket id and cannot be pre-aggregated) probes get
+                    ``pmod(hash(ticket_id), skew_salt)`` as an extra join key and
+                    the side table is replicated that many times, so one hot
+                    address is split over ``skew_salt`` tasks; 1 turns it off.
     preaggregate    ``auto``: stream raw tickets through a broadcast join, but
                     collapse them to distinct probes with a count before a
                     shuffle join; ``always`` / ``never`` force the choice.
@@ -85,6 +90,7 @@ class MatchPolicy:
     max_bins: int = 64
     broadcast_max_bytes: int = 128 * 1024 * 1024
     preaggregate: str = "auto"
+    skew_salt: int = 16
 
     def __post_init__(self) -> None:
         checks = (
@@ -109,6 +115,8 @@ class MatchPolicy:
             raise ValueError("bin_width must be positive or None")
         if self.preaggregate not in ("auto", "always", "never"):
             raise ValueError("preaggregate must be auto, always or never")
+        if self.skew_salt < 1:
+            raise ValueError("skew_salt must be >= 1")
         if self.max_bins < 1:
             raise ValueError("max_bins must be >= 1")
 

@@ -30,6 +30,21 @@ def test_hot_address_all_paths_agree(spark):
     for overrides in ({"broadcast_max_bytes": 0}, {"bin_width": None}, {"preaggregate": "always"}):
         got = sorted(map(tuple, segment_report(t, s, fixture_policy(**overrides)).collect()))
         assert got == want, overrides
+    for dedup in ("id_ticket", "id_ticket_year"):
+        want = sorted(map(tuple, segment_report(t, s, fixture_policy(dedup=dedup)).collect()))
+        for salt in (1, 7):
+            pol = fixture_policy(dedup=dedup, broadcast_max_bytes=0, skew_salt=salt)
+            assert sorted(map(tuple, segment_report(t, s, pol).collect())) == want, (dedup, salt)
+
+
+def test_salted_join_spreads_a_hot_address(spark):
+    from curbline.operators.counting import dedup_matches
+    t, s = hot_tickets(spark), fixture_segments(spark, SF_SMALL)
+    pol = fixture_policy(dedup="id_ticket_year", broadcast_max_bytes=0, skew_salt=8)
+    matched = match_pairs(normalize_tickets(t, pol), segment_sides(s, pol), pol)
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "salt" in plan.split("SortMergeJoin", 1)[1].split("\n", 1)[0]
+    assert dedup_matches(matched, pol).count() > 0
 
 
 def test_hot_address_collapses_before_shuffle(spark):
