@@ -164,7 +164,13 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
 
     probes = ticket_probes(tickets, policy, wide_lookup=bool(policy.bin_width and stats.wide_rows))
     probe_cols = keys + ["hn", "hn_suffix", "kind", "year"]
-    if by_ticket and not broadcast and policy.skew_salt > 1:
+    # raw probes (one row per ticket): needed to deduplicate by ticket; chosen
+    # for a broadcast join (no shuffle); otherwise probes are pre-aggregated
+    if policy.preaggregate == "auto":
+        raw = by_ticket or broadcast
+    else:
+        raw = by_ticket or policy.preaggregate == "never"
+    if raw and not broadcast and policy.skew_salt > 1:
         # raw probes are shuffled on the join keys: salt them so that a hot
         # address spreads over skew_salt tasks; each side row is replicated
         # once per salt value, so every (probe, side) pair still meets once
@@ -175,13 +181,10 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
         probe_cols = probe_cols + ["salt"]
     if by_ticket:
         prepared = probes.select(*probe_cols, "ticket_id")
+    elif raw:
+        # the counts are combined map-side after the join
+        prepared = probes.select(*probe_cols, F.lit(1).cast("bigint").alias("n"))
     else:
-        stream = broadcast if policy.preaggregate == "auto" else policy.preaggregate == "never"
-        if stream:
-            # stream raw probes through the broadcast hash join; the counts
-            # are combined map-side after the join
-            prepared = probes.select(*probe_cols, F.lit(1).cast("bigint").alias("n"))
-        else:
-            # combine duplicate addresses (map-side first) before the shuffle
-            prepared = probes.groupBy(*probe_cols).agg(F.count(F.lit(1)).alias("n"))
+        # combine duplicate addresses (map-side first) before the shuffle
+        prepared = probes.groupBy(*probe_cols).agg(F.count(F.lit(1)).alias("n"))
     return _join(prepared, table, keys, policy, broadcast, payload)

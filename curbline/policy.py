@@ -62,8 +62,8 @@ class MatchPolicy:
     broadcast_max_bytes
                     the segment-side table is broadcast only when its measured
                     size is below this bound; otherwise a shuffle join is used.
-    skew_salt       on the sort-merge path with ticket dedup (where probes keep
-                    their ticket id and cannot be pre-aggregated) probes get
+    skew_salt       on the sort-merge path with raw probes (ticket dedup, where
+                    probes keep their ticket id, or ``preaggregate='never'``) probes get
                     ``pmod(hash(ticket_id), skew_salt)`` as an extra join key and
                     the side table is replicated that many times, so one hot
                     address is split over ``skew_salt`` tasks; 1 turns it off.

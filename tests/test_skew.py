@@ -27,7 +27,8 @@ def hot_tickets(spark):
 def test_hot_address_all_paths_agree(spark):
     t, s = hot_tickets(spark), fixture_segments(spark, SF_SMALL)
     want = sorted(map(tuple, segment_report(t, s, fixture_policy()).collect()))
-    for overrides in ({"broadcast_max_bytes": 0}, {"bin_width": None}, {"preaggregate": "always"}):
+    for overrides in ({"broadcast_max_bytes": 0}, {"bin_width": None}, {"preaggregate": "always"},
+                      {"broadcast_max_bytes": 0, "preaggregate": "never", "skew_salt": 5}):
         got = sorted(map(tuple, segment_report(t, s, fixture_policy(**overrides)).collect()))
         assert got == want, overrides
     for dedup in ("id_ticket", "id_ticket_year"):
