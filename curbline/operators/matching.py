@@ -14,9 +14,11 @@ Physical strategy, chosen from a measured size:
   partitions than cores is rebalanced at its source, right after the scan.)
 * Over the bound, tickets are first pre-aggregated to distinct
   (address, year) probes with a count (map-side combine, so hot addresses
-  collapse before the shuffle), and joined with a shuffle join. House-number
-  blocks keep every join key small even for a very long street; AQE's skew
-  join splits what is left.
+  collapse before the shuffle), and joined with a sort-merge join. House-number
+  blocks keep every join key small even for a very long street. Where the
+  probes must stay raw (dedup by ticket), a salt derived from the ticket id is
+  added to the keys and the side table is replicated per salt value, so a hot
+  address is spread over several tasks; AQE's skew join splits what is left.
 * Sides spanning more than ``max_bins`` blocks are not exploded: they sit in
   the same lookup table under the reserved block key ``WIDE_BIN``, and, only
   when such sides exist, every probe also looks that key up. One join, one
@@ -114,7 +116,7 @@ def measure_sides(sides_blocked: DataFrame, policy: MatchPolicy) -> SideStats:
     block explosion, split into narrow (blocked) and wide (unblocked) sides."""
     n_fields = len(SIDE_COLUMNS) + 1
     row_bytes = (F.lit(_ROW_OVERHEAD + _FIELD_BYTES * n_fields)
-                 + F.length("segment_id") + F.length("street")) * F.lit(_HASH_FACTOR)
+                 + F.octet_length("segment_id") + F.octet_length("street")) * F.lit(_HASH_FACTOR)
     wide = F.col("n_bins") > F.lit(policy.max_bins)
     r = sides_blocked.agg(
         F.coalesce(F.sum(F.when(~wide, F.col("n_bins"))), F.lit(0)).alias("nr"),
