@@ -21,6 +21,7 @@ GROUP_MODES = ("per_id", "per_id_year")
 ALIAS_SETS = ("full", "short")
 ROUNDING_MODES = ("none", "int_half_even", "2dp")
 
+# Fixed value: the five-year window of the original report (slopes use x = -2..2).
 DEFAULT_YEARS = (2015, 2016, 2017, 2018, 2019)
 
 
