@@ -68,11 +68,12 @@ def row_mean_expr(cols: Sequence[Column | str]) -> Column:
 
 
 def apply_rounding(c: Column, mode: str) -> Column:
-    """``none``; ``int_half_even`` (banker's rounding to 0 digits); ``2dp``."""
+    """``none``; ``int_half_even`` (banker's rounding to an integer, BIGINT, so
+    a text sink writes ``3`` like an integer result would); ``2dp`` (DOUBLE)."""
     if mode == "none":
         return c
     if mode == "int_half_even":
-        return F.bround(c, 0)
+        return F.bround(c, 0).cast("bigint")
     if mode == "2dp":
         return F.bround(c, 2)
     raise ValueError(f"unknown rounding mode {mode!r}")

@@ -244,10 +244,9 @@ def slope_sql(cols: list[str]) -> str:
 def round_sql(expr: str, mode: str) -> str:
     if mode == "none":
         return expr
-    # "+ 0.0" turns a negative zero (round_even(-0.2, 0)) into 0.0, as Spark's
-    # decimal rounding and an integer result have no signed zero
     if mode == "int_half_even":
-        return f"(round_even({expr}, 0) + 0.0)"
+        return f"CAST(round_even({expr}, 0) AS BIGINT)"
+    # "+ 0.0" turns a negative zero into 0.0 (decimal rounding has none)
     return f"(round_even({expr}, 2) + 0.0)"
 
 
