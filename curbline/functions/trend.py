@@ -8,32 +8,43 @@ division and identical in every engine.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def centred_weights(n: int) -> tuple[list[int], int]:
-    """Integer weights w_i and divisor d with slope = sum(w_i * y_i) / d.
+def centred_weights(n: int, xs: Sequence[int] | None = None) -> tuple[list[int], float]:
+    """Integer weights w_i and a divisor d with slope = sum(w_i * y_i) / d.
 
-    Odd n: w_i = i - (n-1)/2, d = sum(w_i^2).
-    Even n: x_i are half-integers; doubling them gives w_i = 2i - (n-1) and
-    slope = 2*sum(w_i*y_i)/sum(w_i^2) = sum(w_i*y_i) / (sum(w_i^2)/2).
+    ``xs`` are the period positions (default 0..n-1; the report passes the
+    years, so a window with gaps is fitted on the real years). With S = sum(x),
+    n*x_i - S are integers proportional to x_i - mean(x); reduced by their gcd g
+    they give w_i, and slope = sum((x_i - mean) y_i) / sum((x_i - mean)^2)
+    = sum(w_i y_i) / (g * sum(w_i^2) / n). Five consecutive periods give
+    w = (-2, -1, 0, 1, 2), d = 10.
     """
     if n < 2:
         raise ValueError("a slope needs at least two periods")
-    if n % 2:
-        w = [i - (n - 1) // 2 for i in range(n)]
-        return w, sum(v * v for v in w)
-    w = [2 * i - (n - 1) for i in range(n)]
-    return w, sum(v * v for v in w) // 2
-
-
-def slope_expr(cols: Sequence[Column | str]) -> Column:
-    """Closed-form OLS slope of the columns taken as consecutive periods."""
+    xs = list(range(n)) if xs is None else [int(x) for x in xs]
+    if len(xs) != n or len(set(xs)) < 2:
+        raise ValueError("need one position per period, not all equal")
+    total = sum(xs)
+    scaled = [n * x - total for x in xs]
+    g = 0
+    for v in scaled:
+        g = math.gcd(g, v)
+    w = [v // g for v in scaled]
+    divisor = g * sum(v * v for v in w) / n
+    return w, int(divisor) if float(divisor).is_integer() else divisor
+
+
+def slope_expr(cols: Sequence[Column | str], xs: Sequence[int] | None = None) -> Column:
+    """Closed-form OLS slope of the columns against positions ``xs``
+    (default: consecutive periods)."""
     cols = [F.col(c) if isinstance(c, str) else c for c in cols]
-    weights, divisor = centred_weights(len(cols))
+    weights, divisor = centred_weights(len(cols), xs)
     numerator = None
     for w, c in zip(weights, cols):
         if w == 0:

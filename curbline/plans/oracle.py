@@ -11,6 +11,8 @@ Tables ``lineitem part orders customer`` are views over the same Parquet files.
 
 from __future__ import annotations
 
+import math
+
 from curbline.functions.parsing import aliases_for
 from curbline.policy import MatchPolicy
 from curbline.sources.fixtures import COUNTY_CYCLE, FIXTURE_YEARS
@@ -229,16 +231,19 @@ def spine_cte(policy: MatchPolicy, name: str = "ids") -> str:
     return f"{name} AS ({spine} UNION SELECT segment_id FROM c)"
 
 
-def slope_sql(cols: list[str]) -> str:
+def slope_sql(cols: list[str], xs: list[int] | None = None) -> str:
+    """sum((x - mean) * y) / sum((x - mean)^2) as integer weights over the columns."""
     n = len(cols)
-    if n % 2:
-        w = [i - (n - 1) // 2 for i in range(n)]
-        d = sum(v * v for v in w)
-    else:
-        w = [2 * i - (n - 1) for i in range(n)]
-        d = sum(v * v for v in w) // 2
+    xs = list(range(n)) if xs is None else list(xs)
+    mean_num = sum(xs)  # mean = mean_num / n
+    dev = [n * x - mean_num for x in xs]  # n * (x - mean), integers
+    g = 0
+    for v in dev:
+        g = math.gcd(g, v)
+    w = [v // g for v in dev]
+    d = g * sum(v * v for v in w) / n
     terms = " + ".join(f"({v}) * {c}" for v, c in zip(w, cols) if v)
-    return f"(CAST({terms} AS DOUBLE) / {float(d)})"
+    return f"(CAST({terms} AS DOUBLE) / {float(d)!r})"
 
 
 def round_sql(expr: str, mode: str) -> str:
@@ -278,7 +283,7 @@ def report_sql(policy: MatchPolicy) -> str:
     if policy.group == "per_id_year":
         ctes.append(per_year_rows_cte(policy.years))
         src = "w2"
-    slope = round_sql(slope_sql(cols), policy.rounding)
+    slope = round_sql(slope_sql(cols, list(policy.years)), policy.rounding)
     order = " ORDER BY segment_id" if policy.order_by_id else ""
     return (with_fixtures(*ctes)
             + f"\nSELECT segment_id, {', '.join(cols)}, {slope} AS slope FROM {src}{order}")

@@ -31,7 +31,7 @@ def segment_counts(tickets: DataFrame, segments: DataFrame, policy: MatchPolicy)
 
 
 def with_slope(wide: DataFrame, policy: MatchPolicy) -> DataFrame:
-    slope = apply_rounding(slope_expr(policy.count_columns), policy.rounding)
+    slope = apply_rounding(slope_expr(policy.count_columns, policy.years), policy.rounding)
     return wide.select("segment_id", *policy.count_columns, slope.alias("slope"))
 
 

@@ -41,6 +41,16 @@ def test_matches_least_squares(spark, n):
 def test_weights():
     assert centred_weights(5) == ([-2, -1, 0, 1, 2], 10)
     assert centred_weights(4) == ([-3, -1, 1, 3], 10)
+    assert centred_weights(5, [2015, 2016, 2017, 2018, 2019]) == ([-2, -1, 0, 1, 2], 10)
+
+
+def test_uneven_years(spark):
+    years = [2015, 2017, 2018, 2021]
+    rows = [(3, 1, 4, 1), (0, 0, 0, 9), (5, 5, 5, 5)]
+    df, cols = frame(spark, rows)
+    got = [r[0] for r in df.select(slope_expr(cols, years)).collect()]
+    for row, g in zip(rows, got):
+        assert g == pytest.approx(np.polyfit(np.array(years, dtype=float), np.array(row, dtype=float), 1)[0])
 
 
 def test_antisymmetric_and_constant(spark):
