@@ -44,8 +44,14 @@ def valid_ticket_condition(policy: MatchPolicy, has_year_column: bool = False):
     return cond
 
 
-def _normalized(policy: MatchPolicy):
+def _normalized(policy: MatchPolicy, parsed_only: bool = False):
     hn, hn_suffix = house_number_parts(F.col("house_number"), policy.ticket_split)
+    if parsed_only:
+        # The rows are already restricted to parseable numbers, so hn is never
+        # NULL; the coalesce only declares that to Catalyst, which otherwise
+        # infers "hn IS NOT NULL" from the range predicate and pushes a second
+        # copy of the whole parse into the scan. (-1 would match no range.)
+        hn = F.coalesce(hn, F.lit(-1).cast("bigint"))
     return (
         F.col("ticket_id"),
         year_suffix(F.col("issue_date")).cast("int").alias("year"),
@@ -67,4 +73,4 @@ def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bo
     if drop_unparsed:
         # the same rows as "hn IS NOT NULL", tested on the raw text
         keep = keep & house_number_parses(F.col("house_number"), policy.ticket_split)
-    return tickets.where(keep).select(*_normalized(policy))
+    return tickets.where(keep).select(*_normalized(policy, parsed_only=drop_unparsed))
