@@ -13,6 +13,7 @@ grows with every ticket ever seen; use the batch report for those policies.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -50,7 +51,11 @@ def stream_segment_counts(ticket_stream: DataFrame, segments: DataFrame, policy:
         raise ValueError("streaming counts support dedup='none' only (ticket-id state would be unbounded)")
     # one stateful operator per query: no probe pre-aggregation before the join
     pol = policy.with_(preaggregate="never")
-    matched = match_pairs(normalize_tickets(ticket_stream, pol), segment_sides(segments, pol), pol)
+    # The static side of a stream-static join is re-planned for every
+    # micro-batch; keep the parsed sides cached so a trigger does not re-read
+    # and re-parse the segment table (a lost block is recomputed from lineage).
+    sides = segment_sides(segments, pol).persist(StorageLevel.MEMORY_AND_DISK)
+    matched = match_pairs(normalize_tickets(ticket_stream, pol), sides, pol)
     return matched.groupBy("segment_id", "year").agg(F.sum("n").cast("bigint").alias("n"))
 
 
