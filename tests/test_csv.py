@@ -126,3 +126,24 @@ def test_curated_parquet_prunes_years(spark):
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "IN (1996,1997)]" in plan.split("PartitionFilters: [", 1)[1].split("PushedFilters")[0]  # 2 folders read
     assert sorted(map(tuple, report.collect())) == sorted(map(tuple, segment_report(raw, segments, pol).collect()))
+
+
+def test_command_line_years_and_file_year(spark, capsys):
+    from curbline.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="curbline-cli-")
+    header = [f"h{i}" for i in range(TICKET_WIDTH)]
+    # 2016.csv holds a 2016 ticket and a stray 2015 one
+    write_csv(os.path.join(d, "2016.csv"), header, [ticket("1", "03/01/2016", "Q", "12", "OAK AVE"),
+                                                    ticket("2", "03/01/2015", "Q", "14", "OAK AVE")])
+    seg = positional_line(SEGMENT_FIELDS, SEGMENT_WIDTH, dict(
+        segment_id="9", l_low="1", l_high="99", r_low="2", r_high="98", street_label="OAK AVE",
+        boro_code="4", full_street="OAK AVE", alt_label=""))
+    write_csv(os.path.join(d, "s.csv"), [f"h{i}" for i in range(SEGMENT_WIDTH)], [seg])
+    args = ["--tickets", os.path.join(d, "2016.csv"), "--segments", os.path.join(d, "s.csv")]
+    out = os.path.join(d, "a")
+    main(args + ["--years", "2015,2016", "--format", "text", "--out", out])
+    assert [r[0] for r in spark.read.text(out).collect()] == ["9, 1, 1, 0.5"]
+    out = os.path.join(d, "b")
+    main(args + ["--years", "2015,2016", "--year-from-file-name", "--format", "text", "--out", out])
+    assert [r[0] for r in spark.read.text(out).collect()] == ["9, 0, 1, 1.0"]
