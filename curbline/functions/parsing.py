@@ -54,6 +54,12 @@ def house_number_parses(c: Column, ticket_split: str) -> Column:
     raise ValueError(f"unknown ticket split {ticket_split!r}")
 
 
+def house_suffix_parses(c: Column) -> Column:
+    """True exactly when ``house_first_two`` yields a non-NULL suffix (the
+    second '-'-separated part is a strict integer), as one regex on the text."""
+    return c.rlike(r"^[^-]*-[0-9]{1,18}(-|\z)")
+
+
 def year_suffix(c: Column) -> Column:
     """Last four characters of an issue-date text (the year)."""
     return F.substring(c, -4, 4)

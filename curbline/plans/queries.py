@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from curbline.functions.parsing import (
     borough_code,
     fold,
+    house_suffix_parses,
     side_range,
     strict_int,
     street_key_coalesce,
@@ -223,9 +224,11 @@ FROM s"""
 
 
 def _match_counts(spark, sf, policy: MatchPolicy, ticket_filter=None) -> DataFrame:
-    t = normalize_tickets(fixture_tickets(spark, sf), policy)
+    """Matches per (segment, year); ``ticket_filter`` applies to the raw ticket text."""
+    raw = fixture_tickets(spark, sf)
     if ticket_filter is not None:
-        t = t.where(ticket_filter)
+        raw = raw.where(ticket_filter)
+    t = normalize_tickets(raw, policy)
     matched = match_pairs(t, segment_sides(fixture_segments(spark, sf), policy), policy)
     counts = counting.dedup_matches(matched, policy)
     return counts.groupBy("segment_id", "year").agg(F.sum("n").cast("bigint").alias("n"))
@@ -240,11 +243,13 @@ SELECT segment_id, year, n FROM c"""
 
 
 def q_range_match_plain(spark, sf):
-    return _match_counts(spark, sf, CANON, F.col("hn_suffix").isNull())
+    """Tickets whose number has no integer suffix (hn_suffix IS NULL)."""
+    return _match_counts(spark, sf, CANON, ~F.coalesce(house_suffix_parses(F.col("house_number")), F.lit(False)))
 
 
 def q_range_match_compound(spark, sf):
-    return _match_counts(spark, sf, CANON, F.col("hn_suffix").isNotNull())
+    """Tickets whose number has an integer suffix (hn_suffix IS NOT NULL)."""
+    return _match_counts(spark, sf, CANON, house_suffix_parses(F.col("house_number")))
 
 
 BRANCH_POLICY = fixture_policy("four_branch", fold_case=True)

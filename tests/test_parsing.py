@@ -96,3 +96,14 @@ def test_house_number_parses_equals_not_null(spark, split):
                                                                 F.lit(False)).alias("b")).collect()
     for r in rows:
         assert r["a"] == r["b"], (split, r["x"])
+
+
+def test_house_suffix_parses_equals_suffix_not_null(spark):
+    from curbline.functions.parsing import house_first_two, house_suffix_parses
+    texts = ["125", "70-23", "71-", "-5", "25-3-1", "7-A", "A-5", "12A", "", "1--2", "1-2 ", "1- 2",
+             "1-" + "9" * 18, "1-" + "9" * 19, "1-2-", "12\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    _, sfx = house_first_two(F.col("x"))
+    for r in df.select("x", sfx.isNotNull().alias("a"),
+                       F.coalesce(house_suffix_parses(F.col("x")), F.lit(False)).alias("b")).collect():
+        assert r["a"] == r["b"], r["x"]
