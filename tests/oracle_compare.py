@@ -1,4 +1,7 @@
-"""Compare a Spark result with a DuckDB oracle result (order-insensitive)."""
+"""Test helper: compare a Spark result with a DuckDB oracle result (order-insensitive).
+
+Collects both results on the driver, so it is for small verification runs only.
+"""
 
 from __future__ import annotations
 

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
-from curbline.plans.compare import compare, duckdb_connection
+from oracle_compare import compare, duckdb_connection
 
 NAMES = sorted(entry_mod.queries())
 
