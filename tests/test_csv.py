@@ -147,3 +147,13 @@ def test_command_line_years_and_file_year(spark, capsys):
     out = os.path.join(d, "b")
     main(args + ["--years", "2015,2016", "--year-from-file-name", "--format", "text", "--out", out])
     assert [r[0] for r in spark.read.text(out).collect()] == ["9, 0, 1, 1.0"]
+
+
+def test_command_line_policy_overrides():
+    import pytest as _pytest
+    from curbline.__main__ import policy_overrides
+    got = policy_overrides(["bin_width=50", "fold_case=false", "dedup=id_ticket", "skew_salt=4"])
+    assert got == {"bin_width": 50, "fold_case": False, "dedup": "id_ticket", "skew_salt": 4}
+    assert policy_overrides(["bin_width=none"]) == {"bin_width": None}
+    with _pytest.raises(SystemExit):
+        policy_overrides(["no_such_field=1"])
