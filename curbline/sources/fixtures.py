@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FIXTURE_YEARS = (1995, 1996, 1997, 1998, 1999)
 
@@ -20,8 +21,20 @@ COUNTY_CYCLE = (
 )
 
 
+# Inferred schemas of the (immutable) test tables, per path: inferring a
+# Parquet schema costs a footer read on every spark.read.parquet call, so only
+# the first read of a path in this process infers; later reads pass it.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def rebalanced(df: DataFrame, key: str) -> DataFrame:
