@@ -47,17 +47,24 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local runs and
-    tests) a fresh private folder is created, so nothing is written into a
+    The cluster's setting always wins (it is a core setting and cannot be
+    changed on a running session). Only when it is absent (local runs and
+    tests) is a private folder created, and it is registered as the
+    SparkContext's checkpoint folder, so nothing is written to a
     machine-local folder on a real cluster.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="curbline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    private = tempfile.mkdtemp(prefix="curbline-ckpt-")
+    sc.setCheckpointDir(private)
+    return private
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:

@@ -107,3 +107,16 @@ def test_stream_from_csv_files(spark):
         assert sorted(map(tuple, spark.table("csv_stream").collect())) == [("S1", 2015, 2), ("S1", 2016, 1)]
     finally:
         q.stop()
+
+
+def test_checkpoint_folder_follows_the_session(spark):
+    """The shared folder named by spark.checkpoint.dir is used as is (a core
+    setting: it cannot be changed on a running session, and is not)."""
+    from curbline.session import checkpoint_path, ensure_checkpoint_dir
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    got = ensure_checkpoint_dir(spark)
+    if configured:
+        assert got == configured
+    else:
+        assert got and spark.sparkContext.getCheckpointDir()
+    assert checkpoint_path(spark, "stream-x") == os.path.join(got, "stream-x")
