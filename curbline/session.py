@@ -44,6 +44,10 @@ def build_session(
     return spark
 
 
+# private checkpoint folder per application, only when the setting is absent
+_PRIVATE_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -59,11 +63,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    private = tempfile.mkdtemp(prefix="curbline-ckpt-")
-    sc.setCheckpointDir(private)
+    private = _PRIVATE_DIRS.get(sc.applicationId)
+    if private is None:
+        private = tempfile.mkdtemp(prefix="curbline-ckpt-")
+        _PRIVATE_DIRS[sc.applicationId] = private
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(private)
     return private
 
 
