@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m curbline`` / ``python -m curbline``.
+"""Command line: ``python -m curbline`` (or ``spark-submit curbline/__main__.py``).
 
     python -m curbline --tickets 'violations/*.csv' --segments centerline.csv \
         --out report_dir --preset canonical --format text
