@@ -120,3 +120,14 @@ def test_checkpoint_folder_follows_the_session(spark):
     else:
         assert got and spark.sparkContext.getCheckpointDir()
     assert checkpoint_path(spark, "stream-x") == os.path.join(got, "stream-x")
+
+
+def test_stream_refuses_ticket_dedup(spark):
+    """Dedup by ticket id would need state that grows with every ticket."""
+    import pytest as _pytest
+    from curbline.streaming.incremental import stream_segment_counts
+    pol = fixture_policy("row_predicate")
+    tickets, segments = fixture_tickets(spark, SF_SMALL), fixture_segments(spark, SF_SMALL)
+    stream = read_tickets_stream_parquet(spark, tempfile.mkdtemp(prefix="curbline-empty-"), tickets.schema)
+    with _pytest.raises(ValueError, match="dedup"):
+        stream_segment_counts(stream, segments, pol)
