@@ -85,3 +85,18 @@ def test_wide_ranges_take_the_unblocked_path(spark):
     pol = preset("canonical", bin_width=10, max_bins=4)
     rows = segment_counts(tickets, segments, pol).collect()
     assert sorted((r["segment_id"], r["year"], r["n"]) for r in rows) == [("S1", 2016, 1), ("S1", 2016, 1)]
+
+
+def test_per_id_year_shape(spark):
+    """The pivot keyed by (segment, year): one row per (segment, year with
+    matches) holding only that year's count, the slope computed on that row;
+    a segment without matches keeps one zero row."""
+    from curbline.plans.report import segment_report
+    tickets = tickets_df(spark, [("1", "01/01/2015", "NY", "125", "A ST"), ("2", "02/01/2015", "NY", "127", "A ST"),
+                                 ("3", "03/01/2017", "NY", "131", "A ST")])
+    segments = segments_df(spark, [("S1", "101", "199", "100", "198", "A ST", "1", "A ST", "A ST"),
+                                   ("S2", "1", "99", "2", "98", "B ST", "1", "B ST", "B ST")])
+    rows = sorted(tuple(r) for r in segment_report(tickets, segments, preset("split_union")).collect())
+    assert rows == [("S1", 0, 0, 1, 0, 0, 0.0), ("S1", 2, 0, 0, 0, 0, -0.4), ("S2", 0, 0, 0, 0, 0, 0.0)]
+    per_id = sorted(tuple(r) for r in segment_report(tickets, segments, preset("split_union", group="per_id")).collect())
+    assert per_id == [("S1", 2, 0, 1, 0, 0, -0.4), ("S2", 0, 0, 0, 0, 0, 0.0)]
