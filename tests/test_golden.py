@@ -100,3 +100,25 @@ def test_per_id_year_shape(spark):
     assert rows == [("S1", 0, 0, 1, 0, 0, 0.0), ("S1", 2, 0, 0, 0, 0, -0.4), ("S2", 0, 0, 0, 0, 0, 0.0)]
     per_id = sorted(tuple(r) for r in segment_report(tickets, segments, preset("split_union", group="per_id")).collect())
     assert per_id == [("S1", 2, 0, 1, 0, 0, -0.4), ("S2", 0, 0, 0, 0, 0, 0.0)]
+
+
+def _total(spark, tickets, segments, pol):
+    rows = segment_counts(tickets, segments, pol).collect()
+    return sum(r["n"] for r in rows)
+
+
+def test_case_folding_and_street_keys(spark):
+    """fold_case decides whether 'Broadway' meets 'BROADWAY'; the street key
+    decides which segment names a ticket street may equal."""
+    tickets = tickets_df(spark, [("1", "01/01/2016", "NY", "125", "Broadway"),
+                                 ("2", "01/01/2016", "NY", "125", "ALT NAME"),
+                                 ("3", "01/01/2016", "NY", "125", "THIRD NAME")])
+    # full name BROADWAY, label ALT NAME (position 10), second label THIRD NAME (position 29)
+    segments = segments_df(spark, [("S1", "101", "199", "100", "198", "ALT NAME", "1", "BROADWAY", "THIRD NAME")])
+    assert _total(spark, tickets, segments, preset("four_branch")) == 0  # case-sensitive, full name present
+    assert _total(spark, tickets, segments, preset("four_branch", fold_case=True)) == 1
+    assert _total(spark, tickets, segments, preset("canonical", street_key="full")) == 1
+    assert _total(spark, tickets, segments, preset("canonical")) == 2  # full OR label (position 10)
+    assert _total(spark, tickets, segments, preset("split_union")) == 2  # full OR second label (position 29)
+    empty_full = segments_df(spark, [("S1", "101", "199", "100", "198", "ALT NAME", "1", "", "")])
+    assert _total(spark, tickets, empty_full, preset("canonical", street_key="coalesce")) == 1  # label stands in
