@@ -122,3 +122,18 @@ def test_case_folding_and_street_keys(spark):
     assert _total(spark, tickets, segments, preset("split_union")) == 2  # full OR second label (position 29)
     empty_full = segments_df(spark, [("S1", "101", "199", "100", "198", "ALT NAME", "1", "", "")])
     assert _total(spark, tickets, empty_full, preset("canonical", street_key="coalesce")) == 1  # label stands in
+
+
+def test_dedup_modes(spark):
+    """One ticket id on three rows (twice in 2015, once in 2016), all on S1."""
+    tickets = tickets_df(spark, [("T", "01/01/2015", "NY", "125", "A ST"), ("T", "05/01/2015", "NY", "127", "A ST"),
+                                 ("T", "01/01/2016", "NY", "125", "A ST")])
+    segments = segments_df(spark, [("S1", "101", "199", "100", "198", "A ST", "1", "A ST", "A ST")])
+
+    def per_year(pol):
+        rows = segment_counts(tickets, segments, pol).groupBy("year").sum("n").collect()
+        return dict(sorted((r[0], r[1]) for r in rows))
+
+    assert per_year(preset("canonical")) == {2015: 2, 2016: 1}  # every match counts
+    assert per_year(preset("canonical", dedup="id_ticket_year")) == {2015: 1, 2016: 1}
+    assert per_year(preset("canonical", dedup="id_ticket")) == {2015: 1}  # once, in its earliest year
