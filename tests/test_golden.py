@@ -137,3 +137,19 @@ def test_dedup_modes(spark):
     assert per_year(preset("canonical")) == {2015: 2, 2016: 1}  # every match counts
     assert per_year(preset("canonical", dedup="id_ticket_year")) == {2015: 1, 2016: 1}
     assert per_year(preset("canonical", dedup="id_ticket")) == {2015: 1}  # once, in its earliest year
+
+
+def test_left_parsed_spine(spark):
+    """side_unpivot's spine holds segments whose LEFT range parses; a segment
+    with an unparseable left range still appears when its right side matches."""
+    from curbline.plans.report import segment_report
+    tickets = tickets_df(spark, [("1", "01/01/2016", "NY", "126", "B ST")])
+    segments = segments_df(spark, [
+        ("S1", "101", "199", "100", "198", "A ST", "1", "A ST", ""),   # parsed left, no match: zero row
+        ("S2", "", "", "100", "198", "B ST", "1", "B ST", ""),         # no left range, right match: counted
+        ("S3", "x", "", "100", "198", "C ST", "1", "C ST", ""),        # no left range, no match: absent
+    ])
+    ids = sorted(r["segment_id"] for r in segment_report(tickets, segments, preset("side_unpivot")).collect())
+    assert ids == ["S1", "S2"]
+    assert sorted(r["segment_id"] for r in segment_report(tickets, segments, preset("canonical")).collect()) == [
+        "S1", "S2", "S3"]
