@@ -47,3 +47,10 @@ def test_wide_sides_keep_one_ticket_scan(spark):
     assert plan.count("FileScan parquet [l_orderkey") == 1
     want = sorted(tuple(r) for r in segment_report(t, s, fixture_policy()).collect())
     assert sorted(tuple(r) for r in df.collect()) == want
+
+
+def test_no_registered_query_has_nested_loops_or_python(spark):
+    for name, q in sorted(QUERIES.items()):
+        plan = plan_text(q(spark, SF_SMALL))
+        for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "EvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
+            assert bad not in plan, (name, bad)
