@@ -54,3 +54,7 @@ def test_no_registered_query_has_nested_loops_or_python(spark):
         plan = plan_text(q(spark, SF_SMALL))
         for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "EvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
             assert bad not in plan, (name, bad)
+        # column pruning: no scan reads a column that no query uses
+        for unused in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag", "p_brand", "p_retailprice",
+                       "o_totalprice", "c_acctbal"):
+            assert unused not in plan, (name, unused)
