@@ -71,7 +71,10 @@ def start_segment_counts(
     """Start the incremental count.
 
     With ``output_path`` every micro-batch overwrites a Parquet snapshot of the
-    complete counts (bounded by segments x years); without it the counts go to
+    complete counts (bounded by segments x years). A failed or replayed epoch
+    simply rewrites the whole snapshot, so the result is idempotent; a reader
+    running during an overwrite can see it half-written and should read after
+    the batch completes (e.g. from ``query.lastProgress``). Without it the counts go to
     an in-memory table named ``query_name`` (tests, notebooks). Progress and
     state live under ``checkpoint`` (default: a folder in the shared
     ``spark.checkpoint.dir``), so a restarted query resumes where it stopped.
