@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +55,26 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 def salt_of(column: Column, salts: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int")
+
+
+_shipped: set[str] = set()  # applications whose workers have this package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that they needn't have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="curbline-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import simhash
+from curbline.llm import bpe, simhash
 from curbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,22 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Digests of the ids and of the decoded bytes of each text."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    digested = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    decoded = bpe.decode(digested, ranks, keep=["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the 50k rank file, and the bytes decoded from them."""
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 3 bits or fewer."""

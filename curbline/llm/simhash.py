@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import stored
+from curbline.llm.common import arrow_map, stored
 
 MAX_ROUNDS = 60
 
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("body"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return arrow_map(rows, run, "doc_id long, fp long")
 
 
 def _cell(fp):
@@ -134,7 +134,7 @@ def links(distinct: DataFrame, radius: int = 3, tile_rows: int = 4096) -> DataFr
             ends = np.array(found, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], ["a", "b"])
 
-    return pairs.select("left", "right", "same").mapInArrow(run, "a long, b long")
+    return arrow_map(pairs.select("left", "right", "same"), run, "a long, b long")
 
 
 def _digest(edges: DataFrame) -> tuple:
