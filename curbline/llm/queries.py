@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import bpe, simhash
-from curbline.llm.common import table
+from curbline.llm import bpe, langid, simhash
+from curbline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 3 bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def learned_languages(spark: SparkSession, sf_dir: str) -> dict:
+    """Language profiles of the documents outside the held-out fold."""
+    return langid.learn(table(spark, sf_dir, "documents"), ~held_out(F.col("doc_id")))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; profiles come from all labelled documents outside the held-out fold."""
+    found = langid.predict(table(spark, sf_dir, "documents"), learned_languages(spark, sf_dir))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
