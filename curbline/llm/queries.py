@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import bpe, langid, simhash
+from curbline.llm import bpe, langid, quality, simhash
 from curbline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,23 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def learned_quality(spark: SparkSession, sf_dir: str) -> quality.Machine:
+    """The quality model of the labelled documents outside the held-out fold."""
+    return quality.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+
+
+ACCEPTED = 0.3  # scores from here on count as good
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a model that has not seen the held-out fold's labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    found = quality.with_score(docs, learned_quality(spark, sf_dir))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= ACCEPTED).cast("int").alias("predicted"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 3 bits or fewer."""
