@@ -16,19 +16,19 @@ from __future__ import annotations
 import base64
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm.common import arrow_map
+from curbline.llm.common import arrow_map, ship_package
 
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -53,40 +53,113 @@ def pair_table(ranks: dict[bytes, int]) -> dict[int, int]:
     return pairs
 
 
-def replay(words: list[bytes], byte_ids: np.ndarray, pairs: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+class PairRanks:
+    """Looks pairs up: one by one in a dict, or many at a time in sorted arrays."""
+
+    def __init__(self, pairs: dict[int, int]):
+        self.get = pairs.get
+        self.keys = np.fromiter(pairs, np.int64, len(pairs))
+        self.ranks = np.fromiter(pairs.values(), np.int64, len(pairs))
+        order = np.argsort(self.keys)
+        self.keys, self.ranks = self.keys[order], self.ranks[order]
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, -1 if it makes no token."""
+        pairs = (left << SHIFT) | right
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        return np.where((self.keys[at] == pairs) & (left >= 0) & (right >= 0), self.ranks[at], -1)
+
+
+def _add(index: dict[int, list], due: list[int], made: np.ndarray, places: np.ndarray) -> None:
+    """Enter places into the index under the ranks they make (-1: none)."""
+    some = np.flatnonzero(made >= 0)
+    if not len(some):
+        return
+    order = some[np.argsort(made[some], kind="stable")]
+    made, places = made[order], places[order]
+    cuts = np.flatnonzero(np.diff(made)) + 1
+    for rank, part in zip(made[np.r_[0, cuts]].tolist(), np.split(places, cuts)):
+        if rank not in index:
+            index[rank] = []
+            heappush(due, rank)
+        index[rank].append(part)
+
+
+def _replay_common(symbols: np.ndarray, ranks: PairRanks, least_places: int) -> np.ndarray:
+    """Replays merges in rank order, all places of a rank at once, as long as the ranks have many places; returns
+    the symbols that are left, end marks included."""
+    n = len(symbols)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    index: dict[int, list] = {}
+    due: list[int] = []
+    _add(index, due, ranks.of(symbols[:-1], symbols[1:]), np.arange(n - 1))
+    few = 0  # ranks with few places in a row
+    while due and few < 8:
+        rank = due[0]
+        places = np.unique(np.concatenate(index[rank]))
+        few = few + 1 if len(places) < least_places else 0
+        places = places[(symbols[places] >= 0)]
+        places = places[ranks.of(symbols[places], symbols[after[places]]) == rank]
+        right = after[places]
+        # of places that overlap, one after the other, the first, third, ... merge
+        joined = np.r_[False, right[:-1] == places[1:]] if len(places) else np.zeros(0, bool)
+        run = np.arange(len(places)) - np.maximum.accumulate(np.where(joined, 0, np.arange(len(places))))
+        places, right = places[run % 2 == 0], right[run % 2 == 0]
+        old, other, follower = symbols[places], symbols[right], after[right]
+        symbols[places], symbols[right] = rank, -1
+        after[places], before[follower] = follower, places
+        left = before[places]
+        to_right, to_left = ranks.of(symbols[places], symbols[follower]), ranks.of(symbols[left], symbols[places])
+        to_left[left < 0] = -1
+        if ((to_right >= 0) & (to_right <= rank)).any() or ((to_left >= 0) & (to_left <= rank)).any():
+            # some word goes on with a pair of lower or equal rank first: undo, and leave the rest to the other loop
+            symbols[places], symbols[right] = old, other
+            break
+        heappop(due)
+        del index[rank]
+        _add(index, due, np.concatenate([to_right, to_left]), np.concatenate([places, left]))
+    return symbols
+
+
+def replay(words: list[bytes], byte_ids: np.ndarray, ranks: PairRanks,
+           least_places: int = 48) -> tuple[np.ndarray, np.ndarray]:
     """The token ids of all words, one word after the other, and the number of ids of each word.
 
-    All words lie in one array of symbols, each followed by an end mark (-1); a symbol that was swallowed by the one
-    before it is -1 too. ``index`` maps a rank to the positions whose symbol and next symbol make that token.
+    All words lie in one array of symbols, each word followed by an end mark (-1). ``index`` maps a rank to the
+    positions whose symbol and next symbol make that token; merges are applied in rank order. Ranks with many
+    positions come first and are applied to all of them at once, the long tail one position at a time.
     """
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     body = byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+    ends = np.cumsum(sizes + 1) - 1
     whole = np.insert(body, np.cumsum(sizes), -1)
+    marks = np.zeros(len(whole), dtype=bool)
+    marks[ends] = True
+    whole = _replay_common(whole, ranks, least_places)
+    left = marks | (whole >= 0)
+    whole, marks = whole[left], marks[left]
+    symbols = _replay_rare(whole, ranks)
+    return symbols[symbols >= 0].astype(np.int32), np.diff(
+        np.cumsum(symbols >= 0)[np.flatnonzero(marks)], prepend=0)
+
+
+def _replay_rare(whole: np.ndarray, ranks: PairRanks) -> np.ndarray:
+    """Replays the merges in rank order one position at a time; swallowed symbols become -1."""
     n = len(whole)
     symbols = whole.tolist()
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    get = pairs.get
-
-    both = (whole[:-1] << SHIFT) | whole[1:]
-    places = np.flatnonzero((whole[:-1] >= 0) & (whole[1:] >= 0))
-    kinds, kind_of = np.unique(both[places], return_inverse=True)
-    made = np.array([get(kind, -1) for kind in kinds.tolist()], dtype=np.int64)[kind_of] if len(kinds) else kind_of
-    places, made = places[made >= 0], made[made >= 0]
-    order = np.argsort(made, kind="stable")
-    places, made = places[order], made[order]
-    index: dict[int, list[int]] = {}
-    if len(places):
-        cuts = np.flatnonzero(np.diff(made)) + 1
-        index = {int(part_rank): part.tolist() for part_rank, part in
-                 zip(made[np.r_[0, cuts]], np.split(places, cuts))}
-    due = list(index)
-    heapify(due)
+    get = ranks.get
+    entered: dict[int, list] = {}
+    due: list[int] = []
+    _add(entered, due, ranks.of(whole[:-1], whole[1:]), np.arange(n - 1))
+    index = {rank: parts[0].tolist() for rank, parts in entered.items()}
 
     while due:
         rank = heappop(due)
-        places = index.pop(rank, ())
-        if places:
-            places.sort()
+        places = index.pop(rank, None)
+        if not places:
+            continue
+        places.sort()
         base = rank << SHIFT
         for done, at in enumerate(places):
             right = after[at]
@@ -111,10 +184,7 @@ def replay(words: list[bytes], byte_ids: np.ndarray, pairs: dict[int, int]) -> t
                     index[rank] = places[done + 1:]
                     heappush(due, rank)
                 break
-
-    left_over = np.array(symbols, dtype=np.int64) >= 0
-    first = np.r_[0, np.cumsum(sizes + 1)[:-1]]
-    return np.array(symbols, dtype=np.int32)[left_over], np.add.reduceat(left_over, first, dtype=np.int64)
+    return np.array(symbols, dtype=np.int64)
 
 
 LATIN_END = 0x250  # texts with characters from here on are split by the slower matcher
@@ -137,7 +207,7 @@ def fast_split(pattern: str) -> tuple[re.Pattern, re.Pattern] | None:
 class Encoder:
     """Encodes texts by looking up their matches; the unknown ones of a call are replayed together."""
 
-    def __init__(self, ranks: dict[bytes, int], pairs: dict[int, int], pattern: str, kept_words: int = KEPT_WORDS):
+    def __init__(self, ranks: dict[bytes, int], pairs: PairRanks, pattern: str, kept_words: int = KEPT_WORDS):
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.pairs, self.slow, self.kept_words = pairs, regex.compile(pattern), kept_words
         self.fast = fast_split(pattern)
@@ -182,7 +252,7 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}  # of this Python worker: its next tasks go on with the words it knows
 
 
-def _encoder(key: tuple, ranks: dict[bytes, int], pairs: dict[int, int], pattern: str) -> Encoder:
+def _encoder(key: tuple, ranks: dict[bytes, int], pairs: PairRanks, pattern: str) -> Encoder:
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = Encoder(ranks, pairs, pattern)
@@ -205,9 +275,9 @@ def _slices(texts: list[str | None], most_chars: int) -> Iterator[list[str | Non
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           slice_chars: int = 4_000_000) -> DataFrame:
+           slice_chars: int = 2_000_000) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int), one row per row of ``docs``."""
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, pair_table(ranks)))
+    sent = docs.sparkSession.sparkContext.broadcast((ranks, PairRanks(pair_table(ranks))))
     key = (uuid.uuid4().hex, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,16 +295,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     return arrow_map(rows, run, "doc_id long, ids array<int>")
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], keep: list[str], ids_col: str = "ids") -> DataFrame:
-    """The columns ``keep`` and ``decoded`` (binary): the bytes that the ids stand for."""
-    sent = encoded.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
-    rows = encoded.select(*keep, F.col(ids_col).alias("_ids"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]) + ", decoded binary"
+def decoder(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[Column], Column]:
+    """A function of an array of ids: the bytes that they stand for."""
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("binary")
+    def decoded(ids: pa.Array) -> pa.Array:
         token = sent.value.__getitem__
-        for batch in batches:
-            texts = [b"".join(map(token, ids.as_py() or ())) for ids in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], [*keep, "decoded"])
+        return pa.array([b"".join(map(token, one.as_py() or ())) for one in ids], pa.binary())
 
-    return arrow_map(rows, run, schema)
+    return decoded
