@@ -31,6 +31,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--tickets", required=True, nargs="+", help="ticket CSV file(s), folder(s) or glob(s)")
     p.add_argument("--segments", required=True, nargs="+", help="segment CSV file(s)")
     p.add_argument("--out", help="output folder (not needed for --format count)")
+    p.add_argument("--overwrite", action="store_true", help="replace an existing output folder (otherwise an error)")
     p.add_argument("--preset", default="canonical", choices=sorted(PRESETS))
     p.add_argument("--format", default="csv", choices=("csv", "text", "parquet", "count"))
     p.add_argument("--years", help="comma-separated window, e.g. 2015,2016,2017,2018,2019")
@@ -72,19 +73,20 @@ def main(argv: list[str] | None = None) -> int:
     if args.years:
         overrides["years"] = tuple(int(y) for y in args.years.split(","))
     policy = preset(args.preset, **overrides)  # validates before Spark starts
-    spark = build_session(args.master) if args.master else build_session()
+    spark = build_session(args.master)
     tickets = read_tickets_csv(spark, args.tickets, multiline=args.multiline,
                                year_from_file_name=args.year_from_file_name)
     segments = read_segments_csv(spark, args.segments, multiline=args.multiline)
     report = segment_report(tickets, segments, policy)
+    mode = "overwrite" if args.overwrite else "errorifexists"
     if args.format == "count":
         print(count_sink(report))
     elif args.format == "csv":
-        write_report_csv(report, args.out)
+        write_report_csv(report, args.out, mode=mode)
     elif args.format == "text":
-        write_report_text(report, args.out)
+        write_report_text(report, args.out, mode=mode)
     else:
-        write_report_parquet(report, args.out)
+        write_report_parquet(report, args.out, mode=mode)
     return 0
 
 

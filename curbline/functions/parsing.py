@@ -25,22 +25,50 @@ BOROUGH_ALIASES_SHORT: dict[int, tuple[str, ...]] = {
     3: ("BK", "K"),
 }
 
-# Unsigned ASCII decimal, at most 18 digits so that it always fits a BIGINT.
-# ``\z`` (not ``$``) so that a trailing newline is not accepted.
-_STRICT_INT = r"^[0-9]{1,18}\z"
+# Unsigned ASCII decimal of any length. ``\z`` (not ``$``) so that a trailing newline is not accepted.
+_STRICT_INT = r"^[0-9]+\z"
+_STRICT_TUPLE = r"^[0-9]+(-[0-9]+)*\z"
+# The common case: it fits a BIGINT without a second look.
+_SHORT_INT = r"^[0-9]{1,18}\z"
+_SHORT_DIGITS = 18
+# What a number of more than 18 significant digits is as a BIGINT: larger than every shorter one. Two such numbers are
+# compared by their ``long_key``.
+LONG_NUMBER = 10**18
 
 
 def aliases_for(name: str) -> dict[int, tuple[str, ...]]:
     return BOROUGH_ALIASES_FULL if name == "full" else BOROUGH_ALIASES_SHORT
 
 
+def _significant(c: Column) -> Column:
+    """Digits without leading zeros (``''`` for zero)."""
+    return F.ltrim(c, F.lit("0"))
+
+
 def strict_int(c: Column) -> Column:
     """BIGINT when ``c`` is a plain unsigned decimal, else NULL.
 
     Stricter than ``try_cast`` (which accepts ' 12', '+7' and, in legacy mode,
-    '12.5') so that Spark, DuckDB and Python agree on every input.
+    '12.5') so that Spark, DuckDB and Python agree on every input. Leading
+    zeros don't count; a number of more than 18 digits is ``LONG_NUMBER``.
     """
-    return F.when(c.rlike(_STRICT_INT), c.cast("bigint"))
+    digits = _significant(c)
+    return (F.when(c.rlike(_SHORT_INT), c.cast("bigint"))
+            .when(c.rlike(_STRICT_INT), F.when(F.length(digits) > _SHORT_DIGITS, F.lit(LONG_NUMBER))
+                  .otherwise(F.concat(F.lit("0"), digits).cast("bigint"))))
+
+
+def long_key(c: Column) -> Column:
+    """Text that orders numbers of more than 18 digits among themselves (number of digits, then the digits);
+    NULL for every other input."""
+    digits = _significant(c)
+    return F.when(~c.rlike(_SHORT_INT) & c.rlike(_STRICT_INT) & (F.length(digits) > _SHORT_DIGITS),
+                  F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits))
+
+
+def at_most(a: Column, a_long: Column, b: Column, b_long: Column) -> Column:
+    """``a <= b`` for numbers of any length (BIGINTs of ``strict_int`` with their ``long_key``s)."""
+    return (a < b) | ((a == b) & ((a < LONG_NUMBER) | (a_long <= b_long)))
 
 
 def house_number_parses(c: Column, ticket_split: str) -> Column:
@@ -48,16 +76,16 @@ def house_number_parses(c: Column, ticket_split: str) -> Column:
     NULL), as one regular expression on the raw text; cheaper than testing
     the parsed column when the text itself is a computed expression."""
     if ticket_split == "first_two":
-        return c.rlike(r"^[0-9]{1,18}(-|\z)")
+        return c.rlike(r"^[0-9]+(-|\z)")
     if ticket_split == "strict_tuple":
-        return c.rlike(r"^[0-9]{1,18}(-[0-9]{1,18})*\z")
+        return c.rlike(_STRICT_TUPLE)
     raise ValueError(f"unknown ticket split {ticket_split!r}")
 
 
 def house_suffix_parses(c: Column) -> Column:
     """True exactly when ``house_first_two`` yields a non-NULL suffix (the
     second '-'-separated part is a strict integer), as one regex on the text."""
-    return c.rlike(r"^[^-]*-[0-9]{1,18}(-|\z)")
+    return c.rlike(r"^[^-]*-[0-9]+(-|\z)")
 
 
 def year_suffix(c: Column) -> Column:
@@ -97,25 +125,24 @@ def house_first_two(c: Column) -> tuple[Column, Column]:
     return strict_int(base), strict_int(suffix)
 
 
+def tuple_texts(c: Column) -> tuple[Column, Column]:
+    """First two parts of a text whose every '-'-separated part is an integer, else (NULL, NULL); one part ``n``
+    gives (n, '0')."""
+    parts, ok = F.split(c, "-"), c.rlike(_STRICT_TUPLE)
+    return F.when(ok, F.get(parts, 0)), F.when(ok, F.coalesce(F.get(parts, 1), F.lit("0")))
+
+
 def strict_tuple(c: Column) -> tuple[Column, Column]:
     """Every '-'-separated part must be an integer, else (NULL, NULL).
 
     One part ``n`` gives (n, 0); two or more give the first two parts.
     """
-    parts = F.split(c, "-")
-    ok = F.forall(parts, lambda p: p.rlike(_STRICT_INT))
-    base = F.when(ok, F.get(parts, 0).cast("bigint"))
-    suffix = F.when(ok, F.coalesce(F.get(parts, 1).cast("bigint"), F.lit(0).cast("bigint")))
-    return base, suffix
-
-
-def range_end_each(end: Column) -> tuple[Column, Column]:
-    """One range end split on its own, then both parts parsed strictly."""
-    return house_first_two(end)
+    base, suffix = tuple_texts(c)
+    return strict_int(base), strict_int(suffix)
 
 
-def side_range(low: Column, high: Column, mode: str) -> tuple[Column, Column, Column, Column]:
-    """(lo, hi, lo_c, hi_c) for one side of a segment under a split mode.
+def side_texts(low: Column, high: Column, mode: str) -> tuple[Column, Column, Column, Column]:
+    """(lo, hi, lo_c, hi_c) of one side of a segment as text, under a split mode.
 
     ``each``       every end split on its own (a plain end has a NULL suffix).
     ``pairwise``   split only when both ends contain '-'; otherwise the raw ends
@@ -125,25 +152,27 @@ def side_range(low: Column, high: Column, mode: str) -> tuple[Column, Column, Co
                    If either end fails, all four are NULL.
     """
     if mode == "each":
-        lo, lo_c = range_end_each(low)
-        hi, hi_c = range_end_each(high)
+        lo, lo_c = split_first_two(low)
+        hi, hi_c = split_first_two(high)
         return lo, hi, lo_c, hi_c
     if mode == "pairwise":
         both = low.contains("-") & high.contains("-")
         lo_parts, hi_parts = F.split(low, "-"), F.split(high, "-")
-        lo = strict_int(F.when(both, F.get(lo_parts, 0)).otherwise(low))
-        hi = strict_int(F.when(both, F.get(hi_parts, 0)).otherwise(high))
-        lo_c = F.when(both, strict_int(F.get(lo_parts, 1)))
-        hi_c = F.when(both, strict_int(F.get(hi_parts, 1)))
-        return lo, hi, lo_c, hi_c
+        return (F.when(both, F.get(lo_parts, 0)).otherwise(low), F.when(both, F.get(hi_parts, 0)).otherwise(high),
+                F.when(both, F.get(lo_parts, 1)), F.when(both, F.get(hi_parts, 1)))
     if mode == "strict_zero":
-        lo, lo_c = strict_tuple(low)
-        hi, hi_c = strict_tuple(high)
-        ok = lo.isNotNull() & hi.isNotNull()
-        return (F.when(ok, lo), F.when(ok, hi), F.when(ok, lo_c), F.when(ok, hi_c))
+        ok = low.rlike(_STRICT_TUPLE) & high.rlike(_STRICT_TUPLE)
+        lo, lo_c = tuple_texts(low)
+        hi, hi_c = tuple_texts(high)
+        return F.when(ok, lo), F.when(ok, hi), F.when(ok, lo_c), F.when(ok, hi_c)
     raise ValueError(f"unknown segment split mode {mode!r}")
 
 
+def side_range(low: Column, high: Column, mode: str) -> tuple[Column, Column, Column, Column]:
+    """``side_texts`` parsed: (lo, hi, lo_c, hi_c) as BIGINT or NULL."""
+    return tuple(strict_int(text) for text in side_texts(low, high, mode))
+
+
 def street_key_coalesce(full: Column, label: Column) -> Column:
     """Full street name unless it is empty or NULL, else the label."""
     return F.coalesce(F.nullif(full, F.lit("")), label)

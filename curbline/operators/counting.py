@@ -20,6 +20,9 @@ def dedup_matches(matched: DataFrame, policy: MatchPolicy) -> DataFrame:
 
     ``none``            every match counts (``n`` already carries multiplicity).
     ``id_ticket_year``  a ticket counts once per (segment, year).
+    ``id_ticket_year_side``
+                        a ticket counts once per (segment, year) and side: odd
+                        and even matches are deduplicated apart, then united.
     ``id_ticket``       a ticket counts once per segment, in its earliest year
                         (a deterministic choice where a ticket id carries two
                         years).
@@ -28,6 +31,8 @@ def dedup_matches(matched: DataFrame, policy: MatchPolicy) -> DataFrame:
         return matched.select("segment_id", "year", "n")
     if policy.dedup == "id_ticket_year":
         once = matched.select("segment_id", "ticket_id", "year").distinct()
+    elif policy.dedup == "id_ticket_year_side":
+        once = matched.select("segment_id", "ticket_id", "year", "is_left").distinct()
     elif policy.dedup == "id_ticket":
         once = matched.groupBy("segment_id", "ticket_id").agg(F.min("year").alias("year"))
     else:

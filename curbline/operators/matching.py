@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.functions.parsing import parity_is_odd
+from curbline.functions.parsing import at_most, parity_is_odd
 from curbline.operators.segments import SIDE_COLUMNS, block_of, explode_blocks, with_blocks
 from curbline.policy import MatchPolicy
 
@@ -52,29 +52,45 @@ def match_condition(policy: MatchPolicy, p: str = "p", s: str = "s") -> Column:
 
     ``hn``/``hn_suffix`` belong to the ticket, ``lo``..``o_hi_c`` to the side.
     """
-    a, b = F.col(f"{p}.hn"), F.col(f"{p}.hn_suffix")
-    lo, hi = F.col(f"{s}.lo"), F.col(f"{s}.hi")
-    lo_c, hi_c = F.col(f"{s}.lo_c"), F.col(f"{s}.hi_c")
-    in_base = a.between(lo, hi)
-    in_suffix = b.between(lo_c, hi_c)
+    a, b = ("hn", "hn"), ("hn_suffix", "suffix")  # column, name among the long keys
+
+    def between(number, low: str, high: str) -> Column:
+        return above(number, low) & below(number, high)
+
+    def above(number, low: str) -> Column:
+        return at_most(F.col(f"{s}.{low}"), F.col(f"{s}.long.{low}"),
+                       F.col(f"{p}.{number[0]}"), F.col(f"{p}.long.{number[1]}"))
+
+    def below(number, high: str) -> Column:
+        return at_most(F.col(f"{p}.{number[0]}"), F.col(f"{p}.long.{number[1]}"),
+                       F.col(f"{s}.{high}"), F.col(f"{s}.long.{high}"))
+
+    in_base, in_suffix = between(a, "lo", "hi"), between(b, "lo_c", "hi_c")
+    no_suffix = F.col(f"{p}.hn_suffix").isNull()
     rule = policy.compound
     if rule == "four_branch":
         # kind 0: base branch (number alone in range, side by parity of hn)
         # kind 1: compound branch (both parts in range, side by parity of suffix)
         return in_base & ((F.col(f"{p}.kind") == 0) | in_suffix)
     if rule == "same_side":
-        return in_base & (b.isNull() | in_suffix)
+        return in_base & (no_suffix | in_suffix)
     if rule == "either_side":
-        in_other = b.between(F.col(f"{s}.o_lo_c"), F.col(f"{s}.o_hi_c"))
-        return in_base & (b.isNull() | in_suffix | in_other)
+        return in_base & (no_suffix | in_suffix | between(b, "o_lo_c", "o_hi_c"))
     if rule == "wrong_high":
         # suffix >= low suffix, but the BASE number compared with the high suffix
-        return in_base & (b.isNull() | (lo_c.isNotNull() & hi_c.isNotNull() & (b >= lo_c) & (a <= hi_c)))
+        known = F.col(f"{s}.lo_c").isNotNull() & F.col(f"{s}.hi_c").isNotNull()
+        return in_base & (no_suffix | (known & above(b, "lo_c") & below(a, "hi_c")))
     if rule == "zero_default":
         return in_base & in_suffix
     raise ValueError(f"unknown compound rule {rule!r}")
 
 
+def _is_odd(number: str, key: str) -> Column:
+    """Parity of a number of any length; that of a long one is its last digit's."""
+    long = F.col(f"long.{key}")
+    return F.when(long.isNotNull(), F.substring(long, -1, 1).isin(*"13579")).otherwise(parity_is_odd(F.col(number)))
+
+
 def ticket_probes(tickets: DataFrame, policy: MatchPolicy, wide_lookup: bool = False) -> DataFrame:
     """Normalised tickets -> probes with the side (and block) they look up.
 
@@ -86,10 +102,10 @@ def ticket_probes(tickets: DataFrame, policy: MatchPolicy, wide_lookup: bool = F
     if policy.compound == "four_branch":
         kinds = F.when(suffix.isNotNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         probes = tickets.select("*", F.explode(kinds).alias("kind"))
-        is_left = F.when(F.col("kind") == 0, parity_is_odd(hn)).otherwise(parity_is_odd(suffix))
+        is_left = F.when(F.col("kind") == 0, _is_odd("hn", "hn")).otherwise(_is_odd("hn_suffix", "suffix"))
     else:
         probes = tickets.select("*", F.lit(0).alias("kind"))
-        is_left = parity_is_odd(hn)  # odd numbers are on the left side
+        is_left = _is_odd("hn", "hn")  # odd numbers are on the left side
     # hn is never NULL here (normalize_tickets drops those rows). The coalesce
     # only tells Catalyst that the join keys are not nullable, so it does not
     # infer extra IS NOT NULL filters that re-evaluate the house-number parse.
@@ -143,12 +159,12 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
     """All (segment, ticket) matches.
 
     Returns ``(segment_id, year, n)`` where ``n`` is a multiplicity to sum,
-    or, when the policy deduplicates by ticket, ``(segment_id, ticket_id, year)``
-    with one row per match.
+    or, when the policy deduplicates by ticket, ``(segment_id, ticket_id, year,
+    is_left)`` with one row per match.
     """
     by_ticket = policy.dedup != "none"
     keys = ["boro", "street", "is_left"]
-    payload = ["ticket_id", "year"] if by_ticket else ["year", "n"]
+    payload = ["ticket_id", "year", "is_left"] if by_ticket else ["year", "n"]
 
     if policy.bin_width:
         blocked = with_blocks(segment_sides, policy.bin_width)
@@ -165,7 +181,7 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
     broadcast = stats.narrow_bytes + stats.wide_bytes <= policy.broadcast_max_bytes
 
     probes = ticket_probes(tickets, policy, wide_lookup=bool(policy.bin_width and stats.wide_rows))
-    probe_cols = keys + ["hn", "hn_suffix", "kind", "year"]
+    probe_cols = keys + ["hn", "hn_suffix", "long", "kind", "year"]
     # raw probes (one row per ticket): needed to deduplicate by ticket; chosen
     # for a broadcast join (no shuffle); otherwise probes are pre-aggregated
     if policy.preaggregate == "auto":
@@ -183,6 +199,10 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
         probe_cols = probe_cols + ["salt"]
     if by_ticket:
         prepared = probes.select(*probe_cols, "ticket_id")
+        if broadcast:
+            # the deduplication groups by segment and ticket: rows dealt by ticket before the join are in place for
+            # it, and the join's fan-out is never shuffled
+            prepared = prepared.repartition("ticket_id")
     elif raw:
         # the counts are combined map-side after the join
         prepared = probes.select(*probe_cols, F.lit(1).cast("bigint").alias("n"))

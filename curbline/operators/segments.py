@@ -11,10 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.functions.parsing import fold, side_range, strict_int, street_key_coalesce
+from curbline.functions.parsing import (
+    at_most,
+    fold,
+    long_key,
+    side_range,
+    side_texts,
+    street_key_coalesce,
+    strict_int,
+)
 from curbline.policy import MatchPolicy
 
-SIDE_COLUMNS = ("segment_id", "boro", "street", "is_left", "lo", "hi", "lo_c", "hi_c", "o_lo_c", "o_hi_c")
+SIDE_COLUMNS = ("segment_id", "boro", "street", "is_left", "lo", "hi", "lo_c", "hi_c", "o_lo_c", "o_hi_c", "long")
 
 
 def street_keys(policy: MatchPolicy) -> Column:
@@ -33,31 +41,36 @@ def _valid_id(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def borough_number(c: Column) -> Column:
+    """A segment's borough code; NULL for anything that is no number an INT can hold."""
+    return strict_int(c).try_cast("int")
+
+
 def parsed_sides(segments: DataFrame, policy: MatchPolicy) -> DataFrame:
     """One row per (segment, side) with parsed ranges; no filtering on ranges.
 
     ``o_lo_c``/``o_hi_c`` carry the opposite side's suffix range, which the
-    ``either_side`` compound rule needs.
+    ``either_side`` compound rule needs. ``long`` holds the keys of ends of more
+    than 18 digits; it is NULL for the sides that have none, nearly all.
     """
-    l_lo, l_hi, l_lo_c, l_hi_c = side_range(F.col("l_low"), F.col("l_high"), policy.segment_split)
-    r_lo, r_hi, r_lo_c, r_hi_c = side_range(F.col("r_low"), F.col("r_high"), policy.segment_split)
-
-    def side(is_left: bool, lo, hi, lo_c, hi_c, o_lo_c, o_hi_c) -> Column:
-        return F.struct(
-            F.lit(is_left).alias("is_left"), lo.alias("lo"), hi.alias("hi"),
-            lo_c.alias("lo_c"), hi_c.alias("hi_c"), o_lo_c.alias("o_lo_c"), o_hi_c.alias("o_hi_c"),
-        )
-
-    both = F.array(
-        side(True, l_lo, l_hi, l_lo_c, l_hi_c, r_lo_c, r_hi_c),
-        side(False, r_lo, r_hi, r_lo_c, r_hi_c, l_lo_c, l_hi_c),
-    )
-    return segments.where(_valid_id(F.col("segment_id"))).select(
-        "segment_id",
-        strict_int(F.col("boro_code")).cast("int").alias("boro"),
-        street_keys(policy).alias("streets"),
-        F.inline(both),
-    )
+    l_lo, l_hi, l_lo_c, l_hi_c = side_texts(F.col("l_low"), F.col("l_high"), policy.segment_split)
+    r_lo, r_hi, r_lo_c, r_hi_c = side_texts(F.col("r_low"), F.col("r_high"), policy.segment_split)
+    names = ("lo", "hi", "lo_c", "hi_c", "o_lo_c", "o_hi_c")
+
+    def side(is_left: bool, *texts) -> Column:
+        return F.struct(F.lit(is_left).alias("is_left"), *[t.alias(f"{n}_text") for t, n in zip(texts, names)])
+
+    both = F.array(side(True, l_lo, l_hi, l_lo_c, l_hi_c, r_lo_c, r_hi_c),
+                   side(False, r_lo, r_hi, r_lo_c, r_hi_c, l_lo_c, l_hi_c))
+    # the generator hands the texts on as plain columns, so each is split once and parsed once
+    texts = segments.where(_valid_id(F.col("segment_id"))).select(
+        "segment_id", borough_number(F.col("boro_code")).alias("boro"), street_keys(policy).alias("streets"),
+        F.inline(both))
+    longest = F.greatest(*[F.length(f"{n}_text") for n in names])
+    keys = F.struct(*[long_key(F.col(f"{n}_text")).alias(n) for n in names])
+    return texts.select("segment_id", "boro", "streets", "is_left",
+                        *[strict_int(F.col(f"{n}_text")).alias(n) for n in names],
+                        F.when(longest > 18, keys).alias("long"))
 
 
 def segment_sides(segments: DataFrame, policy: MatchPolicy) -> DataFrame:
@@ -68,7 +81,7 @@ def segment_sides(segments: DataFrame, policy: MatchPolicy) -> DataFrame:
     """
     sides = parsed_sides(segments, policy).where(
         F.col("boro").isNotNull() & F.col("lo").isNotNull() & F.col("hi").isNotNull()
-        & (F.col("lo") <= F.col("hi"))
+        & at_most(F.col("lo"), F.col("long.lo"), F.col("hi"), F.col("long.hi"))
     )
     return (
         sides.select("*", F.explode("streets").alias("street"))

@@ -11,7 +11,10 @@ from curbline.functions.parsing import (
     fold,
     house_first_two,
     house_number_parses,
+    long_key,
+    split_first_two,
     strict_tuple,
+    tuple_texts,
     year_suffix,
 )
 from curbline.policy import MatchPolicy
@@ -25,6 +28,13 @@ def house_number_parts(house, ticket_split: str):
     raise ValueError(f"unknown ticket split {ticket_split!r}")
 
 
+def house_number_long_keys(house, ticket_split: str):
+    """``long_key`` of the two parts; NULL unless a part has more than 18 digits."""
+    texts = split_first_two(house) if ticket_split == "first_two" else tuple_texts(house)
+    # one look at the whole text decides for nearly all rows
+    return tuple(F.when(F.length(house) > 18, long_key(text)) for text in texts)
+
+
 def valid_ticket_condition(policy: MatchPolicy, has_year_column: bool = False):
     """Rows every variant keeps: year in the window, known borough alias,
     non-empty street and house number.
@@ -50,6 +60,7 @@ def valid_ticket_condition(policy: MatchPolicy, has_year_column: bool = False):
 
 def _normalized(policy: MatchPolicy, parsed_only: bool = False):
     hn, hn_suffix = house_number_parts(F.col("house_number"), policy.ticket_split)
+    hn_long, suffix_long = house_number_long_keys(F.col("house_number"), policy.ticket_split)
     if parsed_only:
         # The rows are already restricted to parseable numbers, so hn is never
         # NULL; the coalesce only declares that to Catalyst, which otherwise
@@ -58,16 +69,20 @@ def _normalized(policy: MatchPolicy, parsed_only: bool = False):
         hn = F.coalesce(hn, F.lit(-1).cast("bigint"))
     return (
         F.col("ticket_id"),
-        year_suffix(F.col("issue_date")).cast("int").alias("year"),
+        year_suffix(F.col("issue_date")).try_cast("int").alias("year"),
         borough_code(F.col("county"), policy.aliases).alias("boro"),
         fold(F.col("street_name"), policy.fold_case).alias("street"),
         hn.alias("hn"),
         hn_suffix.alias("hn_suffix"),
+        F.when(F.coalesce(hn_long, suffix_long).isNotNull(),
+               F.struct(hn_long.alias("hn"), suffix_long.alias("suffix"))).alias("long"),
     )
 
 
 def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bool = True) -> DataFrame:
-    """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix).
+    """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix, long).
+
+    ``long`` holds the keys of parts of more than 18 digits; NULL for all other tickets.
 
     ``hn`` is NULL when the base number is not a plain integer; such a ticket
     can never fall inside a range, so it is dropped here (before any shuffle)

@@ -13,9 +13,19 @@ from __future__ import annotations
 
 import math
 
-from curbline.functions.parsing import aliases_for
 from curbline.policy import MatchPolicy
-from curbline.sources.fixtures import COUNTY_CYCLE, FIXTURE_YEARS
+
+# Fixed values of the source data and of FIXTURES.md, stated here anew: the oracle shares none with the code it checks.
+ALIASES = {1: ["MAN", "MH", "MN", "NEWY", "NEW Y", "NY"], 2: ["BRONX", "BX"], 3: ["BK", "K", "KING", "KINGS"],
+           4: ["Q", "QN", "QNS", "QU", "QUEEN"], 5: ["R", "RICHMOND"]}
+NOT_IN_SHORT_LIST = {"KING", "KINGS"}
+COUNTY_CYCLE = ["MAN", "MH", "MN", "NEWY", "NEW Y", "NY", "BRONX", "BX", "BK", "K", "KING", "KINGS", "Q", "QN", "QNS",
+                "QU", "QUEEN", "R", "RICHMOND", "ZZ"]
+FIXTURE_YEARS = (1995, 1996, 1997, 1998, 1999)
+
+
+def aliases_for(name: str) -> dict[int, list[str]]:
+    return {code: [a for a in names if name == "full" or a not in NOT_IN_SHORT_LIST] for code, names in ALIASES.items()}
 
 _Q = "'"
 
@@ -28,8 +38,11 @@ def _list(items) -> str:
     return ", ".join(_lit(str(x)) for x in items)
 
 
+NUMBER = "HUGEINT"  # 38 digits: more than any number of the fixtures has
+
+
 def strict(x: str) -> str:
-    return f"(CASE WHEN regexp_full_match({x}, '[0-9]{{1,18}}') THEN CAST({x} AS BIGINT) END)"
+    return f"(CASE WHEN regexp_full_match({x}, '[0-9]+') THEN CAST({x} AS {NUMBER}) END)"
 
 
 # ----------------------------------------------------------------- fixtures
@@ -72,14 +85,52 @@ ev AS (
   SELECT CAST(o_custkey AS VARCHAR) AS id, CAST(year(o_orderdate) AS INTEGER) AS year,
          CAST(o_orderkey AS VARCHAR) AS event_id
   FROM orders
-  WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) BETWEEN {FIXTURE_YEARS[0]} AND {FIXTURE_YEARS[-1]}
+  WHERE year(o_orderdate) BETWEEN {FIXTURE_YEARS[0]} AND {FIXTURE_YEARS[-1]}
 ),
-sp AS (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer)"""
+sp AS (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer
+       UNION ALL SELECT 'S' || CAST(s_suppkey AS VARCHAR) FROM supplier)"""
+
+
+def _longer_sql(col: str, kind: str) -> str:
+    return (f"(CASE WHEN NOT regexp_full_match({col}, '[0-9]+') OR {kind} = 0 THEN {col} "
+            f"WHEN {kind} = 1 THEN lpad({col}, 30, '0') WHEN {kind} = 2 THEN {col} || repeat('0', 20) "
+            f"ELSE '1' || lpad({col}, 19, '0') END)")
+
+
+_K = "CAST(segment_id AS BIGINT)"
+LONG_FIXTURE_SQL = (
+    FIXTURE_SQL.replace("t0 AS (", "short_t AS (", 1).replace("s0 AS (", "short_s AS (", 1) + f""",
+t0 AS (SELECT * REPLACE ({_longer_sql('house_number', 'CAST(ticket_id AS BIGINT) % 4')} AS house_number) FROM short_t),
+s0 AS (SELECT * REPLACE (
+         {_longer_sql('l_low', _K + ' % 4')} AS l_low,
+         CASE WHEN {_K} % 8 = 5 THEN l_high || repeat('0', 20) ELSE {_longer_sql('l_high', _K + ' % 4')} END AS l_high,
+         {_longer_sql('r_low', _K + ' % 4')} AS r_low, {_longer_sql('r_high', _K + ' % 4')} AS r_high,
+         CASE WHEN {_K} % 17 = 0 THEN '99999999999' WHEN {_K} % 19 = 0 THEN 'X'
+              WHEN {_K} % 23 = 0 THEN repeat('9', 25) ELSE boro_code END AS boro_code) FROM short_s)""")
+
+
+def _moved_sql(col: str, shift: str) -> str:
+    return (f"(CASE WHEN regexp_full_match({col}, '[0-9]+') "
+            f"THEN CAST(CAST({col} AS BIGINT) + {shift} AS VARCHAR) ELSE {col} END)")
+
+
+_MORE = f"CASE WHEN {_K} % 29 = 0 THEN 20000 WHEN {_K} % 5 = 0 THEN 150 ELSE 0 END"
+SPREAD_FIXTURE_SQL = (
+    FIXTURE_SQL.replace("t0 AS (", "short_t AS (", 1).replace("s0 AS (", "short_s AS (", 1) + f""",
+t0 AS (SELECT * REPLACE ({_moved_sql('house_number', 'CAST(ticket_id AS BIGINT) % 20 * 50')} AS house_number)
+       FROM short_t),
+s0 AS (SELECT * REPLACE (
+         {_moved_sql('l_low', _K + ' % 20 * 50')} AS l_low, {_moved_sql('r_low', _K + ' % 20 * 50')} AS r_low,
+         {_moved_sql('l_high', f'{_K} % 20 * 50 + {_MORE}')} AS l_high,
+         {_moved_sql('r_high', f'{_K} % 20 * 50 + {_MORE}')} AS r_high,
+         CASE WHEN {_K} % 2 = 0 THEN upper(full_street) ELSE full_street END AS full_street,
+         CASE WHEN {_K} % 3 = 0 THEN 'old ' || alt_label ELSE alt_label END AS alt_label,
+         CASE WHEN {_K} % 31 = 0 THEN '' ELSE segment_id END AS segment_id) FROM short_s)""")
 
 
-def with_fixtures(*ctes: str) -> str:
+def with_fixtures(*ctes: str, fixtures: str = FIXTURE_SQL) -> str:
     """``WITH`` clause holding the fixtures followed by extra CTEs."""
-    return "WITH " + ",\n".join([FIXTURE_SQL.strip()] + [c.strip() for c in ctes])
+    return "WITH " + ",\n".join([fixtures.strip()] + [c.strip() for c in ctes])
 
 
 # ---------------------------------------------------------- normalisation
@@ -100,9 +151,9 @@ def house_sql(col: str, ticket_split: str) -> tuple[str, str]:
         base = f"(CASE WHEN contains({col}, '-') THEN split_part({col}, '-', 1) ELSE {col} END)"
         suffix = f"(CASE WHEN contains({col}, '-') THEN split_part({col}, '-', 2) END)"
         return strict(base), strict(suffix)
-    ok = f"regexp_full_match({col}, '[0-9]{{1,18}}(-[0-9]{{1,18}})*')"
-    base = f"(CASE WHEN {ok} THEN CAST(split_part({col}, '-', 1) AS BIGINT) END)"
-    suffix = (f"(CASE WHEN {ok} THEN CAST(coalesce(nullif(split_part({col}, '-', 2), ''), '0') AS BIGINT) END)")
+    ok = f"regexp_full_match({col}, '[0-9]+(-[0-9]+)*')"
+    base = f"(CASE WHEN {ok} THEN CAST(split_part({col}, '-', 1) AS {NUMBER}) END)"
+    suffix = (f"(CASE WHEN {ok} THEN CAST(coalesce(nullif(split_part({col}, '-', 2), ''), '0') AS {NUMBER}) END)")
     return base, suffix
 
 
@@ -140,10 +191,10 @@ def end_sql(col: str, mode: str, other: str) -> tuple[str, str]:
         suffix = f"(CASE WHEN {both} THEN {strict(part2)} END)"
         return strict(base), suffix
     if mode == "strict_zero":
-        ok = (f"(regexp_full_match({col}, '[0-9]{{1,18}}(-[0-9]{{1,18}})*') "
-              f"AND regexp_full_match({other}, '[0-9]{{1,18}}(-[0-9]{{1,18}})*'))")
-        base = f"(CASE WHEN {ok} THEN CAST(split_part({col}, '-', 1) AS BIGINT) END)"
-        suffix = f"(CASE WHEN {ok} THEN CAST(coalesce(nullif(split_part({col}, '-', 2), ''), '0') AS BIGINT) END)"
+        ok = (f"(regexp_full_match({col}, '[0-9]+(-[0-9]+)*') "
+              f"AND regexp_full_match({other}, '[0-9]+(-[0-9]+)*'))")
+        base = f"(CASE WHEN {ok} THEN CAST(split_part({col}, '-', 1) AS {NUMBER}) END)"
+        suffix = f"(CASE WHEN {ok} THEN CAST(coalesce(nullif(split_part({col}, '-', 2), ''), '0') AS {NUMBER}) END)"
         return base, suffix
     raise ValueError(mode)
 
@@ -203,13 +254,19 @@ def multiplicity_sql(policy: MatchPolicy) -> str:
 
 def matches_cte(policy: MatchPolicy, name: str = "m") -> str:
     return f"""{name} AS (
-  SELECT s.segment_id, t.ticket_id, t.year, {multiplicity_sql(policy)} AS n
+  SELECT s.segment_id, t.ticket_id, t.year, t.hn, {multiplicity_sql(policy)} AS n
   FROM t JOIN s ON t.boro = s.boro AND {street_match_sql(policy)})"""
 
 
 def counts_cte(policy: MatchPolicy, name: str = "c") -> str:
     if policy.dedup == "none":
         body = "SELECT segment_id, year, CAST(sum(n) AS BIGINT) AS n FROM m WHERE n > 0 GROUP BY segment_id, year"
+    elif policy.dedup == "id_ticket_year_side":
+        # odd and even numbers are matched, deduplicated and counted apart, then united
+        sides = [("SELECT DISTINCT segment_id, ticket_id, year FROM m "
+                  f"WHERE n > 0 AND hn % 2 = {odd}") for odd in (1, 0)]
+        body = (f"SELECT segment_id, year, count(*) AS n FROM ({' UNION ALL '.join(sides)}) "
+                "GROUP BY segment_id, year")
     elif policy.dedup == "id_ticket_year":
         body = ("SELECT segment_id, year, count(*) AS n FROM "
                 "(SELECT DISTINCT segment_id, ticket_id, year FROM m WHERE n > 0) GROUP BY segment_id, year")
@@ -275,7 +332,7 @@ def per_year_rows_cte(years, name: str = "w2", src: str = "w", id_col: str = "se
     return f"{name} AS (" + " UNION ALL ".join(parts) + ")"
 
 
-def report_sql(policy: MatchPolicy) -> str:
+def report_sql(policy: MatchPolicy, fixtures: str = FIXTURE_SQL) -> str:
     cols = policy.count_columns
     ctes = [tickets_cte(policy), segments_cte(policy), matches_cte(policy), counts_cte(policy),
             spine_cte(policy), wide_cte(policy.years)]
@@ -285,5 +342,5 @@ def report_sql(policy: MatchPolicy) -> str:
         src = "w2"
     slope = round_sql(slope_sql(cols, list(policy.years)), policy.rounding)
     order = " ORDER BY segment_id" if policy.order_by_id else ""
-    return (with_fixtures(*ctes)
+    return (with_fixtures(*ctes, fixtures=fixtures)
             + f"\nSELECT segment_id, {', '.join(cols)}, {slope} AS slope FROM {src}{order}")

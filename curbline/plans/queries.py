@@ -18,23 +18,27 @@ from curbline.functions.parsing import (
     fold,
     house_suffix_parses,
     side_range,
-    strict_int,
     street_key_coalesce,
     year_suffix,
 )
-from curbline.functions.trend import apply_rounding, row_mean_expr, slope_expr
+from curbline.functions.trend import apply_rounding, centred_slope_expr, row_mean_expr, slope_expr
 from curbline.operators import counting
 from curbline.operators.matching import match_pairs
-from curbline.operators.segments import parsed_sides, segment_sides, street_keys
+from curbline.operators.segments import borough_number, parsed_sides, segment_sides, street_keys
 from curbline.operators.tickets import house_number_parts, normalize_tickets
 from curbline.plans import oracle as O
 from curbline.plans.report import segment_report
 from curbline.policy import PRESETS, MatchPolicy, preset
+from curbline.sources.csv_io import TICKET_COLUMNS, TICKET_FIELDS, TICKET_SCHEMA, TICKET_WIDTH
 from curbline.sources.fixtures import (
     FIXTURE_YEARS,
     fixture_events,
+    fixture_long_segments,
+    fixture_long_tickets,
     fixture_segments,
     fixture_spine,
+    fixture_spread_segments,
+    fixture_spread_tickets,
     fixture_tickets,
 )
 
@@ -76,7 +80,8 @@ _hn, _sfx = O.house_sql("house_number", "first_two")
 _thn, _tsfx = O.house_sql("house_number", "strict_tuple")
 SQL_HOUSE_NUMBER_SPLIT = O.with_fixtures(
     "h AS (SELECT DISTINCT house_number FROM t0 WHERE house_number IS NOT NULL)") + f"""
-SELECT house_number, {_hn} AS hn, {_sfx} AS hn_suffix, {_thn} AS tuple_hn, {_tsfx} AS tuple_suffix,
+SELECT house_number, CAST({_hn} AS BIGINT) AS hn, CAST({_sfx} AS BIGINT) AS hn_suffix,
+       CAST({_thn} AS BIGINT) AS tuple_hn, CAST({_tsfx} AS BIGINT) AS tuple_suffix,
        ({_hn} % 2 = 1) AS hn_odd, regexp_full_match(house_number, '\\p{{L}}+') AS is_alpha
 FROM h"""
 
@@ -129,7 +134,7 @@ def _side_split_sql(is_left: bool, lo: str, hi: str) -> str:
     for m in ("each", "pairwise", "strict_zero"):
         a, c = O.end_sql(lo, m, hi)
         b, d = O.end_sql(hi, m, lo)
-        cols += [f"{a} AS {m}_lo", f"{b} AS {m}_hi", f"{c} AS {m}_lo_c", f"{d} AS {m}_hi_c"]
+        cols += [f"CAST({x} AS BIGINT) AS {m}_{name}" for x, name in zip((a, b, c, d), ("lo", "hi", "lo_c", "hi_c"))]
     return f"SELECT segment_id, {str(is_left).lower()} AS is_left, " + ", ".join(cols) + " FROM s0"
 
 
@@ -159,8 +164,9 @@ def _unpivot_sql() -> str:
     for is_left, lo, hi in ((True, "l_low", "l_high"), (False, "r_low", "r_high")):
         a, c = O.end_sql(lo, "strict_zero", hi)
         b, d = O.end_sql(hi, "strict_zero", lo)
-        parts.append(f"SELECT segment_id, {str(is_left).lower()} AS is_left, {a} AS lo, {b} AS hi, "
-                     f"{c} AS lo_c, {d} AS hi_c FROM s0 WHERE segment_id <> '' AND {a} IS NOT NULL AND {b} IS NOT NULL")
+        parts.append(f"SELECT segment_id, {str(is_left).lower()} AS is_left, "
+                     f"CAST({a} AS BIGINT) AS lo, CAST({b} AS BIGINT) AS hi, "
+                     f"CAST({c} AS BIGINT) AS lo_c, CAST({d} AS BIGINT) AS hi_c FROM s0 WHERE segment_id <> '' AND {a} IS NOT NULL AND {b} IS NOT NULL")
     return O.with_fixtures() + "\n" + "\nUNION ALL\n".join(parts)
 
 
@@ -187,15 +193,18 @@ def _segment_keys(spark, sf) -> DataFrame:
         F.struct(F.lit("coalesce").alias("kind"), F.array(coal).alias("keys")),
         F.struct(F.lit("either").alias("kind"), either.alias("keys")),
     )
-    return (s.select("segment_id", strict_int(F.col("boro_code")).cast("int").alias("boro"), F.inline(kinds))
+    return (s.select("segment_id", borough_number(F.col("boro_code")).alias("boro"), F.inline(kinds))
             .select("segment_id", "boro", "kind", F.explode("keys").alias("street")))
 
 
 def _equi_counts(spark, sf, kinds: list[str]) -> DataFrame:
     keys = _segment_keys(spark, sf).where(F.col("kind").isin(kinds))
-    joined = keys.join(_ticket_streets(spark, sf), ["boro", "street"], "left")
+    # keys that can't meet a valid ticket don't travel; their segments keep their zero row
+    joined = (keys.where("boro is not null and street <> ''").join(_ticket_streets(spark, sf), ["boro", "street"])
+              .select("segment_id", "kind", "n"))
+    ids = fixture_segments(spark, sf).select("segment_id", F.lit("").alias("kind"), F.lit(0).cast("bigint").alias("n"))
     zero = F.lit(0).cast("bigint")
-    return joined.groupBy("segment_id").agg(
+    return joined.unionByName(ids).groupBy("segment_id").agg(
         *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), zero).alias(f"pairs_{k}") for k in kinds]
     )
 
@@ -299,6 +308,14 @@ def q_yearly_pivot_per_id_year(spark, sf):
     return counting.yearly_pivot_per_id_year(_events(spark, sf), YEARS)
 
 
+ABSENT_YEAR = 2005  # after all orders
+
+
+def q_yearly_pivot_absent_year(spark, sf):
+    """A year of the window without any event still has its column."""
+    return counting.yearly_pivot(_events(spark, sf), [*YEARS, ABSENT_YEAR])
+
+
 def q_one_hot_vector_sum(spark, sf):
     return counting.one_hot_vector_sum(_events(spark, sf), YEARS)
 
@@ -335,6 +352,12 @@ def q_trend_slope_long(spark, sf):
     return grid.groupBy("id").agg(F.round(slope, 9).alias("slope"))
 
 
+def q_trend_slope_centred(spark, sf):
+    """The mean-centred form, rounded to 9 places like the long form."""
+    w = _trend_base(spark, sf)
+    return w.select("id", F.round(centred_slope_expr(COUNT_COLS), 9).alias("slope"))
+
+
 _EV_PIVOT = ", ".join(f"count(*) FILTER (WHERE year = {y}) AS count_{y}" for y in YEARS)
 _EV_WIDE = O.with_fixtures(
     "ids AS (SELECT DISTINCT id FROM sp)",
@@ -374,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "count_per_id_year": q_count_per_id_year,
     "yearly_pivot": q_yearly_pivot,
     "yearly_pivot_per_id_year": q_yearly_pivot_per_id_year,
+    "yearly_pivot_absent_year": q_yearly_pivot_absent_year,
     "one_hot_vector_sum": q_one_hot_vector_sum,
     "spine_zero_fill": q_spine_zero_fill,
     "spine_union_zero": q_spine_union_zero,
@@ -382,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "trend_slope": q_trend_slope,
     "trend_slope_long": q_trend_slope_long,
     "trend_slope_int": q_trend_slope_int,
+    "trend_slope_centred": q_trend_slope_centred,
 }
 ORACLES: dict[str, str] = {
     "valid_tickets_by_code": SQL_VALID_TICKETS,
@@ -398,6 +423,7 @@ ORACLES: dict[str, str] = {
     "count_per_id_year": SQL_COUNT_PER_ID_YEAR,
     "yearly_pivot": SQL_YEARLY_PIVOT,
     "yearly_pivot_per_id_year": SQL_YEARLY_PIVOT_PER_ID_YEAR,
+    "yearly_pivot_absent_year": f"SELECT *, CAST(0 AS BIGINT) AS count_{ABSENT_YEAR} FROM ({SQL_YEARLY_PIVOT})",
     "one_hot_vector_sum": SQL_YEARLY_PIVOT,
     "spine_zero_fill": SQL_SPINE_ZERO_FILL,
     "spine_union_zero": SQL_SPINE_ZERO_FILL,
@@ -406,6 +432,7 @@ ORACLES: dict[str, str] = {
     "trend_slope": SQL_TREND_SLOPE,
     "trend_slope_long": SQL_TREND_SLOPE_LONG,
     "trend_slope_int": SQL_TREND_SLOPE_INT,
+    "trend_slope_centred": SQL_TREND_SLOPE_LONG,
 }
 
 for _name in REPORT_PRESETS:
@@ -436,6 +463,50 @@ def q_report_count(spark, sf):
     return rep.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def q_long_house_numbers(spark, sf):
+    """The canonical report over house numbers and ranges of up to 30 digits, zero-padded ones, and borough codes that
+    are no numbers or too large."""
+    return segment_report(fixture_long_tickets(spark, sf), fixture_long_segments(spark, sf), CANON)
+
+
+QUERIES["long_house_numbers"] = q_long_house_numbers
+ORACLES["long_house_numbers"] = O.report_sql(CANON, fixtures=O.LONG_FIXTURE_SQL)
+
+def _spread_report(policy: MatchPolicy) -> Query:
+    def run(spark, sf):
+        return segment_report(fixture_spread_tickets(spark, sf), fixture_spread_segments(spark, sf), policy)
+    return run
+
+
+# the same presets where blocks differ, some sides span hundreds of them, and names decide by case or by alternative
+QUERIES["match_canonical_wide_sides"] = _spread_report(CANON)
+ORACLES["match_canonical_wide_sides"] = O.report_sql(CANON, fixtures=O.SPREAD_FIXTURE_SQL)
+for _name in ("four_branch", "split_union"):
+    _pol = fixture_policy(_name)
+    QUERIES[f"match_{_name}_spread"] = _spread_report(_pol)
+    ORACLES[f"match_{_name}_spread"] = O.report_sql(_pol, fixtures=O.SPREAD_FIXTURE_SQL)
+
+ROW_SHUFFLE_POLICY = fixture_policy("row_predicate", broadcast_max_bytes=0)  # the salted join of raw probes
+QUERIES["match_row_predicate_shuffle_join"] = _report_query(ROW_SHUFFLE_POLICY)
+ORACLES["match_row_predicate_shuffle_join"] = O.report_sql(fixture_policy("row_predicate"))
+
+
+def q_csv_record_parse(spark, sf):
+    """CSV text made from the tickets (quoted commas, doubled quotes), parsed with the reader's schema and options."""
+    t = fixture_tickets(spark, sf)
+    street = F.concat(F.lit('"'), F.col("street_name"), F.lit(', ""EAST"" "'))
+    fields = {**{name: F.col(name) for name in TICKET_FIELDS.values()}, "street_name": street}
+    line = F.concat_ws(",", *[F.coalesce(fields[TICKET_FIELDS[i]], F.lit("")) if i in TICKET_FIELDS else F.lit("")
+                              for i in range(TICKET_WIDTH)])
+    parsed = F.from_csv(line, TICKET_SCHEMA.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"'})
+    return t.select(parsed.alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in TICKET_COLUMNS])
+
+
+QUERIES["csv_record_parse"] = q_csv_record_parse
+ORACLES["csv_record_parse"] = O.with_fixtures() + """
+SELECT ticket_id, issue_date, county, nullif(house_number, '') AS house_number,
+       street_name || ', "EAST" ' AS street_name FROM t0"""
+
 _REPORT = O.report_sql(CANON)
 QUERIES["report_lines"] = q_report_lines
 ORACLES["report_lines"] = (f"SELECT concat_ws(', ', segment_id, {', '.join(CANON.count_columns)}, slope) AS line "

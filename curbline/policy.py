@@ -15,7 +15,7 @@ LABEL_COLUMNS = ("street_label", "alt_label")
 TICKET_SPLITS = ("first_two", "strict_tuple")
 SEGMENT_SPLITS = ("each", "pairwise", "strict_zero")
 COMPOUND_RULES = ("four_branch", "same_side", "either_side", "wrong_high", "zero_default")
-DEDUP_MODES = ("none", "id_ticket", "id_ticket_year")
+DEDUP_MODES = ("none", "id_ticket", "id_ticket_year", "id_ticket_year_side")
 SPINE_MODES = ("all_ids", "left_parsed_ids")
 GROUP_MODES = ("per_id", "per_id_year")
 ALIAS_SETS = ("full", "short")
@@ -151,10 +151,10 @@ PRESETS: dict[str, MatchPolicy] = {
         name="row_predicate", street_key="either", compound="wrong_high",
         dedup="id_ticket",
     ),
-    # pure-RDD join on the full name, dedup by (segment, ticket, year)
+    # pure-RDD join on the full name, dedup by (segment, ticket, year) per side
     "distinct_ticket": MatchPolicy(
         name="distinct_ticket", street_key="full", compound="same_side",
-        dedup="id_ticket_year", aliases="short", rounding="2dp",
+        dedup="id_ticket_year_side", aliases="short", rounding="2dp",
     ),
     # sides unpivoted, side flag as a join key
     "side_unpivot": MatchPolicy(

@@ -22,26 +22,28 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = None,
     app_name: str = "curbline",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster, ``master`` comes from spark-submit and ``shuffle_partitions``
-    should be sized so that one shuffle partition stays around 128-256 MB.
+    Without ``master`` the launcher's choice stands (spark-submit's ``--master``,
+    the cluster's defaults); pass one only where there is no launcher.
+    ``shuffle_partitions`` should be sized so that one shuffle partition stays
+    around 128-256 MB.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 # private checkpoint folder per application, only when the setting is absent
@@ -52,10 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins (it is a core setting and cannot be
-    changed on a running session). Only when it is absent (local runs and
-    tests) is a private folder created, and it is registered as the
-    SparkContext's checkpoint folder, so nothing is written to a
-    machine-local folder on a real cluster.
+    changed on a running session). Where it is absent a local session gets a
+    private folder; on a cluster that is an error, because the executors would
+    not see a machine-local folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -63,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     private = _PRIVATE_DIRS.get(sc.applicationId)
     if private is None:
         private = tempfile.mkdtemp(prefix="curbline-ckpt-")

@@ -56,13 +56,17 @@ def read_tickets_csv(
 ) -> DataFrame:
     """Ticket rows with the named columns (all text).
 
-    ``year_from_file_name`` keeps only rows whose issue year equals the first
-    4-digit number in the file name (one-file-per-year layouts that must not
-    count a row filed under another year).
+    ``year_from_file_name`` keeps only rows whose issue year equals the year in
+    the file name, the last stand-alone number 1900-2099 in it (one-file-per-year
+    layouts that must not count a row filed under another year). A file without
+    such a number stops the job rather than losing its rows.
     """
     df = _reader(spark, TICKET_SCHEMA, multiline).csv(path)
     if year_from_file_name:
-        file_year = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4})", 1)
+        name = F.col("_metadata.file_name")
+        found = F.regexp_extract(name, r"^.*(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])", 1)
+        file_year = F.when(found != "", found).otherwise(
+            F.raise_error(F.concat(F.lit("no year in file name "), name)))
         df = df.where(F.substring("issue_date", -4, 4) == file_year)
     return df.select(*TICKET_COLUMNS)
 
@@ -79,18 +83,18 @@ def read_tickets_parquet(spark: SparkSession, path: str) -> DataFrame:
 # --------------------------------------------------------------------- sinks
 
 
-def write_report_csv(report: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_report_csv(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Comma-separated part files, no header."""
     report.write.mode(mode).option("header", False).csv(path)
 
 
-def write_report_text(report: DataFrame, path: str, separator: str = ", ", mode: str = "overwrite") -> None:
+def write_report_text(report: DataFrame, path: str, separator: str = ", ", mode: str = "errorifexists") -> None:
     """One text line per row, fields joined by ``separator``."""
     line = F.concat_ws(separator, *[F.col(c).cast("string") for c in report.columns])
     report.select(line.alias("value")).write.mode(mode).text(path)
 
 
-def write_report_parquet(report: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_report_parquet(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
     report.write.mode(mode).parquet(path)
 
 
@@ -99,7 +103,7 @@ def count_sink(report: DataFrame) -> int:
     return report.count()
 
 
-def write_curated_tickets(tickets: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_curated_tickets(tickets: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Raw ticket columns as Parquet partitioned by an integer ``year``
     (the issue-date suffix; NULL when it is not a 4-digit number).
 

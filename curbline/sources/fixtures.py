@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 FIXTURE_YEARS = (1995, 1996, 1997, 1998, 1999)
 
@@ -21,20 +20,8 @@ COUNTY_CYCLE = (
 )
 
 
-# Inferred schemas of the (immutable) test tables, per path: inferring a
-# Parquet schema costs a footer read on every spark.read.parquet call, so only
-# the first read of a path in this process infers; later reads pass it.
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def rebalanced(df: DataFrame, key: str) -> DataFrame:
@@ -48,11 +35,8 @@ def rebalanced(df: DataFrame, key: str) -> DataFrame:
     retry.) Inputs that are already split, the normal case for large data,
     are returned unchanged.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: no partition count; leave as is
-        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.rdd.getNumPartitions()
     return df.repartition(cores, key) if parts < cores else df
 
 
@@ -114,11 +98,10 @@ def fixture_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, year) events for the count/trend operators: urgent orders per customer."""
+    """(id, year) events for the count/trend operators: all orders of the window, per customer."""
     return (
         table(spark, sf_dir, "orders")
-        .where((F.col("o_orderpriority") == "1-URGENT")
-               & F.year("o_orderdate").between(FIXTURE_YEARS[0], FIXTURE_YEARS[-1]))
+        .where(F.year("o_orderdate").between(FIXTURE_YEARS[0], FIXTURE_YEARS[-1]))
         .select(F.col("o_custkey").cast("string").alias("id"),
                 F.year("o_orderdate").alias("year"),
                 F.col("o_orderkey").cast("string").alias("event_id"))
@@ -126,5 +109,64 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customer ids (the spine of the count/trend operators)."""
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"))
+    """The spine of the count/trend operators: all customer ids, and all supplier keys under ids of their own (no
+    order bears those, so zero rows exist at every size)."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("id"))
+    return customers.union(suppliers)
+
+
+_PLAIN = r"^[0-9]+\z"
+
+
+def _longer(number, kind):
+    """A plain number as it is, zero-padded to 30 digits, with 20 zeros behind, or as 1, 19 digits; other text as is."""
+    return (F.when(~number.rlike(_PLAIN) | (kind == 0), number)
+            .when(kind == 1, F.lpad(number, 30, "0"))
+            .when(kind == 2, F.concat(number, F.lit("0" * 20)))
+            .otherwise(F.concat(F.lit("1"), F.lpad(number, 19, "0"))))
+
+
+def fixture_long_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tickets with house numbers of up to 30 digits."""
+    t = fixture_tickets(spark, sf_dir)
+    return t.withColumn("house_number", _longer(F.col("house_number"), F.col("ticket_id").cast("bigint") % 4))
+
+
+def fixture_long_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments with range ends of up to 30 digits, and some impossible borough codes."""
+    s = fixture_segments(spark, sf_dir)
+    k = F.col("segment_id").cast("bigint")
+    ends = {c: _longer(F.col(c), k % 4) for c in ("l_low", "l_high", "r_low", "r_high")}
+    # one segment in eight reaches from a short number to a long one
+    ends["l_high"] = F.when(k % 8 == 5, F.concat(F.col("l_high"), F.lit("0" * 20))).otherwise(ends["l_high"])
+    boro = (F.when(k % 17 == 0, F.lit("99999999999")).when(k % 19 == 0, F.lit("X")).when(k % 23 == 0, F.lit("9" * 25))
+            .otherwise(F.col("boro_code")))
+    return s.withColumns({**ends, "boro_code": boro})
+
+
+def fixture_spread_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tickets with plain house numbers spread over about a thousand."""
+    t = fixture_tickets(spark, sf_dir)
+    n, shift = F.col("house_number"), F.col("ticket_id").cast("bigint") % 20 * 50
+    return t.withColumn("house_number", F.when(n.rlike(_PLAIN), (n.cast("bigint") + shift).cast("string")).otherwise(n))
+
+
+def fixture_spread_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments spread likewise; some sides span hundreds of blocks, half the full names are in the tickets' case,
+    a third of the alternative labels are other names, some ids are empty."""
+    s = fixture_segments(spark, sf_dir)
+    k = F.col("segment_id").cast("bigint")
+
+    def moved(end: str, more):
+        c = F.col(end)
+        return F.when(c.rlike(_PLAIN), (c.cast("bigint") + k % 20 * 50 + more).cast("string")).otherwise(c)
+
+    wide = F.when(k % 29 == 0, 20_000).when(k % 5 == 0, 150).otherwise(0)
+    return s.withColumns({
+        "l_low": moved("l_low", F.lit(0)), "r_low": moved("r_low", F.lit(0)),
+        "l_high": moved("l_high", wide), "r_high": moved("r_high", wide),
+        "full_street": F.when(k % 2 == 0, F.upper("full_street")).otherwise(F.col("full_street")),
+        "alt_label": F.when(k % 3 == 0, F.concat(F.lit("old "), "alt_label")).otherwise(F.col("alt_label")),
+        "segment_id": F.when(k % 31 == 0, F.lit("")).otherwise(F.col("segment_id")),
+    })

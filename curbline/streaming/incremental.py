@@ -67,18 +67,21 @@ def start_segment_counts(
     query_name: str = "segment_counts",
     checkpoint: str | None = None,
     trigger_once: bool = False,
+    in_memory: bool = False,
 ) -> StreamingQuery:
     """Start the incremental count.
 
-    With ``output_path`` every micro-batch overwrites a Parquet snapshot of the
-    complete counts (bounded by segments x years). A failed or replayed epoch
-    simply rewrites the whole snapshot, so the result is idempotent; a reader
-    running during an overwrite can see it half-written and should read after
-    the batch completes (e.g. from ``query.lastProgress``). Without it the counts go to
-    an in-memory table named ``query_name`` (tests, notebooks). Progress and
-    state live under ``checkpoint`` (default: a folder in the shared
+    With ``output_path`` every micro-batch writes a Parquet snapshot of the
+    complete counts (bounded by segments x years) into a folder of its own,
+    ``epoch=<n>``; ``latest_counts`` reads the newest. A replayed epoch rewrites
+    its own folder, so the result is idempotent and no reader sees half a
+    snapshot of an earlier epoch. ``in_memory`` collects the counts in a driver
+    table named ``query_name`` instead (tests, notebooks). Progress and state
+    live under ``checkpoint`` (default: a folder in the shared
     ``spark.checkpoint.dir``), so a restarted query resumes where it stopped.
     """
+    if (output_path is None) != in_memory:
+        raise ValueError("give output_path, or in_memory=True for a table on the driver")
     spark = ticket_stream.sparkSession
     counts = stream_segment_counts(ticket_stream, segments, policy)
     writer = (counts.writeStream.outputMode("complete").queryName(query_name)
@@ -89,11 +92,18 @@ def start_segment_counts(
         return writer.format("memory").start()
 
     def write_snapshot(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
+        batch.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/epoch={epoch_id}")
 
     return writer.foreachBatch(write_snapshot).start()
 
 
+def latest_counts(spark: SparkSession, output_path: str) -> DataFrame:
+    """The newest snapshot's ``(segment_id, year, n)``: one partition folder is read."""
+    snapshots = spark.read.parquet(output_path)
+    newest = snapshots.agg(F.max("epoch")).first()[0]
+    return snapshots.where(F.col("epoch") == newest).drop("epoch")
+
+
 def report_from_counts(counts: DataFrame, segments: DataFrame, policy: MatchPolicy) -> DataFrame:
     """Batch report (zero-filled spine, yearly columns, slope) from a counts table."""
     wide = yearly_vector(counts.select("segment_id", "year", "n"), segment_spine(segments, policy), policy.years)

@@ -12,6 +12,7 @@ from curbline.sources.fixtures import fixture_segments, fixture_tickets
 from curbline.streaming.incremental import (
     read_tickets_stream_parquet,
     report_from_counts,
+    latest_counts,
     start_segment_counts,
 )
 
@@ -26,7 +27,7 @@ def test_stream_equals_batch(spark):
         tickets.where(bucket == b).coalesce(1).write.mode("append").parquet(folder)
 
     stream = read_tickets_stream_parquet(spark, folder, tickets.schema, max_files_per_trigger=1)
-    q = start_segment_counts(stream, segments, pol, query_name="counts_test",
+    q = start_segment_counts(stream, segments, pol, query_name="counts_test", in_memory=True,
                              checkpoint=tempfile.mkdtemp(prefix="curbline-ckpt-"))
     try:
         q.processAllAvailable()
@@ -52,7 +53,7 @@ def test_stream_snapshot_sink(spark):
                              query_name="snapshot_test", checkpoint=tempfile.mkdtemp(prefix="curbline-ckpt-"),
                              trigger_once=True)
     q.awaitTermination(300)
-    snap = spark.read.parquet(os.path.join(out, "counts"))
+    snap = latest_counts(spark, os.path.join(out, "counts"))
     assert snap.agg(F.sum("n")).first()[0] == segment_counts(tickets, segments, pol).agg(F.sum("n")).first()[0]
 
 
@@ -67,13 +68,13 @@ def test_stream_resumes_from_checkpoint(spark):
     tickets.where(half == 0).coalesce(1).write.mode("append").parquet(folder)
 
     q = start_segment_counts(read_tickets_stream_parquet(spark, folder, tickets.schema), segments, pol,
-                             query_name="resume_a", checkpoint=ckpt)
+                             query_name="resume_a", in_memory=True, checkpoint=ckpt)
     q.processAllAvailable()
     q.stop()
 
     tickets.where(half == 1).coalesce(1).write.mode("append").parquet(folder)
     q = start_segment_counts(read_tickets_stream_parquet(spark, folder, tickets.schema), segments, pol,
-                             query_name="resume_b", checkpoint=ckpt)
+                             query_name="resume_b", in_memory=True, checkpoint=ckpt)
     try:
         q.processAllAvailable()
         got = spark.table("resume_b").agg(F.sum("n")).first()[0]
@@ -100,7 +101,7 @@ def test_stream_from_csv_files(spark):
                                                          ticket("4", "01/02/2016", "ZZ", "125", "MAIN ST")])
     segments = segments_df(spark, [("S1", "101", "199", "100", "198", "MAIN ST", "1", "MAIN ST", "")])
     q = start_segment_counts(read_tickets_stream_csv(spark, folder, max_files_per_trigger=1), segments,
-                             preset("canonical"), query_name="csv_stream",
+                             preset("canonical"), query_name="csv_stream", in_memory=True,
                              checkpoint=tempfile.mkdtemp(prefix="curbline-ckpt-"))
     try:
         q.processAllAvailable()
