@@ -212,25 +212,27 @@ class Index:
                 for w, lo, hi in zip(some[hits], low[hits], high[hits]):
                     for item, offset in places[order[lo:hi]]:
                         suspects.add((int(owner[w]), int(item), int(start[w] - offset)))
-        result: dict[tuple[int, int], tuple[int, int, int]] = {}
-        done: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        stretches: dict[tuple[int, int], list[list[int]]] = {}
         for text, item, begin in sorted(suspects):
+            size = len(self.items[item][1])
+            most = int(self.settings.max_edit * size)
+            low, high = max(0, begin - 2 * most), min(int(sizes[text]), begin + size + 2 * most)
+            known = stretches.setdefault((text, item), [])
+            if known and low <= known[-1][1]:  # begins come in order: overlapping stretches are checked as one
+                known[-1][1] = max(known[-1][1], high)
+            else:
+                known.append([low, high])
+        result: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for (text, item), known in stretches.items():
             words = self.items[item][1]
-            most = int(self.settings.max_edit * len(words))
-            if (known := result.get((text, item))) and known[0] == 0:
-                continue
-            low, high = max(0, begin - most), min(int(sizes[text]), begin + len(words) + most)
-            if any(a <= low and high <= b for a, b in done.get((text, item), ())):
-                continue
-            # a little more on both sides, so that neighbouring suspects are covered by one check
-            low, high = max(0, low - most), min(int(sizes[text]), high + most)
-            done.setdefault((text, item), []).append((low, high))
-            there = set(texts[text][low:high].tolist())
-            if sum(map(there.__contains__, words.tolist())) < len(words) - most:
-                continue  # each word that isn't there costs an edit
-            best = nearest(words, texts[text][low:high], most)
-            if best and (known is None or best[0] < known[0]):
-                result[text, item] = (best[0], low + best[1], low + best[2])
+            most, spelled = int(self.settings.max_edit * len(words)), words.tolist()
+            for low, high in known:
+                stretch = texts[text][low:high]
+                if sum(map(set(stretch.tolist()).__contains__, spelled)) < len(words) - most:
+                    continue  # each word that isn't there costs an edit
+                best = nearest(words, stretch, most)
+                if best and ((text, item) not in result or best[0] < result[text, item][0]):
+                    result[text, item] = (best[0], low + best[1], low + best[2])
         return result
 
 

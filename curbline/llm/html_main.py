@@ -131,7 +131,7 @@ def parse(page: str | None) -> Node:
                 if stack[k].tag == tag:
                     del stack[k:]
                     break
-                if tag not in BLOCK and stack[k].tag in BLOCK and stack[k].tag != "p":
+                if tag not in BLOCK and stack[k].tag in BLOCK:
                     break  # a stray inline end doesn't close blocks
     if at < len(page):
         stack[-1].children.append(entities.unescape(page[at:]))

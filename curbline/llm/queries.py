@@ -152,7 +152,7 @@ WITH v AS (
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
+  FROM (SELECT DISTINCT vec_id, x FROM v) q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 )

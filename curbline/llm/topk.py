@@ -11,7 +11,7 @@ order or labels of rows), each pair of blocks reports at most k rows a query, an
 per task follows the block sizes. Vectors that are null or hold null or non-finite components take no part, nor do
 empty vectors; vectors meet vectors of the same length only. Components are quantised to ``floor(scale * x)``; beyond
 ``2**20`` in absolute value they raise an error rather than overflow. A repeated id is several candidates; a row is no
-candidate for queries with its own id. Rows with a null id take no part.
+candidate for queries with its own id. Equal query rows ask one question. Rows with a null id take no part.
 """
 
 from __future__ import annotations
@@ -94,7 +94,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` best candidates of every row where ``is_query`` (an
     expression over ``vec_id``) holds, against all rows but its own."""
     usable = quantised(rows, scale, id_col, vector_col)
-    queries = stored(_blocks(usable.where(is_query), query_block, "q"), "topk-queries")
+    asked = usable.where(is_query).dropDuplicates(["vec_id", "x"])
+    queries = stored(_blocks(asked, query_block, "q"), "topk-queries")
     candidates = stored(_blocks(usable, candidate_block, "c"), "topk-candidates")
     # each query block goes to every candidate block of its vector length: the stated set against all rows, in blocks
     meetings = (queries.select("dims", "q_block").join(candidates.select("dims", "c_block"), "dims"))

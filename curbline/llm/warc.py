@@ -140,11 +140,8 @@ def parse_piece(piece: bytes) -> dict:
 
 
 def pieces(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """The candidates of all files under ``path``: one row for each piece, with its place ``at`` in its file's split.
-
-    A piece that doesn't hold its whole record, or that follows such a piece, keeps its bytes: it may be part of a
-    longer payload. The others keep them on request.
-    """
+    """The candidates of all files under ``path``: one row for each piece, with its place ``at`` in its file's split
+    and, on request, its bytes."""
     lines = (spark.read.option("lineSep", LINE_MAGIC).text(path)
              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
                      F.col("value").cast("binary").alias("line")))
@@ -160,9 +157,7 @@ def pieces(spark: SparkSession, path: str, with_payload: bool = False) -> DataFr
                 # the cut took the magic away; the file's first piece has it still. "\n" belongs to the piece before
                 piece = line + b"\n" if first else MAGIC.encode() + line + b"\n"
                 found = parse_piece(piece)
-                # (the file's last piece has one "\n" too many here)
-                plausible = found["whole"] and len(piece) - found["head"] - found["length"] - 4 in (0, 1)
-                if with_payload or not plausible:
+                if with_payload:
                     found["piece"] = piece
                 out.append({"file": file, "split": split, "number": number, "at": at, **found})
                 number, at = number + 1, at + len(piece)
@@ -227,7 +222,11 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     end = F.when((F.col("head") >= 0) & (F.col("length") >= 0),
                  F.col("offset") + F.col("head") + F.col("length") + F.lit(4))
     narrow = stored(narrow.withColumn("successor", end), "warc-candidates")
-    chain = reached(narrow.select("file", "offset", "successor"))
+    # a record ends where a candidate begins or where the file ends (its last piece has one "\n" too many here)
+    ends = narrow.groupBy("file").agg((F.max(F.col("offset") + F.col("size")) - 1).alias("successor"))
+    ends = ends.union(narrow.select("file", F.col("offset").alias("successor")))
+    chain = reached(narrow.select("file", "offset", "successor").join(ends, ["file", "successor"], "left_semi")
+                    .select("file", "offset", "successor"))
     records = narrow.join(chain, ["file", "offset"])
     keys = ["file", "split", "number"]
 
@@ -240,8 +239,10 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     owned = (marked.withColumn("owner", F.max("start").over(in_split)).join(carried, ["file", "split"])
              .select(*keys, "offset", F.coalesce("owner", "carried").alias("owner")))
     owners = cut.select("file", F.col("offset").alias("owner"))
-    parts = (owned.join(owners, ["file", "owner"], "left_semi")
-             .join(found.select(*keys, "piece"), keys).select("file", "owner", "offset", "piece"))
+    parts = owned.join(owners, ["file", "owner"], "left_semi")
+    # the bytes are needed only where payloads hold the magic: then the archives are read once more
+    bytes_of = pieces(spark, path, True) if not with_payload and not cut.isEmpty() else found
+    parts = parts.join(bytes_of.select(*keys, "piece"), keys).select("file", "owner", "offset", "piece")
 
     whole = records.where("whole")
     if with_payload:

@@ -1,0 +1,77 @@
+"""Rank-order profiles against a plain counting version; held-out accuracy; edge cases."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from curbline.llm import langid
+from curbline.llm.common import table
+from curbline.llm.queries import op9_language_id
+
+
+def plain_grams(text):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    found = Counter()
+    for word in words:
+        padded = f" {word} "
+        found.update(word)
+        for n in (2, 3):
+            found.update(padded[k:k + n] for k in range(len(padded) - n + 1))
+    return found
+
+
+def decoded(code):
+    return "".join(chr(code >> (21 * k) & 0x1FFFFF) for k in (2, 1, 0)).lstrip("\0")
+
+
+@pytest.mark.parametrize("text", ["", "a", "Ab cd, ef!", "x1y2 ß_ñ", "日本 語", "one  two\n\nthree"])
+def test_grams_equal_plain_counting(text):
+    assert Counter(map(decoded, langid.gram_codes(langid.letters(text))[0].tolist())) == plain_grams(text)
+
+
+def test_profiles_and_distances_equal_plain_counting(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de"), (3, "le chat et le chien", "fr"),
+            (4, None, "en"), (5, "no language", None), (6, "the cat and the dog", "en"), (7, "12 34", "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("gram", F.lit("clash"))
+    size = 20
+    profiles = langid.learn(df, F.lit(True), profile_size=size)
+    assert set(profiles) == {"en", "de", "fr"}
+    for lang, found in profiles.items():
+        counts = sum((plain_grams(t) for _, t, own in rows if own == lang and t), Counter())
+        order = sorted(counts, key=lambda g: (-counts[g], [0] * (3 - len(g)) + list(map(ord, g))))
+        assert list(map(decoded, found)) == order[:size]
+    judge = langid.Judge(profiles, size)
+    for text in ("the dog", "die katze und der hund", "le", "zzz qqq"):
+        counts = plain_grams(text)
+        own = sorted(counts, key=lambda g: (-counts[g], [0] * (3 - len(g)) + list(map(ord, g))))[:size]
+        away = {}
+        for lang in sorted(profiles):
+            place = {decoded(g): k for k, g in enumerate(profiles[lang])}
+            away[lang] = sum(abs(place[g] - k) if g in place else size for k, g in enumerate(own))
+        best = min(away, key=lambda lang: (away[lang], lang))
+        assert judge(text) == (best, pytest.approx(1 - away[best] / (size * len(own))))
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    found = op9_language_id(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").toPandas()
+    away = found[found.held_out]
+    assert (away.lang_pred == away.lang).mean() >= 0.97
+
+
+def test_edge_cases(spark):
+    rows = [(1, "the cat", "en"), (2, None, "en"), (3, "", "en"), (4, "12 !!", "en"), (None, "the", "en"), (1, "the cat", "en"),
+            (5, "cat " * 40_000, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))
+    profiles = langid.learn(df, F.lit(True))
+    found = {(r["doc_id"], r["lang_pred"]) for r in langid.predict(df, profiles).collect()}
+    assert found == {(1, "en"), (2, "und"), (3, "und"), (4, "und"), (None, "en"), (5, "en")}
+    judged = langid.with_language(df, profiles)
+    assert judged.columns == [*df.columns, "_language"] and judged.where("_language.lang = 'und'").count() == 3
+    empty = df.where("false")
+    assert langid.learn(empty, F.lit(True)) == {}
+    assert {r["lang_pred"] for r in langid.predict(df, {}).collect()} == {"und"}
+    assert langid.predict(empty, profiles).count() == 0
+    with pytest.raises(ValueError):
+        langid.learn(df.withColumn("lang", F.col("doc_id").cast("string")), F.lit(True), max_languages=1)
