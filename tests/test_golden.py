@@ -153,3 +153,28 @@ def test_left_parsed_spine(spark):
     assert ids == ["S1", "S2"]
     assert sorted(r["segment_id"] for r in segment_report(tickets, segments, preset("canonical")).collect()) == [
         "S1", "S2", "S3"]
+
+
+def test_dedup_per_side(spark):
+    """One ticket id on an odd and an even number of one segment and year: a match on each side."""
+    tickets = tickets_df(spark, [("T", "01/01/2016", "NY", "125", "A ST"), ("T", "02/01/2016", "NY", "126", "A ST"),
+                                 ("T", "03/01/2016", "NY", "128", "A ST")])
+    segments = segments_df(spark, [("S1", "101", "199", "100", "198", "A ST", "1", "A ST", "A ST")])
+    assert _total(spark, tickets, segments, preset("distinct_ticket")) == 2
+    assert _total(spark, tickets, segments, preset("canonical", dedup="id_ticket_year")) == 1
+
+
+def test_house_numbers_of_any_length(spark):
+    segments = segments_df(spark, [("S1", "1", "9", "1", "9", "A ST", "1", "A ST", ""),
+                                   ("S2", "1" + "0" * 24, "2" + "0" * 24, "", "", "B ST", "1", "B ST", ""),
+                                   ("S3", "1", "9" * 22, "", "", "C ST", "1", "C ST", ""),
+                                   ("S4", "1", "9", "1", "9", "A ST", "99999999999", "A ST", "")])
+    tickets = tickets_df(spark, [("1", "01/01/2016", "NY", "0" * 25 + "5", "A ST"),
+                                 ("2", "01/01/2016", "NY", "1" + "0" * 23 + "1", "B ST"),   # inside
+                                 ("3", "01/01/2016", "NY", "2" + "0" * 23 + "1", "B ST"),   # one too many
+                                 ("4", "01/01/2016", "NY", "1" + "0" * 23 + "2", "B ST"),   # even: no right side
+                                 ("5", "01/01/2016", "NY", "9" * 21, "C ST"),
+                                 ("6", "01/01/2016", "NY", "77", "C ST")])
+    for pol in (preset("canonical"), preset("canonical", broadcast_max_bytes=0)):
+        rows = segment_counts(tickets, segments, pol).groupBy("segment_id").sum("n").collect()
+        assert {r[0]: r[1] for r in rows} == {"S1": 1, "S2": 1, "S3": 2}

@@ -2,6 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbline.functions.parsing import (
+    LONG_NUMBER,
+    at_most,
+    long_key,
     borough_code,
     side_range,
     split_first_two,
@@ -17,7 +20,8 @@ def one(spark, expr, value):
 
 @pytest.mark.parametrize("text,expected", [
     ("125", 125), ("007", 7), ("0", 0), ("", None), (" 12", None), ("+7", None), ("12.5", None),
-    ("12A", None), ("-5", None), ("12\n", None), ("9" * 18, int("9" * 18)), ("9" * 19, None), (None, None),
+    ("12A", None), ("-5", None), ("12\n", None), ("9" * 18, int("9" * 18)), ("9" * 19, LONG_NUMBER), (None, None),
+    ("0" * 18 + "5", 5), ("0" * 40, 0), ("0" * 30 + "9" * 18, int("9" * 18)), ("9" * 60, LONG_NUMBER), ("9" * 19 + "x", None),
 ])
 def test_strict_int(spark, text, expected):
     assert one(spark, strict_int, text) == expected
@@ -107,3 +111,23 @@ def test_house_suffix_parses_equals_suffix_not_null(spark):
     for r in df.select("x", sfx.isNotNull().alias("a"),
                        F.coalesce(house_suffix_parses(F.col("x")), F.lit(False)).alias("b")).collect():
         assert r["a"] == r["b"], r["x"]
+
+
+@pytest.mark.parametrize("low,high", [("5", "6"), ("0" * 30 + "5", "6"), ("9" * 18, "1" + "0" * 18), ("9" * 19, "1" + "0" * 19),
+                                      ("7", "8" * 40), ("1" + "0" * 29, "1" + "0" * 28 + "1"), ("3" * 25, "0" + "3" * 25)])
+def test_numbers_of_any_length_compare_exactly(spark, low, high):
+    df = spark.createDataFrame([(low, high)], "a string, b string")
+
+    def both(x, y):
+        x, y = F.col(x), F.col(y)
+        return at_most(strict_int(x), long_key(x), strict_int(y), long_key(y))
+
+    assert df.select(both("a", "b")).first()[0] is True
+    assert df.select(both("b", "a")).first()[0] is (int(low) == int(high))
+
+
+def test_borough_codes_no_int_can_hold(spark):
+    from curbline.operators.segments import borough_number
+    assert one(spark, borough_number, "99999999999") is None
+    assert one(spark, borough_number, "9" * 30) is None
+    assert one(spark, borough_number, "3") == 3

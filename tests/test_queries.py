@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_mod
+from curbline.plans.queries import ORACLES, QUERIES
 from conftest import SF_SMALL
 from oracle_compare import compare, duckdb_connection
 
-NAMES = sorted(entry_mod.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,13 +16,14 @@ def con():
 
 
 def test_registry_complete():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
-    assert len(NAMES) >= 33
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLES) <= set(entry_mod.oracle_sql())
+    assert len(NAMES) >= 41
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    r = compare(entry_mod.queries()[name](spark, SF_SMALL), con, entry_mod.oracle_sql()[name])
+    r = compare(QUERIES[name](spark, SF_SMALL), con, ORACLES[name])
     assert r["cols_match"], (r["spark_cols"], r["oracle_cols"])
     assert r["rows"][0] == r["rows"][1]
     assert r["hash_match"]
