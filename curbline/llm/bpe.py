@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from curbline.llm.common import arrow_map, ship_package
 
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -275,7 +275,7 @@ def _slices(texts: list[str | None], most_chars: int) -> Iterator[list[str | Non
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           slice_chars: int = 2_000_000) -> DataFrame:
+           slice_chars: int = 1_000_000) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int), one row per row of ``docs``."""
     sent = docs.sparkSession.sparkContext.broadcast((ranks, PairRanks(pair_table(ranks))))
     key = (uuid.uuid4().hex, pattern)
