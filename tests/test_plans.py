@@ -1,5 +1,7 @@
 """Physical plan shape: hash joins only, no Python, pruned scans."""
 
+import re
+
 from conftest import SF_SMALL
 from curbline.plans.queries import QUERIES, fixture_policy
 from curbline.plans.report import segment_report
@@ -58,3 +60,11 @@ def test_no_registered_query_has_nested_loops_or_python(spark):
         for unused in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag", "p_brand", "p_retailprice",
                        "o_totalprice", "c_acctbal"):
             assert unused not in plan, (name, unused)
+
+
+def test_dedup_never_shuffles_matched_pairs(spark):
+    """Tickets are dealt by id before the broadcast join; the matches of a ticket are then in one place."""
+    for name in ("match_distinct_ticket", "match_row_predicate", "distinct_id_ticket_year", "distinct_id_ticket"):
+        plan = plan_text(QUERIES[name](spark, SF_SMALL))
+        assert "hashpartitioning(ticket_id" in plan, name
+        assert not re.search(r"hashpartitioning\(segment_id#\d+L?, ticket_id", plan), name
