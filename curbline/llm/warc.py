@@ -180,15 +180,16 @@ def reached(candidates: DataFrame) -> DataFrame:
     jumps = stored(candidates.where("successor is not null").select("file", "offset", F.col("successor").alias("to")),
                    "warc-jumps")
     known = candidates.select("file", F.col("offset").alias("to"))
-    jumps = stored(jumps.join(known, ["file", "to"], "left_semi").select("file", "offset", "to"), "warc-jumps")
+    jumps = stored(jumps.join(known.hint("merge"), ["file", "to"], "left_semi").select("file", "offset", "to"), "warc-jumps")
     found = candidates.where("offset = 0").select("file", "offset")
     for _ in range(MAX_ROUNDS):
         if jumps.isEmpty():
             return found
-        further = found.join(jumps, ["file", "offset"]).select("file", F.col("to").alias("offset"))
+        # sort-merge: a stored table of offsets is small on disk and large in memory, no guess should broadcast it
+        further = found.join(jumps.hint("merge"), ["file", "offset"]).select("file", F.col("to").alias("offset"))
         found = stored(found.union(further), "warc-reached")
         second = jumps.select("file", F.col("offset").alias("to"), F.col("to").alias("beyond"))
-        jumps = stored(jumps.join(second, ["file", "to"]).select("file", "offset", F.col("beyond").alias("to")),
+        jumps = stored(jumps.join(second.hint("merge"), ["file", "to"]).select("file", "offset", F.col("beyond").alias("to")),
                        "warc-jumps")
     raise RuntimeError(f"chains did not end in {MAX_ROUNDS} rounds")
 
@@ -225,13 +226,14 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     # a record ends where a candidate begins or where the file ends (its last piece has one "\n" too many here)
     ends = narrow.groupBy("file").agg((F.max(F.col("offset") + F.col("size")) - 1).alias("successor"))
     ends = ends.union(narrow.select("file", F.col("offset").alias("successor")))
-    chain = reached(narrow.select("file", "offset", "successor").join(ends, ["file", "successor"], "left_semi")
+    chain = reached(narrow.select("file", "offset", "successor").join(ends.hint("merge"), ["file", "successor"], "left_semi")
                     .select("file", "offset", "successor"))
-    records = narrow.join(chain, ["file", "offset"])
+    records = narrow.join(chain.hint("merge"), ["file", "offset"])
     keys = ["file", "split", "number"]
 
     cut = records.where(~F.col("whole") & (F.col("length") >= 0))
-    marked = narrow.select(*keys, "offset").join(chain.withColumn("start", F.col("offset")), ["file", "offset"], "left")
+    marked = narrow.select(*keys, "offset").join(
+        chain.withColumn("start", F.col("offset")).hint("merge"), ["file", "offset"], "left")
     in_split = Window.partitionBy("file", "split").orderBy("number")
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     carried = (marked.groupBy("file", "split").agg(F.max("start").alias("last"))  # one row a split
