@@ -52,7 +52,7 @@ def gram_codes(words: str, max_n: int = MAX_N) -> tuple[np.ndarray, np.ndarray]:
     for n in range(2, min(max_n, len(codes)) + 1):
         grams = (grams[:-1] << BITS) | codes[n - 1:]
         bad = bad[:-1] | (blank[n - 2:-1] if n > 2 else False)
-        good = ~(bad | (blank[:len(grams)] & blank[n - 1:]))
+        good = ~(bad | (blank[:-1] & blank[1:])) if n == 2 else ~bad
         found.append(grams[good])
         places.append(np.flatnonzero(good))
     return np.concatenate(found), np.concatenate(places)
