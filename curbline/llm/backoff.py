@@ -4,15 +4,21 @@
              = alpha * count(w) / N           otherwise
 
 A text's score is the sum of log S over its words, the first word after a begin mark. Words are what stands between
-white space, A-Z lower-cased. The vocabulary is every word with at least 1/2**17 of all word occurrences; all other
-words are one class (``<unk>``) with its own counts, so no occurrence is dropped and the vocabulary has at most 2**17
-words whatever the input: that bounds the one table that is sent to every task.
+white space, A-Z lower-cased.
 
-The relational part: tasks count the n-grams inside each document and emit (n-gram, document, count). Rows are dealt by
-a hash of the n-gram; the count table is summed there and joined back to the rows on the same partitioning, then the
-logs are summed per document. N-grams of two words that each make up more than 1/512 of all occurrences could fill a
-partition: there are at most 512**2 of them whatever the input, so their counts are summed with partial aggregation
-and broadcast, and their rows are not shuffled at all. Every other n-gram has at most 1/512 of all rows.
+``whole_scores`` keeps every word and every pair of words apart, whatever the input's size: words are keyed by 63 bits
+of their hash. Words with at least 1/2**17 of all occurrences (so 2**17 at most) are written as small numbers, which
+changes no count but shortens the rows; their counts are broadcast, all others are met by a join on the word. Since
+``log S = log count(v w) - log count(v)`` or ``log (alpha / N) + log count(w)``, a row needs the count of one word only.
+
+The relational part: tasks count the n-grams inside each document and emit (words, document, count). Rows are dealt by
+their words and counted there; then rows whose word is rare are dealt by that word to meet its count, and the logs are
+summed per document. N-grams of two words that each make up more than 1/512 of all occurrences could fill a partition:
+there are at most 512**2 of them whatever the input, so their counts are summed with partial aggregation and broadcast,
+and their rows are not shuffled at all. Every other n-gram has at most 1/512 of all rows.
+
+``scores`` is the form with a bounded vocabulary: every word with at least 1/2**17 of all word occurrences, and one
+class (``<unk>``) with its own counts for all other words.
 
 Rows that repeat an id (or have none) are scored together as one document. Null and empty texts have 0 words and score
 0. An empty table gives an empty result. Columns other than those named are not read.
@@ -20,18 +26,23 @@ Rows that repeat an id (or have none) are scored together as one document. Null
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.llm.common import arrow_map, stored
 
 VOCABULARY_BITS = 17
 HOT_SHARE = 512
+FREQUENT_SHARE = 1 << 17
 FLUSH_WORDS = 500_000
 SHIFT = VOCABULARY_BITS + 1  # two more ids than words: the class of other words and the begin mark
 OTHER, BEGIN = b"<unk>", b"<s>"  # neither holds a blank, both are kept apart from words by their kind
@@ -137,3 +148,116 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alph
     common = (F.col("together") >= least_count) & (F.col("documents") >= least_documents)
     log_s = F.when(F.col("gram") < 0, 0.0).when(common, seen).otherwise(unseen)
     return both.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * log_s).alias("log_score"))
+
+
+def code_of(word: bytes) -> int:
+    """A word's key: 63 bits of its hash, as a negative number."""
+    return -(xxhash.xxh64_intdigest(word) >> 1) - 1
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """``code``, ``n`` of every word in the binary column ``text``; the row without code counts texts with words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        filled = 0
+
+        def flush() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array([*map(code_of, seen), None], pa.int64()), pa.array([*seen.values(), filled], pa.int64())],
+                ["code", "n"])
+            seen.clear()
+            return batch
+
+        for batch in batches:
+            for text in batch.column(0):
+                if words := words_of(text.as_py()):
+                    seen.update(words)
+                    filled += 1
+                    if len(seen) > FLUSH_WORDS:
+                        yield flush()
+                        filled = 0
+        yield flush()
+
+    return arrow_map(texts.select("text"), run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.4,
+                 least_count: int = 2, least_documents: int = 1) -> DataFrame:
+    """``doc_id``, ``n_words``, ``log_score`` (natural logarithm, summed) of every document, all words kept apart."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    counts = stored(word_counts(rows), "word-counts")
+    total = counts.where("code is not null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    most = counts.where((F.col("n") * FREQUENT_SHARE >= total) | F.col("code").isNull())
+    most = most.toArrow().to_pylist()  # at most 2**17 + 1 rows
+    most = sorted([(r["code"], r["n"]) for r in most] or [(None, 0)], key=lambda r: (-r[1], r[0] or 0))
+    number_of = {code: k for k, (code, _) in enumerate(most)}  # by frequency, from 0; None is the begin mark
+    hot_ids = sum(n * HOT_SHARE > total for _, n in most)
+    sent = docs.sparkSession.sparkContext.broadcast(number_of)
+
+    def run(batches: Iterator[pa.RecordBatch], of_hot: bool) -> Iterator[pa.RecordBatch]:
+        numbers = sent.value
+        for batch in batches:
+            ids = batch.column(0)
+            owners, pairs, counted = [], [], []
+
+            def emitted() -> pa.RecordBatch:
+                sizes = [len(n) for n in counted]
+                both = np.concatenate(pairs)
+                n = np.concatenate(counted).astype(np.int32)
+                hot = ((both >= 0) & (both < hot_ids)).all(axis=1)
+                kept = np.flatnonzero((hot | (n == 0)) == of_hot)
+                both, n, of_row = both[kept], n[kept], np.repeat(owners, sizes)[kept]
+                out = pa.RecordBatch.from_arrays(
+                    [pa.array(both[:, 0], mask=n == 0), pa.array(both[:, 1], mask=n == 0), ids.take(pa.array(of_row)),
+                     pa.array(n)], ["first", "second", "doc_id", "n"])
+                owners.clear(), pairs.clear(), counted.clear()
+                return out
+
+            size = 0
+            for row, text in enumerate(batch.column(1)):
+                words = words_of(text.as_py())
+                of_word = {word: numbers.get(code := code_of(word), code) for word in set(words)}
+                found = np.empty(len(words) + 1, dtype=np.int64)
+                found[0] = numbers[None]
+                found[1:] = [of_word[word] for word in words]
+                if words:
+                    steps = np.stack([found[:-1], found[1:]], axis=1)
+                    mixed = steps[:, 0] * np.int64(-7046029254386353131) + steps[:, 1]  # wraps around
+                    _, at, n = np.unique(mixed, return_index=True, return_counts=True)
+                    owners.append(row), pairs.append(steps[at]), counted.append(n)
+                else:  # a text without words keeps its document
+                    owners.append(row), pairs.append(np.zeros((1, 2), np.int64)), counted.append(np.array([0]))
+                size += len(counted[-1])
+                if size > 1_000_000:
+                    yield emitted()
+                    size = 0
+            if counted:
+                yield emitted()
+
+    hot, others = (arrow_map(rows, partial(run, of_hot=part), "first long, second long, doc_id long, n int")
+                   for part in (True, False))
+    first, second = F.col("first"), F.col("second")
+    sums = [F.sum("n").alias("together"), F.count("doc_id").alias("documents")]
+    few = hot.where("n > 0").groupBy("first", "second").agg(*sums)  # at most 512**2 rows
+    often = hot.join(F.broadcast(few), ["first", "second"], "left")
+    own = Window.partitionBy("first", "second")
+    dealt = others.select("first", "second", "doc_id", "n", F.sum("n").over(own).alias("together"),
+                          F.count("doc_id").over(own).alias("documents"))
+    common = (F.col("together") >= least_count) & (F.col("documents") >= least_documents)
+
+    def with_key(found: DataFrame) -> DataFrame:
+        return found.select(F.when(common, first).otherwise(second).alias("code"), "doc_id", "n",
+                            F.when(common, F.col("together")).alias("together"))
+
+    frequent = docs.sparkSession.createDataFrame(
+        pd.DataFrame({"code": np.arange(len(most)), "alone": [n for _, n in most]}), "code long, alone long")
+    often, rest = with_key(often), with_key(dealt)
+    rare = rest.where("code < 0").join(
+        counts.where("code is not null").select("code", F.col("n").alias("alone")).hint("merge"), "code")
+    both = (often.union(rest.where("code >= 0")).join(F.broadcast(frequent), "code", "left")
+            .unionByName(rare))
+    alone = F.log(F.col("alone").cast("double"))
+    log_s = F.when(F.col("n") == 0, 0.0).when(F.col("together").isNotNull(), F.log(F.col("together")) - alone).otherwise(
+        F.lit(math.log(alpha / max(total, 1))) + alone)
+    return both.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * log_s).alias("log_score"))

@@ -100,7 +100,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stupid-backoff score of every document by the counts of the whole corpus."""
-    found = backoff.scores(table(spark, sf_dir, "documents"))
+    found = backoff.whole_scores(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"),
                         F.round(F.col("log_score") / F.greatest("n_words", F.lit(1)), 6).alias("mean_log_score"))
 

@@ -52,3 +52,25 @@ def test_scores(spark, monkeypatch, bits, hot):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert backoff.scores(df).count() == 0
+
+
+@pytest.mark.parametrize("frequent,hot,least,documents", [(4096, 512, 2, 1), (2, 2, 2, 1), (100_000, 100_000, 2, 1),
+                                                          (8, 4, 1, 1), (4096, 512, 3, 1)])
+def test_every_word_has_its_own_count(spark, monkeypatch, frequent, hot, least, documents):
+    """Rare words beside one very frequent word: with a class for words under 1/2**17 they'd share their counts."""
+    monkeypatch.setattr(backoff, "FREQUENT_SHARE", frequent)
+    monkeypatch.setattr(backoff, "HOT_SHARE", hot)
+    rows = [*ROWS, (20, "z " * 140_000), (21, "rare pair"), (22, "rare pair"), (23, "odd one"), (24, "rare one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("first", F.lit("clash")).withColumn("n", F.lit(0))
+    found = {r["doc_id"]: (r["n_words"], r["log_score"])
+             for r in backoff.whole_scores(df, least_count=least, least_documents=documents).collect()}
+    assert found == plain(rows, least=least, bits=60)
+    if least == 2:
+        assert found != plain(rows, bits=17)  # what the class gives
+
+
+def test_whole_scores_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert backoff.whole_scores(empty).count() == 0
+    blank = spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")
+    assert sorted(map(tuple, backoff.whole_scores(blank).collect())) == [(1, 0, 0.0), (2, 0, 0.0)]
