@@ -11,10 +11,10 @@ a place's *presentations* are the sequences of child elements it has on the page
   ``(1 - 0.9**l) * presentation + 0.9**l * mean of children`` for l presentations.
 
 Branches whose composite importance falls below ``least_importance`` are removed from each page of the host, and with
-them branches that their markup names as furniture (menus, headers, footers, sidebars, notices, adverts, forms,
-comments; scripts and styles are never text). Furniture is removed by name first, so that its changing words don't
-pass for content; the entropies then judge what has no telling name. If the whole page would go, or the host has fewer
-pages than ``least_pages``, only named furniture goes: a few pages can't show what is template.
+them branches that their tag or role says are furniture (menus, headers, footers, asides, forms; scripts and styles are
+never text). A class or id that names furniture is evidence only: such a branch goes where its importance is below
+``NAMED_IMPORTANCE``, and never if it holds an article or main. If the whole page would go, or the host has fewer pages
+than ``least_pages``, only furniture by tag or role goes: a few pages can't show what is template.
 
 Spark does the merging: pages are parsed in the tasks, statistics are summed per (host, place, feature) with partial
 aggregation, so a host that owns a third of all pages is no hot task; the trees' importances (places, not pages) go
@@ -41,6 +41,8 @@ from curbline.llm.urls import host_of
 
 LEAST_IMPORTANCE = 0.15
 LEAST_PAGES = 4
+NAMED_IMPORTANCE = 0.5  # for places whose class or id names furniture
+NAMED = " named"  # ends the names of such places; labels hold no blanks
 DECAY = 0.9
 
 # fixed values of the HTML vocabulary
@@ -73,12 +75,12 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 class Node:
-    __slots__ = ("tag", "name", "path", "children", "furniture", "inside_article")
+    __slots__ = ("tag", "name", "path", "children", "furniture", "named", "inside_article", "holds_article")
 
-    def __init__(self, tag: str, name: str, parent: Node | None, furniture: bool):
+    def __init__(self, tag: str, name: str, parent: Node | None, furniture: bool, named: bool = False):
         self.tag, self.name, self.children = tag, name, []
         self.path = f"{parent.path}/{name}" if parent else name
-        self.furniture = furniture
+        self.furniture, self.named, self.holds_article = furniture, named, False
         self.inside_article = bool(parent and (parent.inside_article or parent.tag in ("article", "main")))
 
 
@@ -94,10 +96,10 @@ def _node(tag: str, raw: str, parent: Node) -> Node:
     if inside:
         names = OWN_HEADS.sub("", names)
     furniture = (by_tag or attributes.get("role", "").lower() in FURNITURE_ROLES
-                 or bool(names and tag not in ("html", "body", "article", "main") and FURNITURE_NAMES.search(names))
                  or "hidden" in _ATTRIBUTE.sub(" ", raw).lower().split() or attributes.get("aria-hidden") == "true")
+    named = bool(names and tag not in ("html", "body", "article", "main") and FURNITURE_NAMES.search(names))
     label = _SPACE.sub(".", attributes.get("class") or attributes.get("id") or "")
-    return Node(tag, f"{tag}.{label}" if label else tag, parent, furniture)
+    return Node(tag, (f"{tag}.{label}" if label else tag) + NAMED * named, parent, furniture, named)
 
 
 def parse(page: str | None) -> Node:
@@ -118,6 +120,9 @@ def parse(page: str | None) -> Node:
                     _close(stack, {open_tag}, holders)
             node = _node(tag, token[3].rstrip("/"), stack[-1])
             stack[-1].children.append(node)
+            if tag in ("article", "main"):
+                for holder in stack:
+                    holder.holds_article = True
             if tag in VOID or token[3].endswith("/") and tag not in BLOCK | RAW:
                 continue
             if tag in RAW:
@@ -231,8 +236,9 @@ def importances(places: dict[str, tuple]) -> tuple[dict[str, float], dict[str, f
     return done, branch
 
 
-def main_text(page: str | None, noise: frozenset[str] = frozenset()) -> str:
-    """The text blocks that stay, in page order, joined by a blank line. ``noise``: places to remove."""
+def main_text(page: str | None, noise: frozenset[str] = frozenset(), by_name: bool = True) -> str:
+    """The text blocks that stay, in page order, joined by a blank line. ``noise``: places to remove. ``by_name``: remove
+    what a class or id names as furniture too, unless it holds an article or main."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -250,7 +256,8 @@ def main_text(page: str | None, noise: frozenset[str] = frozenset()) -> str:
             run.append(item)
         elif item.tag == "br":
             run.append(" ")
-        elif not (item.tag in SILENT or item.furniture or item.path in noise):
+        elif not (item.tag in SILENT or item.furniture or item.path in noise
+                  or by_name and item.named and not item.holds_article):
             edge = [None] if item.tag in BLOCK or item.tag == "#page" else []
             todo += edge + item.children[::-1] + edge
         elif item.tag in BLOCK:
@@ -275,7 +282,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                                      [(c["child"], c["n"]) for c in t["children"]]) for t in tree}
             pages_of = {t["place"]: t["pages"] for t in tree}
             _, branch = importances(by_place)
-            out.append(sorted(p for p, v in branch.items() if v < least_importance and pages_of[p] >= least_pages
+            least = {p: NAMED_IMPORTANCE if p.endswith(NAMED) else least_importance for p in branch}
+            out.append(sorted(p for p, v in branch.items() if v < least[p] and pages_of[p] >= least_pages
                               and not _holds_article(p)))
         return pa.array(out, pa.list_(pa.string()))
 
@@ -290,8 +298,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             out = []
             for page, places in zip(html, noisy):
                 places = places.as_py()
-                text = main_text(page.as_py(), frozenset(places or ()))
-                out.append(text if text or not places else main_text(page.as_py()))
+                text = main_text(page.as_py(), frozenset(places or ()), by_name=False)
+                out.append(text if text or not places else main_text(page.as_py(), by_name=False))
             yield pa.array(out, pa.string())
 
     return (rows.join(noise, "host", "left")
@@ -300,5 +308,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 def _holds_article(place: str) -> bool:
     """Places on the way to an article, or in one, are never template: what an article repeats is its text."""
-    parts = {part.split(".")[0] for part in place.split("/")}
+    parts = {part.removesuffix(NAMED).split(".")[0] for part in place.split("/")}
     return bool(parts & {"article", "main"})

@@ -56,3 +56,18 @@ def test_statistics_are_entropies(spark):
     # "same text" on both pages: entropy 1; "own one" on one: 0
     assert paragraph["pages"] == 2 and paragraph["content"] == pytest.approx(0.5)
     assert rows[""]["presentation"] == pytest.approx(0.0)
+
+
+@pytest.mark.parametrize("around", [
+    "<div class='content-sidebar-wrap'><main>{}</main></div>", "<div class='layout has-sidebar'><article>{}</article></div>",
+    "<div class='elementor-widget elementor-widget-text-editor'><p>{}</p></div>"])
+@pytest.mark.parametrize("pages", [1, 8])
+def test_names_are_evidence_only(spark, around, pages):
+    """Wrappers with telling names keep their article; a named place that repeats itself goes."""
+    rows = [(k, f"http://s.net/{k}", "<body>" + around.format(f"Story {k} of its own.")
+             + "<div class='sidebar'><p>Same on all pages.</p></div></body>") for k in range(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["page_id"]: r["text"] for r in html_main.extract(df).collect()}
+    for k in range(pages):
+        assert f"Story {k} of its own." in texts[k]
+        assert pages == 1 or "Same on all pages." not in texts[k]
