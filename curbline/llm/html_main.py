@@ -271,7 +271,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``page_id``, ``url``, ``text`` for every row."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("host"))
-    sites = stored(site_statistics(rows.where("host <> ''")), "style-trees")  # pages without host share no site
+    # pages without host share no site; copies of a page are no proof of template
+    distinct = rows.where("host <> ''").select("host", "html").distinct()
+    sites = stored(site_statistics(distinct), "style-trees")
     ship_package(pages.sparkSession)
 
     @F.arrow_udf("array<string>")
@@ -282,9 +284,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                                      [(c["child"], c["n"]) for c in t["children"]]) for t in tree}
             pages_of = {t["place"]: t["pages"] for t in tree}
             _, branch = importances(by_place)
+            holders = _holders(by_place)
             least = {p: NAMED_IMPORTANCE if p.endswith(NAMED) else least_importance for p in branch}
             out.append(sorted(p for p, v in branch.items() if v < least[p] and pages_of[p] >= least_pages
-                              and not _holds_article(p)))
+                              and p not in holders and not _holds_article(p)))
         return pa.array(out, pa.list_(pa.string()))
 
     # a host's tree has as many rows as its templates have places, however many pages it has
@@ -306,7 +309,18 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             .select("page_id", "url", text_of("html", "noise").alias("text")))
 
 
+def _holders(places: dict[str, tuple]) -> set[str]:
+    """The places of a site's tree that lead to an article or main."""
+    parent = {child: place for place, (_, _, _, children) in places.items() for child, _ in children}
+    found: set[str] = set()
+    for place in places:
+        if _holds_article(place):
+            while (place := parent.get(place)) is not None and place not in found:
+                found.add(place)
+    return found
+
+
 def _holds_article(place: str) -> bool:
-    """Places on the way to an article, or in one, are never template: what an article repeats is its text."""
+    """An article or main and the places in one are never template: what an article repeats is its text."""
     parts = {part.removesuffix(NAMED).split(".")[0] for part in place.split("/")}
     return bool(parts & {"article", "main"})

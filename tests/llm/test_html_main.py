@@ -71,3 +71,18 @@ def test_names_are_evidence_only(spark, around, pages):
     for k in range(pages):
         assert f"Story {k} of its own." in texts[k]
         assert pages == 1 or "Same on all pages." not in texts[k]
+
+
+def test_copies_are_no_template(spark):
+    """Copies of one article in a wrapper, with one line of their own; copies of a page count once."""
+    wrapped = ("<body><div class=wrap><article><p>The text of all copies.</p></article></div>"
+               "<p class=link>Permalink {}.</p></body>")
+    plain = "<body><div class=post><p>Words in a plain place.</p></div></body>"
+    rows = [(k, f"http://a.net/{k}", wrapped.format(k)) for k in range(12)]
+    rows += [(k, f"http://b.net/{k}", plain) for k in range(20, 32)]
+    rows += [(40, "http://b.net/o", "<body><div class=other><p>One other page.</p></div></body>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["page_id"]: r["text"] for r in html_main.extract(df).collect()}
+    for k in range(12):
+        assert texts[k] == f"The text of all copies.\n\nPermalink {k}."
+    assert {texts[k] for k in range(20, 32)} == {"Words in a plain place."}
