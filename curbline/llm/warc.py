@@ -116,6 +116,14 @@ def payload_of(block: bytes) -> bytes:
     return block
 
 
+def long_of(text: str) -> int | None:
+    """The integer that ``text`` states, if it fits a signed 64-bit long."""
+    if not (digits := re.fullmatch(r"([+-]?)0*([0-9]+)", text)) or len(digits[2]) > 19:
+        return None
+    value = int(digits[1] + digits[2])
+    return value if -(1 << 63) <= value < 1 << 63 else None
+
+
 def parse_piece(piece: bytes) -> dict:
     """What a piece (from one line with the magic to the next) says, read as the beginning of a record."""
     found: dict = {"size": len(piece), "head": -1, "length": -1, "whole": False, "piece": None}
@@ -130,7 +138,7 @@ def parse_piece(piece: bytes) -> dict:
         elif (key := _NAMES.get(name)) is not None:
             text = value.strip().decode("utf-8", "replace")
             if key in ("page_id", "refers_to", "stated_bytes"):
-                found[key] = int(text) if re.fullmatch(r"-?\d{1,18}", text) else None
+                found[key] = long_of(text)
             else:
                 found[key] = text
     if 0 <= found["length"] and found["head"] + found["length"] + 4 <= len(piece):

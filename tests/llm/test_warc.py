@@ -67,3 +67,21 @@ def test_empty_table(spark):
     path = scratch_path(spark, "warc-empty")
     warc.write_archives(df, path)
     assert warc.read_archives(spark, path).count() == 0
+
+
+def test_ids_of_any_long(spark):
+    big = "y" * 150
+    ids = [2**63 - 1, -2**63, 10**18, 10**18 + 1, -10**18, -5, 0]
+    df = spark.createDataFrame([(k, "u", big) for k in ids[2:4]] + [(k, "u", f"own {k}") for k in ids[:2] + ids[4:]],
+                               "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-ids")
+    warc.write_archives(df, path)
+    found = {r["page_id"]: r["refers_to"] for r in warc.read_archives(spark, path).collect()}
+    assert found == {k: 10**18 if k == 10**18 + 1 else None for k in ids}
+
+
+@pytest.mark.parametrize("text,value", [
+    ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("-9223372036854775808", -2**63),
+    ("-9223372036854775809", None), ("000000000000000000000007", 7), ("9" * 5000, None), ("", None), ("-", None), ("1x", None)])
+def test_stated_integers(text, value):
+    assert warc.long_of(text) == value
