@@ -1,7 +1,8 @@
 """Main text of web pages by a site style tree.
 
-The pages of a host are merged into one tree: an element's place is the path of (tag, class or id) from the root, and
-a place's *presentations* are the sequences of child elements it has on the pages. Importance after entropy:
+The pages of a host are merged into one tree: an element's place is the path of (tag, class or id, with its numbers
+folded) from the root, and a place's *presentations* are the sequences of child elements it has on the pages.
+Importance after entropy:
 
 * presentation: ``-sum p log_m p`` over the presentations of a place on its m pages: a place that looks the same on
   every page is template;
@@ -71,6 +72,8 @@ _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*
                     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))""")
 _SPACE = re.compile(r"\s+")
+# what numbers a page or an element in its class or id: digits, and hexadecimal words of 6 or more with a digit
+_NUMBER = re.compile(r"(?<![a-z0-9])(?=[a-f]*[0-9])[0-9a-f]{6,}(?![a-z0-9])|[0-9]+", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
@@ -98,7 +101,7 @@ def _node(tag: str, raw: str, parent: Node) -> Node:
     furniture = (by_tag or attributes.get("role", "").lower() in FURNITURE_ROLES
                  or "hidden" in _ATTRIBUTE.sub(" ", raw).lower().split() or attributes.get("aria-hidden") == "true")
     named = bool(names and tag not in ("html", "body", "article", "main") and FURNITURE_NAMES.search(names))
-    label = _SPACE.sub(".", attributes.get("class") or attributes.get("id") or "")
+    label = _SPACE.sub(".", _NUMBER.sub("#", (attributes.get("class") or attributes.get("id") or "").strip()))
     return Node(tag, (f"{tag}.{label}" if label else tag) + NAMED * named, parent, furniture, named)
 
 
@@ -290,7 +293,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                               and p not in holders and not _holds_article(p)))
         return pa.array(out, pa.list_(pa.string()))
 
-    # a host's tree has as many rows as its templates have places, however many pages it has
+    # names are folded by their numbers, so post-1 and post-2 are one place; names that differ in words from page to
+    # page still make places of their own, and a host's tree grows with them
     trees = sites.groupBy("host").agg(F.collect_list(F.struct(
         "place", "pages", "styles", "presentation", "content", "children")).alias("tree"))
     noise = stored(trees.select("host", noise_of("tree").alias("noise")).where(F.size("noise") > 0), "style-noise")

@@ -86,3 +86,10 @@ def test_copies_are_no_template(spark):
     for k in range(12):
         assert texts[k] == f"The text of all copies.\n\nPermalink {k}."
     assert {texts[k] for k in range(20, 32)} == {"Words in a plain place."}
+
+
+def test_numbered_names_are_one_place(spark):
+    bodies = [f"<div class='post post-{k}'><p id=c{k}>Text {k}.</p><p id='u-{k:06x}a9'>x</p></div>" for k in range(50)]
+    df = spark.createDataFrame([("h", b) for b in bodies], "host string, html string")
+    rows = {r["place"]: r["pages"] for r in html_main.site_statistics(df).collect()}
+    assert rows == {"": 50, "/div.post.post-#": 50, "/div.post.post-#/p.c#": 50, "/div.post.post-#/p.u-#": 50}
