@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +81,14 @@ def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts in ``column`` have about ``most_bytes`` together; a longer text is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop

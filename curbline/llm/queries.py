@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import backoff, bpe, decontam, html_main, langid, quality, simhash, topk, urls, warc
+from curbline.llm import align, backoff, bpe, decontam, html_main, langid, quality, repeats, simhash, topk, urls, warc, whiten
 from curbline.llm.common import held_out, scratch_path, table
 from curbline.llm.labelled_urls import labelled_urls
 
@@ -177,3 +177,48 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page by its site's style tree."""
     found = html_main.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document between the byte-level and the sentence-piece vocabulary."""
+    files = align.Tokenizers.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+                                  public_tokenizers.path("piece_bpe_32k.model"))
+    return align.alignment_scores(table(spark, sf_dir, "documents"), files).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are left without the passages of 50 words that a smaller id has too."""
+    return repeats.kept_digests(table(spark, sf_dir, "documents"), least=50)
+
+
+ORACLES["op12_substring_dedup"] = """
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+') AS words
+  FROM documents
+), w AS (
+  SELECT r, doc_id, k, sha256(array_to_string(list_slice(words, k, k + 49), ' ')) AS h
+  FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 48)) AS k FROM t WHERE len(words) >= 50)
+), f AS (SELECT h, min(doc_id) AS first_id FROM w GROUP BY h),
+again AS (SELECT w.r, w.k FROM w JOIN f USING (h) WHERE w.doc_id > f.first_id OR (w.doc_id IS NULL AND f.first_id IS NOT NULL)),
+gone AS (SELECT DISTINCT r, unnest(range(k, k + 50)) AS k FROM again),
+listed AS (SELECT r, list(k) AS ks, count(*) AS n FROM gone GROUP BY r)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN words
+              ELSE list_transform(list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(ks, i)),
+                                  lambda i: words[i]) END, ' ')) AS kept_sha256
+FROM t LEFT JOIN listed USING (r)
+"""
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every usable vector, with the fit's figures."""
+    found, model = whiten.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    each = found.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    shares = F.array(*[F.lit(float(v)) for v in (model.explained if model else [])]).cast("array<double>")
+    return each.select("vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+                       "deviation", "whitened", F.get(shares, F.col("place")).alias("explained"),
+                       F.lit(model.identity_error if model else 0.0).alias("identity_error"))

@@ -20,8 +20,8 @@ def test_query_matches_sql(spark, name):
     assert r["rows"][0] == r["rows"][1] and r["hash_match"]
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
