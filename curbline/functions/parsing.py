@@ -28,9 +28,10 @@ BOROUGH_ALIASES_SHORT: dict[int, tuple[str, ...]] = {
 # Unsigned ASCII decimal of any length. ``\z`` (not ``$``) so that a trailing newline is not accepted.
 _STRICT_INT = r"^[0-9]+\z"
 _STRICT_TUPLE = r"^[0-9]+(-[0-9]+)*\z"
-# The common case: it fits a BIGINT without a second look.
-_SHORT_INT = r"^[0-9]{1,18}\z"
-_SHORT_DIGITS = 18
+# At most 18 significant digits: it fits a BIGINT (whose cast takes leading zeros).
+_SHORT_INT = r"^0*[0-9]{1,18}\z"
+# A text of at most so many characters can hold no longer number.
+SHORT_TEXT = 18
 # What a number of more than 18 significant digits is as a BIGINT: larger than every shorter one. Two such numbers are
 # compared by their ``long_key``.
 LONG_NUMBER = 10**18
@@ -40,11 +41,6 @@ def aliases_for(name: str) -> dict[int, tuple[str, ...]]:
     return BOROUGH_ALIASES_FULL if name == "full" else BOROUGH_ALIASES_SHORT
 
 
-def _significant(c: Column) -> Column:
-    """Digits without leading zeros (``''`` for zero)."""
-    return F.ltrim(c, F.lit("0"))
-
-
 def strict_int(c: Column) -> Column:
     """BIGINT when ``c`` is a plain unsigned decimal, else NULL.
 
@@ -52,18 +48,31 @@ def strict_int(c: Column) -> Column:
     '12.5') so that Spark, DuckDB and Python agree on every input. Leading
     zeros don't count; a number of more than 18 digits is ``LONG_NUMBER``.
     """
-    digits = _significant(c)
-    return (F.when(c.rlike(_SHORT_INT), c.cast("bigint"))
-            .when(c.rlike(_STRICT_INT), F.when(F.length(digits) > _SHORT_DIGITS, F.lit(LONG_NUMBER))
-                  .otherwise(F.concat(F.lit("0"), digits).cast("bigint"))))
+    return F.when(c.rlike(_SHORT_INT), c.cast("bigint")).when(c.rlike(_STRICT_INT), F.lit(LONG_NUMBER))
+
+
+def short_int(c: Column) -> Column:
+    """``strict_int`` of texts of at most ``SHORT_TEXT`` characters (less code where it is inlined often)."""
+    return F.when(c.rlike(_STRICT_INT), c.cast("bigint"))
+
+
+def is_plain(c: Column) -> Column:
+    """Whether ``strict_int`` is not NULL, from the text alone."""
+    return F.coalesce(c.rlike(_STRICT_INT), F.lit(False))
 
 
 def long_key(c: Column) -> Column:
-    """Text that orders numbers of more than 18 digits among themselves (number of digits, then the digits);
-    NULL for every other input."""
-    digits = _significant(c)
-    return F.when(~c.rlike(_SHORT_INT) & c.rlike(_STRICT_INT) & (F.length(digits) > _SHORT_DIGITS),
-                  F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits))
+    """Text that orders plain numbers of any length (number of digits, then the digits); NULL for other input."""
+    digits = F.ltrim(c, F.lit("0"))
+    return F.when(c.rlike(_STRICT_INT), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits))
+
+
+def is_long(*texts: Column) -> Column:
+    """Whether one of the texts is too long to be sure that its numbers are short."""
+    found = F.lit(False)
+    for text in texts:
+        found = found | F.coalesce(F.length(text) > SHORT_TEXT, F.lit(False))
+    return found
 
 
 def at_most(a: Column, a_long: Column, b: Column, b_long: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.policy import MatchPolicy
@@ -26,18 +26,32 @@ def dedup_matches(matched: DataFrame, policy: MatchPolicy) -> DataFrame:
     ``id_ticket``       a ticket counts once per segment, in its earliest year
                         (a deterministic choice where a ticket id carries two
                         years).
+
+    Tickets without an id (NULL, or empty: two ids like any other) may be very many and are dealt over the tasks by
+    ``spread``: each task deduplicates its own, and the segment's aggregate, which has few rows by then, the rest.
     """
     if policy.dedup == "none":
         return matched.select("segment_id", "year", "n")
-    if policy.dedup == "id_ticket_year":
-        once = matched.select("segment_id", "ticket_id", "year").distinct()
-    elif policy.dedup == "id_ticket_year_side":
-        once = matched.select("segment_id", "ticket_id", "year", "is_left").distinct()
-    elif policy.dedup == "id_ticket":
-        once = matched.groupBy("segment_id", "ticket_id").agg(F.min("year").alias("year"))
-    else:
+    if policy.dedup not in ("id_ticket", "id_ticket_year", "id_ticket_year_side"):
         raise ValueError(f"unknown dedup mode {policy.dedup!r}")
-    return once.select("segment_id", "year", F.lit(1).cast("bigint").alias("n"))
+    if policy.dedup == "id_ticket":
+        once = matched.groupBy("segment_id", "ticket_id", "spread").agg(F.min("year").alias("year"))
+    else:
+        side = ["is_left"] if policy.dedup == "id_ticket_year_side" else []
+        once = matched.select("segment_id", "ticket_id", "spread", "year", *side).distinct()
+    if policy.dedup != "id_ticket_year_side":
+        once = once.withColumn("is_left", F.lit(True))
+    named = F.coalesce(F.col("ticket_id"), F.lit("")) != ""
+    # one bit for each nameless id (NULL, '') and side that has matched
+    seen = F.when(~named, F.when(F.col("ticket_id").isNull(), 1).otherwise(2) * F.when(F.col("is_left"), 1).otherwise(4))
+    per_year = once.groupBy("segment_id", "year").agg(
+        F.count_if(named).alias("named"), F.coalesce(F.bit_or(seen), F.lit(0)).alias("seen"))
+    if policy.dedup == "id_ticket":
+        # a nameless id counts in the first of the segment's years that has it
+        before = Window.partitionBy("segment_id").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+        earlier = F.coalesce(F.bit_or("seen").over(before), F.lit(0))
+        per_year = per_year.withColumn("seen", F.col("seen").bitwiseAND(F.bitwise_not(earlier)))
+    return per_year.select("segment_id", "year", (F.col("named") + F.bit_count("seen")).cast("bigint").alias("n"))
 
 
 def yearly_vector(counts: DataFrame, spine: DataFrame, years: Sequence[int],

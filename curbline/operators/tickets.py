@@ -11,14 +11,17 @@ from curbline.functions.parsing import (
     fold,
     house_first_two,
     house_number_parses,
+    is_long,
     long_key,
     split_first_two,
+    strict_int,
     strict_tuple,
     tuple_texts,
     year_suffix,
 )
 from curbline.policy import MatchPolicy
 
+
 def house_number_parts(house, ticket_split: str):
     """(hn, hn_suffix) as BIGINT under a ticket split mode."""
     if ticket_split == "first_two":
@@ -28,11 +31,9 @@ def house_number_parts(house, ticket_split: str):
     raise ValueError(f"unknown ticket split {ticket_split!r}")
 
 
-def house_number_long_keys(house, ticket_split: str):
-    """``long_key`` of the two parts; NULL unless a part has more than 18 digits."""
-    texts = split_first_two(house) if ticket_split == "first_two" else tuple_texts(house)
-    # one look at the whole text decides for nearly all rows
-    return tuple(F.when(F.length(house) > 18, long_key(text)) for text in texts)
+def house_number_texts(house, ticket_split: str):
+    """The texts of (hn, hn_suffix) under a ticket split mode."""
+    return split_first_two(house) if ticket_split == "first_two" else tuple_texts(house)
 
 
 def valid_ticket_condition(policy: MatchPolicy, has_year_column: bool = False):
@@ -58,31 +59,11 @@ def valid_ticket_condition(policy: MatchPolicy, has_year_column: bool = False):
     return cond
 
 
-def _normalized(policy: MatchPolicy, parsed_only: bool = False):
-    hn, hn_suffix = house_number_parts(F.col("house_number"), policy.ticket_split)
-    hn_long, suffix_long = house_number_long_keys(F.col("house_number"), policy.ticket_split)
-    if parsed_only:
-        # The rows are already restricted to parseable numbers, so hn is never
-        # NULL; the coalesce only declares that to Catalyst, which otherwise
-        # infers "hn IS NOT NULL" from the range predicate and pushes a second
-        # copy of the whole parse into the scan. (-1 would match no range.)
-        hn = F.coalesce(hn, F.lit(-1).cast("bigint"))
-    return (
-        F.col("ticket_id"),
-        year_suffix(F.col("issue_date")).try_cast("int").alias("year"),
-        borough_code(F.col("county"), policy.aliases).alias("boro"),
-        fold(F.col("street_name"), policy.fold_case).alias("street"),
-        hn.alias("hn"),
-        hn_suffix.alias("hn_suffix"),
-        F.when(F.coalesce(hn_long, suffix_long).isNotNull(),
-               F.struct(hn_long.alias("hn"), suffix_long.alias("suffix"))).alias("long"),
-    )
-
-
 def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bool = True) -> DataFrame:
     """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix, long).
 
-    ``long`` holds the keys of parts of more than 18 digits; NULL for all other tickets.
+    ``long`` holds keys that order numbers of any length; it is NULL for house numbers of
+    at most 18 characters, nearly all, whose BIGINTs tell everything.
 
     ``hn`` is NULL when the base number is not a plain integer; such a ticket
     can never fall inside a range, so it is dropped here (before any shuffle)
@@ -92,4 +73,21 @@ def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bo
     if drop_unparsed:
         # the same rows as "hn IS NOT NULL", tested on the raw text
         keep = keep & house_number_parses(F.col("house_number"), policy.ticket_split)
-    return tickets.where(keep).select(*_normalized(policy, parsed_only=drop_unparsed))
+    base, suffix = house_number_texts(F.col("house_number"), policy.ticket_split)
+    # a step of its own: each part is split off once and then read several times
+    texts = tickets.where(keep).select(
+        "ticket_id",
+        year_suffix(F.col("issue_date")).try_cast("int").alias("year"),
+        borough_code(F.col("county"), policy.aliases).alias("boro"),
+        fold(F.col("street_name"), policy.fold_case).alias("street"),
+        base.alias("base"), suffix.alias("suffix"), is_long(F.col("house_number")).alias("is_long"))
+    keys = F.struct(long_key(F.col("base")).alias("hn"), long_key(F.col("suffix")).alias("suffix"))
+    numbers = F.struct(
+        # Rows are restricted to parseable numbers unless drop_unparsed is off; the coalesce declares hn as never NULL
+        # then. (-1 would match no range.)
+        (F.coalesce(strict_int(F.col("base")), F.lit(-1).cast("bigint")) if drop_unparsed else strict_int(F.col("base"))).alias("hn"),
+        strict_int(F.col("suffix")).alias("hn_suffix"),
+        F.when(F.col("is_long"), keys).alias("long"))
+    # handed on by a generator as plain columns: tests of the numbers that Catalyst infers from the join stay above it
+    # and don't parse the text once more each
+    return texts.select("ticket_id", "year", "boro", "street", F.inline(F.array(numbers)))

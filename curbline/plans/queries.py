@@ -17,8 +17,9 @@ from curbline.functions.parsing import (
     borough_code,
     fold,
     house_suffix_parses,
-    side_range,
+    side_texts,
     street_key_coalesce,
+    strict_int,
     year_suffix,
 )
 from curbline.functions.trend import apply_rounding, centred_slope_expr, row_mean_expr, slope_expr
@@ -118,15 +119,18 @@ def q_segment_pair_split(spark, sf):
     s = fixture_segments(spark, sf)
     modes = ("each", "pairwise", "strict_zero")
 
+    names = ("lo", "hi", "lo_c", "hi_c")
+
     def side(is_left, lo, hi):
-        fields = [F.lit(is_left).alias("is_left")]
-        for m in modes:
-            a, b, c, d = side_range(F.col(lo), F.col(hi), m)
-            fields += [a.alias(f"{m}_lo"), b.alias(f"{m}_hi"), c.alias(f"{m}_lo_c"), d.alias(f"{m}_hi_c")]
-        return F.struct(*fields)
+        texts = {f"{m}_{n}": t for m in modes for n, t in zip(names, side_texts(F.col(lo), F.col(hi), m))}
+        return F.struct(F.lit(is_left).alias("is_left"), *[t.alias(n) for n, t in texts.items()])
 
-    return s.select("segment_id", F.inline(F.array(side(True, "l_low", "l_high"),
-                                                   side(False, "r_low", "r_high"))))
+    rows = s.select("segment_id", F.inline(F.array(side(True, "l_low", "l_high"), side(False, "r_low", "r_high"))))
+    # a generator for each mode, so that one method parses four numbers and not all twelve
+    for m in modes:
+        parsed = F.struct(*[strict_int(F.col(f"{m}_{n}")).alias(f"{m}_{n}") for n in names])
+        rows = rows.select(*[c for c in rows.columns if c not in [f"{m}_{n}" for n in names]], F.inline(F.array(parsed)))
+    return rows
 
 
 def _side_split_sql(is_left: bool, lo: str, hi: str) -> str:
@@ -486,6 +490,22 @@ for _name in ("four_branch", "split_union"):
     QUERIES[f"match_{_name}_spread"] = _spread_report(_pol)
     ORACLES[f"match_{_name}_spread"] = O.report_sql(_pol, fixtures=O.SPREAD_FIXTURE_SQL)
 
+# running counts along sorted house numbers instead of pairs, on sides of all widths and on numbers of any length
+SWEEP_POLICY = CANON.with_(range_join="sweep")
+QUERIES["match_canonical_sweep"] = _spread_report(SWEEP_POLICY)
+ORACLES["match_canonical_sweep"] = O.report_sql(CANON, fixtures=O.SPREAD_FIXTURE_SQL)
+BRANCH_SWEEP_POLICY = fixture_policy("four_branch", fold_case=True, range_join="sweep")
+QUERIES["match_four_branch_sweep"] = _report_query(BRANCH_SWEEP_POLICY)
+ORACLES["match_four_branch_sweep"] = O.report_sql(BRANCH_SWEEP_POLICY)
+
+
+def q_long_house_numbers_sweep(spark, sf):
+    return segment_report(fixture_long_tickets(spark, sf), fixture_long_segments(spark, sf), SWEEP_POLICY)
+
+
+QUERIES["long_house_numbers_sweep"] = q_long_house_numbers_sweep
+ORACLES["long_house_numbers_sweep"] = O.report_sql(CANON, fixtures=O.LONG_FIXTURE_SQL)
+
 ROW_SHUFFLE_POLICY = fixture_policy("row_predicate", broadcast_max_bytes=0)  # the salted join of raw probes
 QUERIES["match_row_predicate_shuffle_join"] = _report_query(ROW_SHUFFLE_POLICY)
 ORACLES["match_row_predicate_shuffle_join"] = O.report_sql(fixture_policy("row_predicate"))

@@ -18,6 +18,7 @@ from curbline.functions.trend import apply_rounding, slope_expr
 from curbline.operators.counting import dedup_matches, explode_per_year, yearly_vector
 from curbline.operators.matching import match_pairs
 from curbline.operators.segments import segment_sides, segment_spine
+from curbline.operators.sweep import sweep_counts
 from curbline.operators.tickets import normalize_tickets
 from curbline.policy import MatchPolicy, preset
 
@@ -26,8 +27,9 @@ def segment_counts(tickets: DataFrame, segments: DataFrame, policy: MatchPolicy)
     """(segment_id, year, n): matches per segment and year, before the spine."""
     norm = normalize_tickets(tickets, policy)
     sides = segment_sides(segments, policy)
-    matched = match_pairs(norm, sides, policy)
-    return dedup_matches(matched, policy)
+    if policy.range_join == "sweep":
+        return sweep_counts(norm, sides, policy)
+    return dedup_matches(match_pairs(norm, sides, policy), policy)
 
 
 def with_slope(wide: DataFrame, policy: MatchPolicy) -> DataFrame:

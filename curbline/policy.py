@@ -19,6 +19,7 @@ DEDUP_MODES = ("none", "id_ticket", "id_ticket_year", "id_ticket_year_side")
 SPINE_MODES = ("all_ids", "left_parsed_ids")
 GROUP_MODES = ("per_id", "per_id_year")
 ALIAS_SETS = ("full", "short")
+RANGE_JOINS = ("pairs", "sweep")
 ROUNDING_MODES = ("none", "int_half_even", "2dp")
 
 # Fixed value: the five-year window of the original report (slopes use x = -2..2).
@@ -54,20 +55,28 @@ class MatchPolicy:
 
     Physical fields
     ---------------
+    range_join      ``pairs``: join tickets with sides (operators.matching);
+                    ``sweep``: running counts along sorted house numbers, no
+                    pairs (operators.sweep), where both sides are large.
     bin_width       house-number block width added to the join key (range join
                     by blocks); ``None`` joins on street keys only. The default
                     100 matches block-wise house numbering (one street block
-                    spans about 100 numbers), so a side touches 1-2 blocks and a
-                    probe meets only the segments of its own block.
-    max_bins        sides spanning more blocks take an exact unbinned path.
+                    spans about 100 numbers), so a probe meets only the
+                    segments of its own block.
+    level_step      wider sides are entered at a level of wider blocks, each
+                    level's ``level_step`` times as wide as the one before; a
+                    probe looks up the levels that its street has.
     broadcast_max_bytes
                     the segment-side table is broadcast only when its measured
                     size is below this bound; otherwise a shuffle join is used.
     skew_salt       on the sort-merge path with raw probes (ticket dedup, where
-                    probes keep their ticket id, or ``preaggregate='never'``) probes get
-                    ``pmod(hash(ticket_id), skew_salt)`` as an extra join key and
-                    the side table is replicated that many times, so one hot
-                    address is split over ``skew_salt`` tasks; 1 turns it off.
+                    probes keep their ticket id, or ``preaggregate='never'``) the
+                    probes of hot streets get ``pmod(hash(ticket_id), skew_salt)``
+                    as an extra join key and those streets' sides are replicated
+                    that many times, so one hot address is split over
+                    ``skew_salt`` tasks; 1 turns it off.
+    hot_keys        a street is hot if it has more than one in ``hot_keys`` of the
+                    tickets (so there are never more of them).
     preaggregate    ``auto``: stream raw tickets through a broadcast join, but
                     collapse them to distinct probes with a count before a
                     shuffle join; ``always`` / ``never`` force the choice.
@@ -87,11 +96,13 @@ class MatchPolicy:
     rounding: str = "none"
     order_by_id: bool = False
     years: tuple[int, ...] = DEFAULT_YEARS
+    range_join: str = "pairs"
     bin_width: int | None = 100
-    max_bins: int = 64
+    level_step: int = 16
     broadcast_max_bytes: int = 128 * 1024 * 1024
     preaggregate: str = "auto"
     skew_salt: int = 16
+    hot_keys: int = 64
 
     def __post_init__(self) -> None:
         checks = (
@@ -105,6 +116,7 @@ class MatchPolicy:
             ("group", GROUP_MODES),
             ("aliases", ALIAS_SETS),
             ("rounding", ROUNDING_MODES),
+            ("range_join", RANGE_JOINS),
         )
         for field, allowed in checks:
             value = getattr(self, field)
@@ -112,14 +124,18 @@ class MatchPolicy:
                 raise ValueError(f"{field}={value!r}; expected one of {allowed}")
         if not self.years or len(set(self.years)) != len(self.years):
             raise ValueError("years must be a non-empty sequence of distinct years")
+        if self.range_join == "sweep" and self.dedup != "none":
+            raise ValueError("range_join='sweep' makes no pairs, so it can't deduplicate by ticket")
         if self.bin_width is not None and self.bin_width <= 0:
             raise ValueError("bin_width must be positive or None")
         if self.preaggregate not in ("auto", "always", "never"):
             raise ValueError("preaggregate must be auto, always or never")
         if self.skew_salt < 1:
             raise ValueError("skew_salt must be >= 1")
-        if self.max_bins < 1:
-            raise ValueError("max_bins must be >= 1")
+        if self.level_step < 2:
+            raise ValueError("level_step must be >= 2")
+        if self.hot_keys < 1:
+            raise ValueError("hot_keys must be >= 1")
 
     def with_(self, **changes) -> "MatchPolicy":
         return replace(self, **changes)

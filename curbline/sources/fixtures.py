@@ -127,10 +127,18 @@ def _longer(number, kind):
             .otherwise(F.concat(F.lit("1"), F.lpad(number, 19, "0"))))
 
 
+def _settled(df: DataFrame, **columns) -> DataFrame:
+    """Replaces columns by a generator, so that their expressions are evaluated once a row, not wherever they're used."""
+    kept = [c for c in df.columns if c not in columns]
+    made = F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select(*kept, made).select(*df.columns)
+
+
 def fixture_long_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tickets with house numbers of up to 30 digits."""
     t = fixture_tickets(spark, sf_dir)
-    return t.withColumn("house_number", _longer(F.col("house_number"), F.col("ticket_id").cast("bigint") % 4))
+    t = _settled(t, house_number=F.col("house_number"))
+    return _settled(t, house_number=_longer(F.col("house_number"), F.col("ticket_id").cast("bigint") % 4))
 
 
 def fixture_long_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,14 +150,15 @@ def fixture_long_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends["l_high"] = F.when(k % 8 == 5, F.concat(F.col("l_high"), F.lit("0" * 20))).otherwise(ends["l_high"])
     boro = (F.when(k % 17 == 0, F.lit("99999999999")).when(k % 19 == 0, F.lit("X")).when(k % 23 == 0, F.lit("9" * 25))
             .otherwise(F.col("boro_code")))
-    return s.withColumns({**ends, "boro_code": boro})
+    return _settled(_settled(s, **{c: F.col(c) for c in ends}), **ends, boro_code=boro)
 
 
 def fixture_spread_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tickets with plain house numbers spread over about a thousand."""
     t = fixture_tickets(spark, sf_dir)
+    t = _settled(t, house_number=F.col("house_number"))
     n, shift = F.col("house_number"), F.col("ticket_id").cast("bigint") % 20 * 50
-    return t.withColumn("house_number", F.when(n.rlike(_PLAIN), (n.cast("bigint") + shift).cast("string")).otherwise(n))
+    return _settled(t, house_number=F.when(n.rlike(_PLAIN), (n.cast("bigint") + shift).cast("string")).otherwise(n))
 
 
 def fixture_spread_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +172,7 @@ def fixture_spread_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(c.rlike(_PLAIN), (c.cast("bigint") + k % 20 * 50 + more).cast("string")).otherwise(c)
 
     wide = F.when(k % 29 == 0, 20_000).when(k % 5 == 0, 150).otherwise(0)
-    return s.withColumns({
+    return _settled(_settled(s, **{c: F.col(c) for c in ("l_low", "l_high", "r_low", "r_high")}), **{
         "l_low": moved("l_low", F.lit(0)), "r_low": moved("r_low", F.lit(0)),
         "l_high": moved("l_high", wide), "r_high": moved("r_high", wide),
         "full_street": F.when(k % 2 == 0, F.upper("full_street")).otherwise(F.col("full_street")),

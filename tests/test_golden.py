@@ -77,12 +77,12 @@ def test_golden_independent_of_physical_plan(golden_frames, bin_width, bcast):
             assert got.get(f"S{i:02d}", 0) == case[5][col], (name, bin_width, bcast, case)
 
 
-def test_wide_ranges_take_the_unblocked_path(spark):
-    """A side spanning more blocks than max_bins is still matched exactly."""
+def test_wide_ranges_sit_at_their_level(spark):
+    """A side spanning thousands of blocks is matched exactly, as is its narrow other side."""
     tickets = tickets_df(spark, [("T1", "01/01/2016", "NY", "5001", "WIDE ST"),
                                  ("T2", "01/01/2016", "NY", "7", "WIDE ST")])
     segments = segments_df(spark, [("S1", "1", "99999", "2", "8", "WIDE ST", "1", "WIDE ST", "")])
-    pol = preset("canonical", bin_width=10, max_bins=4)
+    pol = preset("canonical", bin_width=10, level_step=4)
     rows = segment_counts(tickets, segments, pol).collect()
     assert sorted((r["segment_id"], r["year"], r["n"]) for r in rows) == [("S1", 2016, 1), ("S1", 2016, 1)]
 

@@ -50,7 +50,7 @@ def test_physical_plans_agree(spark, tix, segs):
     for name in ("canonical", "four_branch", "side_unpivot", "row_predicate"):
         base = totals(spark, t, s, preset(name, bin_width=None))
         for bw, bc in ((3, True), (10, False), (1, True)):
-            pol = preset(name, bin_width=bw, max_bins=4, broadcast_max_bytes=(1 << 40) if bc else 0)
+            pol = preset(name, bin_width=bw, level_step=2, broadcast_max_bytes=(1 << 40) if bc else 0)
             assert totals(spark, t, s, pol) == base, (name, bw, bc)
 
 

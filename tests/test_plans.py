@@ -40,10 +40,10 @@ def test_scan_is_pruned(spark):
 
 
 def test_wide_sides_keep_one_ticket_scan(spark):
-    """Sides too wide to explode share the join (reserved block key): the
-    tickets are scanned once, and the result equals the default plan."""
+    """Sides of all lengths share the join (each at its level): the tickets are scanned once, and the result equals the
+    default plan's."""
     t, s = fixture_tickets(spark, SF_SMALL), fixture_segments(spark, SF_SMALL)
-    pol = fixture_policy(bin_width=10, max_bins=1)  # every side spanning 2+ blocks is "wide"
+    pol = fixture_policy(bin_width=2, level_step=2)  # sides sit at several levels
     df = segment_report(t, s, pol)
     plan = plan_text(df)
     assert plan.count("FileScan parquet [l_orderkey") == 1
@@ -51,6 +51,23 @@ def test_wide_sides_keep_one_ticket_scan(spark):
     assert sorted(tuple(r) for r in df.collect()) == want
 
 
+def test_generated_methods_stay_compilable(spark):
+    """The JVM never compiles a method of more than 8,000 bytes: no report query generates one."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else stages are generated only when they run
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution, "debug")
+    try:
+        sizes = {}
+        for name, q in QUERIES.items():
+            plan = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan()
+            stages = getattr(debug, "package$").__getattr__("MODULE$").codegenStringSeq(plan)
+            sizes[name] = max([stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())], default=0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert {n: s for n, s in sizes.items() if s > 8000} == {}
+    assert max(sizes.values()) > 1000  # the sizes were really read
+
+
 def test_no_registered_query_has_nested_loops_or_python(spark):
     for name, q in sorted(QUERIES.items()):
         plan = plan_text(q(spark, SF_SMALL))
