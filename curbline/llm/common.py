@@ -42,12 +42,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Spark's setting that deletes what a query has shuffled when the query ends.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and return the table: later reads don't depend on the
-    executors that made it, and its lineage ends there."""
+    executors that made it, and its lineage ends there. ``tidy``: what the write shuffled is deleted when it ends (no
+    other query may share its exchanges)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(TIDY)
+    spark.conf.set(TIDY, "true" if tidy else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,9 +10,12 @@ occur in two documents are extended, until none is left or the final length is r
 of each window decides. Each level's windows are (hash, document) rows, combined per slice before they are shuffled; the
 final level's hash has 128 bits, and everything at a level counts over all documents.
 
+Documents with the same text are looked at once: the one with the smallest id stands for them, and the others, if they
+have ``least`` words, are repeated as a whole.
+
 The last level's rows meet the first ids by a sort-merge join, whose skewed keys Spark splits, so that a passage that a
 third of all documents share is no task's group. Documents travel once to meet what survives the first level and are
-stored then; only documents with survivors are looked at again.
+stored then; only documents with survivors are looked at again. What a stored step shuffled is deleted with its end.
 
 Words are what ``[^\\x20\\x09-\\x0D]+`` matches, as they are. Null or empty texts have no words. A null id comes after
 all ids: its passages repeat those of any document with an id, and it makes nobody else's a repeat. Rows that share an
@@ -152,10 +155,17 @@ ROW = "doc_id", "row_id"
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    """``body`` (UTF-8), ``doc_id`` and a hash of the text that tells rows with one id apart."""
-    return docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body"),
-                       F.col("doc_id").cast("long").alias("doc_id"),
-                       F.xxhash64(F.col("text").cast("string")).alias("row_id"))
+    """``body`` (UTF-8), ``doc_id``, a hash of the text that tells rows with one id apart, and the text's digest."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(text.cast("binary").alias("body"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64(text).alias("row_id"), F.unhex(F.md5(text)).alias("text_id"))
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """``doc_id``, ``row_id`` of the rows whose text a smaller id has too, from ``doc_id``, ``row_id``, ``text_id``."""
+    first = (rows.groupBy("text_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1 and first is not null").select("text_id", "first"))
+    return (rows.join(first.hint("merge"), "text_id").where("doc_id > first or doc_id is null").select(*ROW).distinct())
 
 
 def _level_rows(rows: DataFrame, least: int, level: int, kept_level: int | None) -> DataFrame:
@@ -167,10 +177,12 @@ def _level_rows(rows: DataFrame, least: int, level: int, kept_level: int | None)
         at, first = np.unique(at, return_index=True)
         hashes = windows.hashes(at, levels(least)[level])
         return pa.RecordBatch.from_arrays(
-            [part.column(1), part.column(2), _lists(_signed(hashes), np.bincount(text[first], minlength=part.num_rows))],
-            [*ROW, "hashes"])
+            [*(part.column(c) for c in range(1, part.num_columns - (kept_level is not None))),
+             _lists(_signed(hashes), np.bincount(text[first], minlength=part.num_rows))], [*named, "hashes"])
 
-    return arrow_map(rows, _per_slice(handle), "doc_id long, row_id long, hashes array<long>")
+    named = [c for c in rows.columns if c not in ("body", "kept")]
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*named).schema)
+    return arrow_map(rows, _per_slice(handle), f"{types}, hashes array<long>")
 
 
 def _repeated(level_rows: DataFrame) -> DataFrame:
@@ -201,21 +213,31 @@ def _final_windows(rows: DataFrame, least: int, kept_level: int | None) -> DataF
     return arrow_map(rows, _per_slice(handle), "h1 long, h2 long, doc_id long, row_id long, at int")
 
 
-def repeated_windows(docs: DataFrame, least: int = 50, name: str = "repeats") -> tuple[DataFrame, DataFrame]:
-    """The documents that may hold a repeat (``body``, ``doc_id``, ``row_id``), stored, and ``doc_id``, ``row_id``,
-    ``starts``: the first words of each document's windows that also start in a document with a smaller id."""
-    rows, lengths, kept_level = _identified(docs), levels(least), None
+def repeated_windows(docs: DataFrame, least: int = 50, name: str = "repeats") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents that may hold a repeat (``body``, ``doc_id``, ``row_id``), stored; ``doc_id``, ``row_id``,
+    ``starts``: the first words of each one's windows that also start in a document with a smaller id; and ``doc_id``,
+    ``row_id`` of the documents that are copies of a smaller id's whole text."""
+    rows, lengths = _identified(docs), levels(least)
+    found = stored(_level_rows(rows, least, 0, None), f"{name}-{lengths[0]}-hashes", tidy=True)
+    copies = stored(_copies(found.select(*ROW, "text_id")), f"{name}-copies", tidy=True)
+    f, c = found.where(F.size("hashes") > 0).alias("f"), copies.hint("merge").alias("c")
+    found = f.join(c, _same_row("f", "c"), "left_anti").select(*ROW, "hashes")
+    rows = rows.select("body", *ROW)
     for level in range(len(lengths) - 1):
-        found = stored(_level_rows(rows, least, level, kept_level), f"{name}-{lengths[level]}-hashes")
-        rows = stored(_with_kept(rows.select("body", *ROW), _repeated(found)), f"{name}-{lengths[level]}")
-        kept_level = level
-    windows = stored(_final_windows(rows, least, kept_level), f"{name}-{least}")
+        if level:
+            found = stored(_level_rows(rows, least, level, level - 1), f"{name}-{lengths[level]}-hashes", tidy=True)
+        rows = stored(_with_kept(rows.select("body", *ROW), _repeated(found)), f"{name}-{lengths[level]}", tidy=True)
+    if len(lengths) == 1:  # no shorter level: the documents without their copies
+        r, c = rows.alias("r"), copies.hint("merge").alias("c")
+        rows = stored(r.join(c, _same_row("r", "c"), "left_anti"), f"{name}-single", tidy=True)
+    kept_level = len(lengths) - 2 if len(lengths) > 1 else None
+    windows = stored(_final_windows(rows, least, kept_level), f"{name}-{least}", tidy=True)
     first = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
                                              F.max(F.col("doc_id").isNull()).alias("nameless"))
              .where("first < last or (nameless and first is not null)").select("h1", "h2", "first"))
     again = (windows.join(first.hint("merge"), ["h1", "h2"]).where("doc_id > first or doc_id is null")
              .groupBy(*ROW).agg(F.collect_set("at").alias("starts")))
-    return rows.select("body", *ROW), again
+    return rows.select("body", *ROW), stored(again, f"{name}-starts", tidy=True), copies
 
 
 def _same_row(left: str, right: str) -> Column:
@@ -223,19 +245,21 @@ def _same_row(left: str, right: str) -> Column:
             & F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")))
 
 
-def _kept_words(rows: DataFrame) -> DataFrame:
-    """``doc_id``, ``row_id``, ``n_words``, ``n_removed``, ``kept`` of ``body``, ``doc_id``, ``row_id``, ``starts``,
-    ``least``."""
+def _kept_words(rows: DataFrame, least: int) -> DataFrame:
+    """``doc_id``, ``row_id``, ``n_words``, ``n_removed``, ``kept`` of ``body``, ``doc_id``, ``row_id``, ``starts`` (null:
+    none), ``copied`` (the whole text is a repeat)."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             counts, removed, kept = [], [], []
-            for body, starts, least in zip(*batch.columns[:1], *batch.columns[3:]):
+            for body, starts, copied in zip(batch.column(0), batch.column(3), batch.column(4)):
                 words = WORD.findall(body.as_py())
                 covered = np.zeros(len(words) + 1, dtype=np.int64)
-                if starts.is_valid:
+                if copied.as_py() and len(words) >= least:
+                    covered[0] = 1
+                elif starts.is_valid:
                     at = starts.values.to_numpy()
                     np.add.at(covered, at, 1)
-                    np.add.at(covered, at + least.as_py(), -1)
+                    np.add.at(covered, at + least, -1)
                 gone = np.cumsum(covered[:-1]) > 0
                 counts.append(len(words))
                 removed.append(int(gone.sum()))
@@ -243,29 +267,40 @@ def _kept_words(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:3], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
                                               pa.array(kept, pa.binary())], [*ROW, "n_words", "n_removed", "kept"])
 
-    return arrow_map(rows, run, "doc_id long, row_id long, n_words long, n_removed long, kept binary")
+    return arrow_map(rows.select("body", *ROW, "starts", "copied"), run,
+                     "doc_id long, row_id long, n_words long, n_removed long, kept binary")
+
+
+def _marked(copies: DataFrame) -> DataFrame:
+    return copies.withColumn("copied", F.lit(True)).hint("merge")
 
 
 def without_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     """Per document ``doc_id``, ``n_words``, ``n_removed`` and ``kept``: the words that no repeated window covers, joined
     by one blank, as UTF-8 bytes."""
-    _, again = repeated_windows(docs, least)
-    d, a = _identified(docs).alias("d"), again.hint("merge").alias("a")
-    met = d.join(a, _same_row("d", "a"), "left").select("body", "d.doc_id", "d.row_id", "starts", F.lit(least).alias("least"))
-    return _kept_words(met).drop("row_id")
+    _, again, copies = repeated_windows(docs, least)
+    d, a, c = _identified(docs).alias("d"), again.hint("merge").alias("a"), _marked(copies).alias("c")
+    met = d.join(a, _same_row("d", "a"), "left").join(c, _same_row("d", "c"), "left").select(
+        "body", "d.doc_id", "d.row_id", "starts", F.coalesce("copied", F.lit(False)).alias("copied"))
+    return _kept_words(met, least).drop("row_id")
 
 
 def kept_digests(docs: DataFrame, least: int = 50) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` of ``without_repeats``. Only documents with repeats are met
     with them; of all others the digest is taken where they are read, so that their texts never travel."""
     def digests(rows: DataFrame) -> DataFrame:
-        return _kept_words(rows.withColumn("least", F.lit(least))).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+        return (_kept_words(rows.withColumn("copied", F.lit(False)), least)
+                .withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept"))
 
-    rows, again = repeated_windows(docs, least)
+    rows, again, copies = repeated_windows(docs, least)
     r, a = rows.alias("r"), again.hint("merge").alias("a")
     cut = (digests(r.join(a, _same_row("r", "a")).select("body", "r.doc_id", "r.row_id", "starts"))
            .dropDuplicates([*ROW]).hint("merge").alias("c"))
     whole = digests(_identified(docs).withColumn("starts", F.lit(None).cast("array<int>"))).alias("w")
-    return whole.join(cut, _same_row("w", "c"), "left").select(
-        "w.doc_id", "w.n_words", F.coalesce("c.n_removed", "w.n_removed").alias("n_removed"),
-        F.coalesce("c.kept_sha256", "w.kept_sha256").alias("kept_sha256"))
+    m = _marked(copies).alias("m")
+    gone = F.col("copied") & (F.col("w.n_words") >= least)
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return (whole.join(cut, _same_row("w", "c"), "left").join(m, _same_row("w", "m"), "left").select(
+        "w.doc_id", "w.n_words",
+        F.when(gone, F.col("w.n_words")).otherwise(F.coalesce("c.n_removed", "w.n_removed")).alias("n_removed"),
+        F.when(gone, nothing).otherwise(F.coalesce("c.kept_sha256", "w.kept_sha256")).alias("kept_sha256")))
