@@ -17,9 +17,6 @@ summed per document. N-grams of two words that each make up more than 1/512 of a
 there are at most 512**2 of them whatever the input, so their counts are summed with partial aggregation and broadcast,
 and their rows are not shuffled at all. Every other n-gram has at most 1/512 of all rows.
 
-``scores`` is the form with a bounded vocabulary: every word with at least 1/2**17 of all word occurrences, and one
-class (``<unk>``) with its own counts for all other words.
-
 Rows that repeat an id (or have none) are scored together as one document. Null and empty texts have 0 words and score
 0. An empty table gives an empty result. Columns other than those named are not read.
 """
@@ -40,116 +37,15 @@ from pyspark.sql import functions as F
 
 from curbline.llm.common import arrow_map, stored
 
-VOCABULARY_BITS = 17
 HOT_SHARE = 512
 FREQUENT_SHARE = 1 << 17
 FLUSH_WORDS = 500_000
-SHIFT = VOCABULARY_BITS + 1  # two more ids than words: the class of other words and the begin mark
-OTHER, BEGIN = b"<unk>", b"<s>"  # neither holds a blank, both are kept apart from words by their kind
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """``kind`` (0 word, 1 other words, 2 begin mark), ``word``, ``n``, ``id`` (from 0, most frequent first) from the
-    binary column ``text``: at most 2**17 + 2 rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        filled = 0
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([0] * len(seen) + [2], pa.int32()), pa.array([*seen, BEGIN], pa.binary()),
-                 pa.array([*seen.values(), filled], pa.int64())], ["kind", "word", "n"])
-            seen.clear()
-            return batch
-
-        for batch in batches:
-            for text in batch.column(0):
-                if words := words_of(text.as_py()):
-                    seen.update(words)
-                    filled += 1
-                    if len(seen) > FLUSH_WORDS:
-                        yield flush()
-                        filled = 0
-        yield flush()
-
-    counts = stored(arrow_map(texts.select("text"), run, "kind int, word binary, n long")
-                    .groupBy("kind", "word").agg(F.sum("n").alias("n")), "word-counts")
-    total = counts.where("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    own = counts.where((F.col("kind") == 0) & (F.col("n") * (1 << VOCABULARY_BITS) >= total))
-    other = counts.where((F.col("kind") == 0) & (F.col("n") * (1 << VOCABULARY_BITS) < total)).agg(
-        F.lit(1).alias("kind"), F.lit(OTHER).alias("word"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    few = stored(own.union(other).union(counts.where("kind = 2")), "vocabulary")  # at most 2**17 + 2 rows
-    table = few.toArrow().to_pandas().sort_values(["n", "kind", "word"], ascending=[False, True, True])
-    table["id"] = np.arange(len(table))
-    return texts.sparkSession.createDataFrame(table, "kind int, word binary, n long, id long")
-
-
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.4,
-           least_count: int = 2, least_documents: int = 1) -> DataFrame:
-    """``doc_id``, ``n_words``, ``log_score`` (natural logarithm, summed) of every document."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    words = stored(vocabulary(rows), "vocabulary-ids")
-    known = words.toArrow().to_pylist()  # at most 2**17 + 2 rows
-    total = sum(w["n"] for w in known if w["kind"] < 2)
-    hot_ids = sum(w["n"] * HOT_SHARE > total for w in known)  # ids go by frequency: these are 0 to hot_ids - 1
-    other, begin = ([w["id"] for w in known if w["kind"] == kind][0] for kind in (1, 2))
-    sent = docs.sparkSession.sparkContext.broadcast({w["word"]: w["id"] for w in known if w["kind"] == 0})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        id_of = sent.value.get
-        for batch in batches:
-            ids = batch.column(0)
-            owners, keys, counts = [], [], []
-
-            def emitted() -> pa.RecordBatch:
-                sizes = [len(k) for k in keys]
-                out = pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), ids.take(pa.array(np.repeat(owners, sizes))),
-                     pa.array(np.concatenate(counts).astype(np.int32))], ["gram", "doc_id", "n"])
-                owners.clear(), keys.clear(), counts.clear()
-                return out
-
-            size = 0
-            for row, text in enumerate(batch.column(1)):
-                words = words_of(text.as_py())
-                found = np.empty(len(words) + 1, dtype=np.int64)
-                found[0] = begin
-                found[1:] = [id_of(word, other) for word in words]
-                grams, n = (np.unique((found[:-1] << SHIFT) | found[1:], return_counts=True) if words
-                            else (np.array([-1]), np.array([0])))  # a text without words keeps its document
-                owners.append(row), keys.append(grams), counts.append(n)
-                size += len(grams)
-                if size > 1_000_000:
-                    yield emitted()
-                    size = 0
-            if keys:
-                yield emitted()
-
-    grams = arrow_map(rows, run, "gram long, doc_id long, n int")
-    first, second = F.shiftright("gram", SHIFT), F.col("gram").bitwiseAND((1 << SHIFT) - 1)
-    hot = (first < hot_ids) & (second < hot_ids)
-    counted = [F.sum("n").alias("together"), F.count("doc_id").alias("documents")]
-    few = grams.where(hot).groupBy("gram").agg(*counted)  # at most 512**2 rows
-    often = grams.where(hot).join(F.broadcast(few), "gram")
-    dealt = grams.where(~hot).repartition("gram")  # one shuffle: the count table and the join both use it
-    rest = dealt.join(dealt.groupBy("gram").agg(*counted).hint("merge"), "gram")
-
-    count_of = words.select(F.col("id"), F.col("n").cast("double").alias("alone"))
-    both = (often.unionByName(rest).withColumn("first", first).withColumn("second", second)
-            .join(F.broadcast(count_of.toDF("first", "of_first")), "first", "left")
-            .join(F.broadcast(count_of.toDF("second", "of_second")), "second", "left"))
-    seen = F.log(F.col("together") / F.col("of_first"))
-    unseen = F.log(F.lit(alpha) * F.col("of_second") / F.lit(float(total)))
-    common = (F.col("together") >= least_count) & (F.col("documents") >= least_documents)
-    log_s = F.when(F.col("gram") < 0, 0.0).when(common, seen).otherwise(unseen)
-    return both.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * log_s).alias("log_score"))
-
-
 def code_of(word: bytes) -> int:
     """A word's key: 63 bits of its hash, as a negative number."""
     return -(xxhash.xxh64_intdigest(word) >> 1) - 1
@@ -223,8 +119,9 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 found[1:] = [of_word[word] for word in words]
                 if words:
                     steps = np.stack([found[:-1], found[1:]], axis=1)
-                    mixed = steps[:, 0] * np.int64(-7046029254386353131) + steps[:, 1]  # wraps around
-                    _, at, n = np.unique(mixed, return_index=True, return_counts=True)
+                    own, place = np.unique(found, return_inverse=True)
+                    pair = place[:-1] * len(own) + place[1:]  # tells the document's pairs apart exactly
+                    _, at, n = np.unique(pair, return_index=True, return_counts=True)
                     owners.append(row), pairs.append(steps[at]), counted.append(n)
                 else:  # a text without words keeps its document
                     owners.append(row), pairs.append(np.zeros((1, 2), np.int64)), counted.append(np.array([0]))

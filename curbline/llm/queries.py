@@ -113,11 +113,7 @@ WITH t AS (
 ), u AS (SELECT doc_id, generate_subscripts(words, 1) AS k, unnest(words) AS w FROM t),
 c AS (SELECT w, count(*) AS n FROM u GROUP BY w),
 total AS (SELECT sum(n) AS n FROM c),
-v AS (SELECT w, n FROM c WHERE n * 131072 >= (SELECT n FROM total)),
-other AS (SELECT coalesce(sum(n), 0) AS n FROM c WHERE n * 131072 < (SELECT n FROM total)),
-m AS (SELECT doc_id, k, CASE WHEN v.w IS NULL THEN '<other words>' ELSE u.w END AS w,
-             coalesce(v.n, (SELECT n FROM other)) AS n
-      FROM u LEFT JOIN v ON u.w = v.w),
+m AS (SELECT u.doc_id, u.k, u.w, c.n FROM u JOIN c ON u.w = c.w),
 p AS (SELECT b.doc_id, b.w, b.n, CASE WHEN b.k = 1 THEN '<begin mark> ' ELSE a.w END AS before_w,
              CASE WHEN b.k = 1 THEN (SELECT count(*) FROM t WHERE len(words) > 0) ELSE a.n END AS before_n
       FROM m b LEFT JOIN m a ON a.doc_id = b.doc_id AND a.k = b.k - 1),

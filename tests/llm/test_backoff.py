@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from curbline.llm import backoff
 
 
-def plain(rows, alpha=0.4, least=2, bits=17):
+def plain(rows, alpha=0.4, least=2):
     texts = {}
     for i, t in rows:
         words = [w for w in "".join(c.lower() if c < "\x80" else c for c in t or "").split(" ") if w]
@@ -17,19 +17,16 @@ def plain(rows, alpha=0.4, least=2, bits=17):
     every = [words for own in texts.values() for words in own]
     one = Counter(w for words in every for w in words)
     total = sum(one.values())
-    name = {w: w if n * 2**bits >= total else None for w, n in one.items()}
-    merged = Counter()
-    for w, n in one.items():
-        merged[name[w]] += n
-    two = Counter((a, name[w]) for words in every for a, w in zip(["<begin>", *[name[w] for w in words]], words))
+    merged = Counter(one)
+    two = Counter(pair for words in every for pair in zip(["<begin>", *words], words))
     merged["<begin>"] = sum(bool(words) for words in every)
     out = {}
     for i, own in texts.items():
         score = 0.0
         for words in own:
-            for a, w in zip(["<begin>", *[name[w] for w in words]], words):
-                n = two[a, name[w]]
-                score += math.log(n / merged[a]) if n >= least else math.log(alpha * merged[name[w]] / total)
+            for a, w in zip(["<begin>", *words], words):
+                n = two[a, w]
+                score += math.log(n / merged[a]) if n >= least else math.log(alpha * merged[w] / total)
         out[i] = (sum(map(len, own)), pytest.approx(score))
     return out
 
@@ -38,35 +35,17 @@ ROWS = [(1, "the cat sat on the mat"), (2, "The cat sat on the hat"), (3, None),
         (1, "the cat sat on the mat"), (6, "é É the"), (7, "w " * 5_000), (8, " ".join(f"u{k}" for k in range(300)))]
 
 
-@pytest.mark.parametrize("bits,hot", [(17, 512), (4, 512), (6, 2), (17, 100_000)])
-def test_scores(spark, monkeypatch, bits, hot):
-    """With a small vocabulary, with all and with no n-grams on the broadcast path."""
-    monkeypatch.setattr(backoff, "VOCABULARY_BITS", bits)
-    monkeypatch.setattr(backoff, "SHIFT", bits + 1)
-    monkeypatch.setattr(backoff, "HOT_SHARE", hot)
-    df = spark.createDataFrame(ROWS, "doc_id long, text string").withColumn("gram", F.lit("clash")).withColumn("n", F.lit(0))
-    found = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff.scores(df).collect()}
-    assert found == plain(ROWS, bits=bits)
-
-
-def test_empty_table(spark):
-    df = spark.createDataFrame([], "doc_id long, text string")
-    assert backoff.scores(df).count() == 0
-
-
 @pytest.mark.parametrize("frequent,hot,least,documents", [(4096, 512, 2, 1), (2, 2, 2, 1), (100_000, 100_000, 2, 1),
                                                           (8, 4, 1, 1), (4096, 512, 3, 1)])
 def test_every_word_has_its_own_count(spark, monkeypatch, frequent, hot, least, documents):
-    """Rare words beside one very frequent word: with a class for words under 1/2**17 they'd share their counts."""
+    """Rare words beside one very frequent word keep their own counts."""
     monkeypatch.setattr(backoff, "FREQUENT_SHARE", frequent)
     monkeypatch.setattr(backoff, "HOT_SHARE", hot)
     rows = [*ROWS, (20, "z " * 140_000), (21, "rare pair"), (22, "rare pair"), (23, "odd one"), (24, "rare one")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("first", F.lit("clash")).withColumn("n", F.lit(0))
     found = {r["doc_id"]: (r["n_words"], r["log_score"])
              for r in backoff.whole_scores(df, least_count=least, least_documents=documents).collect()}
-    assert found == plain(rows, least=least, bits=60)
-    if least == 2:
-        assert found != plain(rows, bits=17)  # what the class gives
+    assert found == plain(rows, least=least)
 
 
 def test_whole_scores_of_nothing(spark):

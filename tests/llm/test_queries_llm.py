@@ -13,9 +13,9 @@ from curbline.llm.queries import ORACLES, QUERIES
 from oracle_compare import compare, duckdb_connection
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query_matches_sql(spark, name):
-    r = compare(QUERIES[name](spark, SF_SMALL), duckdb_connection(SF_SMALL), ORACLES[name])
+@pytest.mark.parametrize("name,folder", [(n, SF_SMALL) for n in sorted(ORACLES)] + [("op6_lm_scoring", "/root/testdata/sf0.01")])
+def test_query_matches_sql(spark, name, folder):
+    r = compare(QUERIES[name](spark, folder), duckdb_connection(folder), ORACLES[name])
     assert r["cols_match"], (r["spark_cols"], r["oracle_cols"])
     assert r["rows"][0] == r["rows"][1] and r["hash_match"]
 
