@@ -31,7 +31,7 @@ from curbline.llm.common import arrow_map, ship_package, stored
 
 MAX_TRAIN = 6_000
 BUCKETS = 1 << 16
-FACTORS = 8
+FACTORS = 4
 KEPT_WORDS = 500_000
 STATISTICS = ("bias", "upper", "digit", "blank", "line_end", "stop", "symbol", "bar", "mark", "other", "long_word",
               "new_word", "echo", "new_line_share", "size", "words", "declared", "undeclared")
@@ -105,9 +105,18 @@ class Machine:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS,
-        epochs: int = 20, batch: int = 256, rate: float = 0.03, decay: float = 1e-5, seed: int = 7) -> Machine:
-    """Logistic loss, Adam on mini-batches; rows in an order fixed by ``seed``."""
+        epochs: int | None = None, batch: int | None = None, rate: float = 0.03, decay: float | None = None,
+        seed: int = 7) -> Machine:
+    """Logistic loss, Adam on mini-batches; rows in an order fixed by ``seed``. Both labels weigh alike, however rare one
+    is. By default few rows are seen more often, in smaller batches, and their weights decay by one over the number of
+    rows, so that what is learned is what rows share and not the words of single rows."""
     rng = np.random.default_rng(seed)
+    few = max(1, len(rows))
+    epochs = min(200, max(20, 20_000 // few)) if epochs is None else epochs
+    batch = (64 if few < 1000 else 256) if batch is None else batch
+    decay = 1 / few if decay is None else decay
+    positive = float(labels.sum()) if len(rows) else 0.0
+    weight_of = np.array([few / max(1.0, 2 * (few - positive)), few / max(1.0, 2 * positive)])
     n = len(STATISTICS) + buckets
     both = np.concatenate([np.zeros((n, 1)), rng.normal(0, 0.05, (n, factors))], axis=1)
     first, second, step = np.zeros_like(both), np.zeros_like(both), 0
@@ -119,7 +128,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, buckets:
             index, value = (np.concatenate([rows[k][part] for k in some]) for part in (0, 1))
             machine = Machine(both[:, 0], both[:, 1:])
             logit, total = machine.sums(index, value, np.cumsum(sizes) - sizes)
-            wrong = np.repeat((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[some]) / len(some), sizes)
+            wrong = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[some]) * weight_of[labels[some].astype(int)]
+            wrong = np.repeat(wrong / len(some), sizes)
             slope = np.empty((len(index), 1 + factors))
             slope[:, 0] = wrong * value
             slope[:, 1:] = (wrong * value)[:, None] * (np.repeat(total, sizes, axis=0)

@@ -8,8 +8,6 @@ from curbline.llm import quality
 from curbline.llm.common import held_out, table
 from curbline.llm.queries import op3_quality
 
-SF = "/root/testdata/sf0.1"  # sf0.01 has some 50 bad labels, too few: 0.93 there
-
 
 def test_linear_time_form_equals_the_sum_over_pairs():
     rng = np.random.default_rng(1)
@@ -29,14 +27,18 @@ def test_interactions_are_learned():
     texts = [" ".join(w) for w in (("a", "b"), ("a", "x"), ("y", "b"), ("y", "x"))] * 30
     rows = [features(t, len(t)) for t in texts]
     labels = np.array([1, 0, 0, 1] * 30, dtype=float)
-    scores = quality.fit(rows, labels, epochs=400, batch=40).scores(rows)
+    scores = quality.fit(rows, labels, epochs=400, batch=40, decay=1e-5).scores(rows)
     assert ((scores > 0.5) == (labels == 1)).all()
 
 
-def test_held_out_accuracy(spark):
-    found = op3_quality(spark, SF).join(table(spark, SF, "labels"), "doc_id").toPandas()
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_held_out_quality(spark, sf):
+    """Of the held-out fold's bad documents at least nine in ten are found, with few labels too; good ones stay."""
+    folder = f"/root/testdata/sf{sf}"
+    found = op3_quality(spark, folder).join(table(spark, folder, "labels"), "doc_id").toPandas()
     away = found[found.held_out]
-    assert (away.predicted == away.quality).mean() >= 0.95
+    assert (away[away.quality == 0].predicted == 0).mean() >= 0.9
+    assert (away[away.quality == 1].predicted == 1).mean() >= 0.97
     assert found.score.between(0, 1).all()
 
 
