@@ -49,6 +49,20 @@ def test_edges(spark):
     assert topk.top_k(empty, F.col("vec_id") % 10 == 0).count() == 0
     one = spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")
     assert topk.top_k(one, F.lit(True)).count() == 0
-    large = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<float>")
-    with pytest.raises(Exception):
-        topk.top_k(large, F.lit(True)).collect()
+    # components of any size that a long holds: exact; larger ones take no part
+    large = [(0, [1e30, 0.0]), (1, [5000.0, 1.0]), (2, [2.0 ** 22, -3.0]), (3, [-4096.5, 2.0 ** 21]), (4, [1.0, 2.0])]
+    found = topk.top_k(spark.createDataFrame(large, "vec_id long, embedding array<double>"), F.lit(True)).collect()
+    assert sorted(map(tuple, found)) == brute(large[1:], lambda i: True, 5)
+
+
+@pytest.mark.parametrize("low,high,n,dims", [(-3, 3, 40, 5), (-300, 300, 200, 64), (0, 2, 30, 1), (5, 6, 9, 4), (-2 ** 29, 2 ** 29, 60, 4),
+                                             (-2 ** 31, 2 ** 31, 30, 2)])
+def test_blocks_equal_brute_force(low, high, n, dims):
+    """Ties, one dimension, scores beyond what doubles hold and beyond 64-bit sums."""
+    rng = np.random.default_rng(4)
+    rows, ids = rng.integers(low, high, (n, dims)), np.arange(n) * 3
+    want = []
+    for i in range(0, n, 7):
+        scores = [(-sum(int(a) * int(b) for a, b in zip(rows[i], rows[j])), int(ids[j])) for j in range(n) if j != i]
+        want += [(int(ids[i]), j, -s) for s, j in sorted(scores)[:5]]
+    assert topk.best_of_block(ids[::7], rows[::7], ids, rows, 5) == want
