@@ -10,17 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # fixed values: words of unwanted and of ordinary host names
-UNWANTED = ["cheap-pills", "pills-online", "viagra-shop", "pharma-discount", "casino-win", "casino-bonus", "best-casino",
-            "free-bets", "bet-now", "betting-tips", "poker-slots", "slots-jackpot", "lottery-winner", "adult-x",
-            "adult-cams", "xxx-videos", "porn-tube", "sex-chat", "spam-farm", "link-farm", "seo-spam", "ads-track",
-            "ad-tracker", "adserver", "click-track", "popup-ads", "malware-host", "phishing-login", "free-gift-cards",
-            "win-prize", "payday-loans", "crypto-doubler", "replica-watches", "get-rich-fast", "hot-dating", "warez-crack"]
+UNWANTED = ["online-casino", "casino-bonus", "jackpot-slots", "poker-room", "sports-betting", "bet-now", "betting-odds",
+            "lottery-winner", "roulette-king", "discount-pharmacy", "pills-online", "viagra-shop", "weight-loss-pills",
+            "no-prescription-meds", "adult-cams", "adult-dating", "xxx-videos", "porn-tube", "sex-chat", "escort-girls",
+            "spam-links", "link-exchange", "buy-backlinks", "article-spinner", "ad-tracker", "ads-server", "banner-ads",
+            "popup-ads", "click-track", "tracking-pixel", "malware-host", "phishing-login", "account-verify-now", "free-gift-cards",
+            "win-prize", "claim-reward", "payday-loans", "quick-cash", "crypto-doubler", "replica-watches", "get-rich-fast",
+            "hot-singles", "casino-games", "casino-vip", "win-cash-now", "spam-mailer", "bulk-spam", "adult-shop",
+            "adult-movies", "link-network", "warez-crack", "keygen-download", "cheap-cigarettes", "free-ringtones", "work-from-home-cash"]
 ORDINARY = ["news", "library", "university", "museum", "weather", "cooking", "garden", "history", "science", "travel",
             "music", "school", "hospital", "city-council", "railway", "theatre", "books", "research", "language", "health",
             "forum", "wiki", "photography", "football", "cycling", "astronomy", "geology", "recipes", "painting",
-            "software", "the-times", "other-north", "thread", "nation", "motion", "three-rivers", "leather", "weatherby",
-            "heron", "ration", "southern", "bather", "notion", "wheat", "thorn", "thistle", "tandem", "enter", "antler",
-            "thing", "theory", "thatch", "station", "whither", "ledger", "shore", "then", "than"]
+            "software", "parish", "college", "orchestra", "gazette", "observer", "chronicle", "journal", "institute", "academy",
+            "archive", "gallery", "bakery", "brewery", "vineyard", "farmhouse", "village", "harbour", "island", "mountain",
+            "river-trust", "birdwatch", "gardening", "knitting", "woodwork", "chess-club", "rowing", "hiking", "camping",
+            "architecture", "engineering", "mathematics", "physics", "chemistry", "biology", "medicine", "nursing",
+            "law-review", "parliament", "embassy", "tourism", "airport", "bus-timetable", "post-office", "bank", "insurance",
+            "furniture-maker", "bookshop", "toy-store", "market-hall", "restaurant", "hotel", "kitchen", "family-tree",
+            "genealogy", "folklore", "poetry", "novels", "grammar", "dictionary", "encyclopedia", "podcast", "radio",
+            "television", "cinema", "festival", "charity", "volunteers", "church", "monastery", "climate", "energy",
+            "recycling", "forestry", "fishing", "veterinary", "open-source", "compiler", "database", "network", "robotics"]
 _PREFIXES = ["", "www.", "blog.", "m."]
 _ENDINGS = ["example.com", "example.org", "example.net"]
 _PATHS = ["/en/{n}", "/de/{n}.html", "/fr/{n}?page=2&ref=x", "/es/{n}/", "/en/{n}#top", "", "/de/{n}?utm_source=feed"]

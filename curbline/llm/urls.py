@@ -104,7 +104,9 @@ def learn(labelled: DataFrame, max_train: int = MAX_TRAIN, buckets: int = BUCKET
     rows = (labelled.where(F.col("url").isNotNull() & F.col("verdict").isin("block", "allow"))
             .select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
                     (F.col("verdict") == "block").cast("int").alias("label"))
-            .orderBy("host", "path", "label").limit(max_train).collect())  # at most max_train rows
+            # which rows of a larger table teach is left to a hash, not to the alphabet
+            .orderBy(F.xxhash64("host", "path", "label"), "host", "path", "label")
+            .limit(max_train).collect())  # at most max_train rows
     return fit([tuple(row) for row in rows], buckets)
 
 

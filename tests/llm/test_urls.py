@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from curbline.llm import urls
+from curbline.llm.common import table
 from curbline.llm.labelled_urls import labelled_urls
 from curbline.llm.queries import URL_RULES
 
@@ -56,6 +57,23 @@ def test_model_on_urls_it_has_not_seen(spark):
     assert right / len(rows[1::2]) >= 0.95
 
 
+def test_words_left_out_of_training(spark):
+    """Half of the host words are unknown to the model; and the table holds no host of the given pages."""
+    rows = [tuple(r) for r in labelled_urls(spark).select(
+        urls.host_of(F.col("url")), urls.path_of(F.col("url")), (F.col("verdict") == "block").cast("int")).collect()]
+    words = sorted({re.sub(r"^(?:www|blog|m)\.|\.example\.\w+$", "", re.sub(r"^(?:www|blog|m)\.", "", h)) for h, _, _ in rows})
+    right = total = 0
+    for fold in (0, 1):
+        away = set(words[fold::2])
+        own = [any(w in h for w in away) for h, _, _ in rows]
+        model = urls.fit([r for r, out in zip(rows, own) if not out])
+        right += sum((model.block(h, p) >= 0.5) == bool(label) for (h, p, label), out in zip(rows, own) if out)
+        total += sum(own)
+    assert right / total >= 0.6  # n-grams carry some of a word's sense to others, not all of it
+    hosts = {r["host"] for r in table(spark, "/root/testdata/sf0.01", "pages").select(urls.host_of(F.col("url")).alias("host")).collect()}
+    assert not any(f"{w}.example" in h for w in words for h in hosts)
+
+
 def test_empty_tables(spark):
     labelled = labelled_urls(spark)
     assert urls.learn(labelled.where("false")).block("any.host", "/x") < 0.5
