@@ -13,9 +13,11 @@ Importance after entropy:
 
 Branches whose composite importance falls below ``least_importance`` are removed from each page of the host, and with
 them branches that their tag or role says are furniture (menus, headers, footers, asides, forms; scripts and styles are
-never text). A class or id that names furniture is evidence only: such a branch goes where its importance is below
-``NAMED_IMPORTANCE``, and never if it holds an article or main. If the whole page would go, or the host has fewer pages
-than ``least_pages``, only furniture by tag or role goes: a few pages can't show what is template.
+never text). A class or id that names furniture never removes a branch that holds an article or main. Other named
+branches go where they stand beside an article or main; and, within one or on a page without, where the name is a
+strong one (adverts, comments, sidebars, notices ...), unless they hold over ``MOST`` of the page's text, or where their
+importance is below ``NAMED_IMPORTANCE``. If the whole page would go, or the host has fewer pages
+than ``least_pages``, only furniture by tag, role or name goes: a few pages can't show what is template.
 
 Spark does the merging: pages are parsed in the tasks, statistics are summed per (host, place, feature) with partial
 aggregation, so a host that owns a third of all pages is no hot task; the trees' importances (places, not pages) go
@@ -27,8 +29,10 @@ repeated results. Columns other than those named are not read. Nothing is cut or
 from __future__ import annotations
 
 import html as entities
+import json
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,6 +47,7 @@ from curbline.llm.urls import host_of
 LEAST_IMPORTANCE = 0.15
 LEAST_PAGES = 4
 NAMED_IMPORTANCE = 0.5  # for places whose class or id names furniture
+MOST = 0.5
 NAMED = " named"  # ends the names of such places; labels hold no blanks
 DECAY = 0.9
 
@@ -65,6 +70,8 @@ FURNITURE_NAMES = re.compile(
     r"disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|"
     r"promoted|related|replies|reply|respond|share|sharing|sidebar|side-?bar|signup|social|sponsor|sponsored|subscribe|"
     r"toolbar|widget)(?:$|[-_ \d])", re.I)
+# of these a page's own text may have the name too: evidence for the entropies
+WEAK_NAMES = re.compile(r"(?:header|masthead|banner|widget|modal|toolbar|social|notices?|promo|promoted|related|footer|menu)", re.I)
 OWN_HEADS = re.compile(r"\b(?:header|masthead|banner)\b", re.I)  # names that an article's own head may bear
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
@@ -78,12 +85,12 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 class Node:
-    __slots__ = ("tag", "name", "path", "children", "furniture", "named", "inside_article", "holds_article")
+    __slots__ = ("tag", "name", "path", "children", "furniture", "named", "strong", "inside_article", "holds_article", "size")
 
-    def __init__(self, tag: str, name: str, parent: Node | None, furniture: bool, named: bool = False):
+    def __init__(self, tag: str, name: str, parent: Node | None, furniture: bool, named: bool = False, strong: bool = False):
         self.tag, self.name, self.children = tag, name, []
         self.path = f"{parent.path}/{name}" if parent else name
-        self.furniture, self.named, self.holds_article = furniture, named, False
+        self.furniture, self.named, self.strong, self.holds_article, self.size = furniture, named, strong, False, 0
         self.inside_article = bool(parent and (parent.inside_article or parent.tag in ("article", "main")))
 
 
@@ -101,8 +108,9 @@ def _node(tag: str, raw: str, parent: Node) -> Node:
     furniture = (by_tag or attributes.get("role", "").lower() in FURNITURE_ROLES
                  or "hidden" in _ATTRIBUTE.sub(" ", raw).lower().split() or attributes.get("aria-hidden") == "true")
     named = bool(names and tag not in ("html", "body", "article", "main") and FURNITURE_NAMES.search(names))
+    strong = named and any(not WEAK_NAMES.search(m[0]) for m in FURNITURE_NAMES.finditer(names))
     label = _SPACE.sub(".", _NUMBER.sub("#", (attributes.get("class") or attributes.get("id") or "").strip()))
-    return Node(tag, (f"{tag}.{label}" if label else tag) + NAMED * named, parent, furniture, named)
+    return Node(tag, (f"{tag}.{label}" if label else tag) + NAMED * named, parent, furniture, named, strong)
 
 
 def parse(page: str | None) -> Node:
@@ -186,11 +194,18 @@ def site_statistics(pages: DataFrame) -> DataFrame:
     """``host``, ``place``, ``pages``, ``styles``, ``presentation``, ``content`` (null without text), ``children``
     (uses of each child place) from ``host``, ``html``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # a page's statistics, packed, and its digest travel, not the page; copies of a page are no proof of template
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress(json.dumps(list(statistics(page))).encode(), 1) for page in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())],
+                                             ["host", "digest", "packed"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [], [], [])
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for place, kind, feature, child, n in statistics(page):
+            for host, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for place, kind, feature, child, n in json.loads(zlib.decompress(packed.as_py())):
                     for column, value in zip(columns, (host, place, kind, feature, child, n, n * math.log(n))):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -198,8 +213,11 @@ def site_statistics(pages: DataFrame) -> DataFrame:
                                                           pa.int64(), pa.float64()))],
                 ["host", "place", "kind", "feature", "child", "n", "n_log_n"])
 
-    rows = arrow_map(pages.select("host", "html"), run, "host string, place string, kind string, feature long, "
-                                                        "child string, n long, n_log_n double")
+    digested = pages.select("host", "html", F.unhex(F.md5(F.coalesce("html", F.lit("")))).alias("digest"))
+    once = arrow_map(digested, pack, "host string, digest binary, packed binary").groupBy("host", "digest").agg(
+        F.first("packed").alias("packed"))
+    rows = arrow_map(once.select("host", "packed"), unpack, "host string, place string, kind string, feature long, "
+                                                            "child string, n long, n_log_n double")
     # per feature: over how many pages, how often, and sum n log n: enough for its entropy
     features = rows.groupBy("host", "place", "kind", "feature", "child").agg(
         F.sum("n").alias("n"), F.sum("n_log_n").alias("n_log_n"))
@@ -239,9 +257,20 @@ def importances(places: dict[str, tuple]) -> tuple[dict[str, float], dict[str, f
     return done, branch
 
 
-def main_text(page: str | None, noise: frozenset[str] = frozenset(), by_name: bool = True) -> str:
-    """The text blocks that stay, in page order, joined by a blank line. ``noise``: places to remove. ``by_name``: remove
-    what a class or id names as furniture too, unless it holds an article or main."""
+def measure(root: Node) -> None:
+    """Sets each node's ``size``: the characters of its text that no furniture by tag or role holds, without blanks."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if not (node.furniture or node.tag in SILENT):
+            order.append(node)
+            todo += [k for k in node.children if isinstance(k, Node)]
+    for node in reversed(order):
+        node.size = sum(k.size if isinstance(k, Node) else len(k) - sum(map(k.count, " \n\t\r")) for k in node.children)
+
+
+def main_text(page: str | None, noise: frozenset[str] = frozenset()) -> str:
+    """The text blocks that stay, in page order, joined by a blank line. ``noise``: places to remove."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -250,7 +279,19 @@ def main_text(page: str | None, noise: frozenset[str] = frozenset(), by_name: bo
             blocks.append(text)
         run.clear()
 
-    todo: list = [parse(page)]
+    root = parse(page)
+    measure(root)
+
+    def dropped(node: Node) -> bool:
+        if node.tag in SILENT or node.furniture or node.path in noise:
+            return True
+        if not node.named or node.holds_article:
+            return False
+        if root.holds_article and not node.inside_article:
+            return True
+        return node.strong and node.size <= MOST * root.size
+
+    todo: list = [root]
     while todo:
         item = todo.pop()
         if item is None:
@@ -259,8 +300,7 @@ def main_text(page: str | None, noise: frozenset[str] = frozenset(), by_name: bo
             run.append(item)
         elif item.tag == "br":
             run.append(" ")
-        elif not (item.tag in SILENT or item.furniture or item.path in noise
-                  or by_name and item.named and not item.holds_article):
+        elif not dropped(item):
             edge = [None] if item.tag in BLOCK or item.tag == "#page" else []
             todo += edge + item.children[::-1] + edge
         elif item.tag in BLOCK:
@@ -274,9 +314,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``page_id``, ``url``, ``text`` for every row."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("host"))
-    # pages without host share no site; copies of a page are no proof of template
-    distinct = rows.where("host <> ''").select("host", "html").distinct()
-    sites = stored(site_statistics(distinct), "style-trees")
+    # pages without host share no site
+    sites = stored(site_statistics(rows.where("host <> ''").select("host", "html")), "style-trees", tidy=True)
     ship_package(pages.sparkSession)
 
     @F.arrow_udf("array<string>")
@@ -305,8 +344,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             out = []
             for page, places in zip(html, noisy):
                 places = places.as_py()
-                text = main_text(page.as_py(), frozenset(places or ()), by_name=False)
-                out.append(text if text or not places else main_text(page.as_py(), by_name=False))
+                text = main_text(page.as_py(), frozenset(places or ()))
+                out.append(text if text or not places else main_text(page.as_py()))
             yield pa.array(out, pa.string())
 
     return (rows.join(noise, "host", "left")

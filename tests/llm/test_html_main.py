@@ -1,9 +1,13 @@
 """Main text: broken markup, named furniture, template found by entropy alone, edge cases."""
 
+import html
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from curbline.llm import html_main
+from curbline.llm.common import table
 
 
 @pytest.mark.parametrize("page,text", [
@@ -69,8 +73,40 @@ def test_names_are_evidence_only(spark, around, pages):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     texts = {r["page_id"]: r["text"] for r in html_main.extract(df).collect()}
     for k in range(pages):
-        assert f"Story {k} of its own." in texts[k]
-        assert pages == 1 or "Same on all pages." not in texts[k]
+        assert texts[k] == f"Story {k} of its own."
+
+
+@pytest.mark.parametrize("pages", [1, 3, 40])
+def test_named_furniture_goes_on_hosts_of_any_size(spark, pages):
+    """Adverts, notices, comments and sidebars whose words differ from page to page, beside and inside an article."""
+    body = ("<body><div class='cookie-notice'>We use cookies {0}.</div><div class='wrap has-sidebar'>"
+            "<article><h1>Title {0}</h1><p>First words of story {0}.</p><div class='ad'>Buy {0} now</div><p>The end of {0}.</p>"
+            "</article><div class='sidebar'><p>Other news {0}</p></div></div>"
+            "<div id='comments'><p>Reader {0} says no.</p></div></body>")
+    plain = ("<body><div class='ad-box'><p>Cheap things {0}</p></div><div class='text'><p>A page {0} without an article element, "
+             "whose text is the longest part of it by far.</p></div><section class='comments'><p>I like {0}.</p></section></body>")
+    rows = [(k, f"http://a.net/{k}", body.format(k)) for k in range(pages)]
+    rows += [(100 + k, f"http://b.net/{k}", plain.format(k)) for k in range(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["page_id"]: r["text"] for r in html_main.extract(df).collect()}
+    for k in range(pages):
+        assert texts[k] == f"Title {k}\n\nFirst words of story {k}.\n\nThe end of {k}."
+        assert texts[100 + k] == f"A page {k} without an article element, whose text is the longest part of it by far."
+
+
+def test_no_advert_in_the_given_pages(spark):
+    """Whole pages table: no text of a branch named as an advert; every article paragraph is there."""
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    found = {r["page_id"]: r["text"] for r in html_main.extract(pages).collect()}
+    adverts = 0
+    for r in pages.collect():
+        blocks = found[r["page_id"]].split("\n\n")
+        beside = re.sub(r"<[^>]*>", "\n", re.sub(r"<div class=[\"']?ad[\"']?[^>]*>.*?</div>", "", r["html"] or "", flags=re.S))
+        for advert in re.findall(r"<div class=[\"']?ad[\"']?[^>]*>(.*?)</div>", r["html"] or "", re.S):
+            words = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", advert)).split())
+            adverts += bool(words)
+            assert words not in blocks or words in html.unescape(beside), r["page_id"]  # an article may say the same
+    assert adverts > 50 and sum(map(bool, found.values())) > 0.9 * len(found)
 
 
 def test_copies_are_no_template(spark):
