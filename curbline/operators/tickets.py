@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from curbline.functions.parsing import (
@@ -59,6 +59,31 @@ def valid_ticket_condition(policy: MatchPolicy, has_year_column: bool = False):
     return cond
 
 
+REASONS = ("out_of_window", "unknown_county", "empty_street", "empty_house", "alpha_house", "unparsed_house", "ok")
+
+
+def reject_reason(policy: MatchPolicy):
+    """Why a raw ticket is not matched, the first reason that holds; ``ok`` for those that are."""
+    in_window = F.coalesce(year_suffix(F.col("issue_date")).isin([str(y) for y in policy.years]), F.lit(False))
+    house = F.coalesce(F.col("house_number"), F.lit(""))
+    return (F.when(~in_window, "out_of_window")
+            .when(borough_code(F.col("county"), policy.aliases).isNull(), "unknown_county")
+            .when(F.coalesce(F.col("street_name"), F.lit("")) == "", "empty_street")
+            .when(house == "", "empty_house")
+            .when(house.rlike(r"^\p{L}+\z"), "alpha_house")
+            .when(~house_number_parses(house, policy.ticket_split), "unparsed_house")
+            .otherwise("ok"))
+
+
+def observed_rejects(tickets: DataFrame, policy: MatchPolicy) -> tuple[DataFrame, Observation]:
+    """The same tickets, and an observation that holds, once a job has read them, the number of tickets per reason: the
+    report's own pass counts its rejects, none is read twice."""
+    seen = Observation()
+    reason = F.inline(F.array(F.struct(reject_reason(policy).alias("_reason"))))
+    counted = tickets.select("*", reason).observe(seen, *[F.count_if(F.col("_reason") == r).alias(r) for r in REASONS])
+    return counted.drop("_reason"), seen
+
+
 def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bool = True) -> DataFrame:
     """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix, long).
 

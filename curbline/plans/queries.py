@@ -8,13 +8,13 @@ both engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.functions.parsing import (
-    borough_code,
     fold,
     house_suffix_parses,
     side_texts,
@@ -25,12 +25,27 @@ from curbline.functions.parsing import (
 from curbline.functions.trend import apply_rounding, centred_slope_expr, row_mean_expr, slope_expr
 from curbline.operators import counting
 from curbline.operators.matching import match_pairs
+from curbline.operators.regression import event_sums, grid_slope, merged
 from curbline.operators.segments import borough_number, parsed_sides, segment_sides, street_keys
-from curbline.operators.tickets import house_number_parts, normalize_tickets
+from curbline.operators.tickets import house_number_parts, normalize_tickets, observed_rejects, reject_reason
 from curbline.plans import oracle as O
 from curbline.plans.report import segment_report
 from curbline.policy import PRESETS, MatchPolicy, preset
-from curbline.sources.csv_io import TICKET_COLUMNS, TICKET_FIELDS, TICKET_SCHEMA, TICKET_WIDTH
+from curbline.session import checkpoint_path
+from curbline.sources.csv_io import (
+    TICKET_COLUMNS,
+    TICKET_FIELDS,
+    TICKET_SCHEMA,
+    TICKET_WIDTH,
+    read_segments_csv,
+    read_tickets_csv,
+    read_tickets_parquet,
+    sorted_rows,
+    write_report_csv,
+    write_report_sorted,
+    write_segments_csv,
+    write_tickets_csv,
+)
 from curbline.sources.fixtures import (
     FIXTURE_YEARS,
     fixture_events,
@@ -42,6 +57,7 @@ from curbline.sources.fixtures import (
     fixture_spread_tickets,
     fixture_tickets,
 )
+from curbline.sources.ledger import ledger_report, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 YEARS = FIXTURE_YEARS
@@ -89,16 +105,7 @@ FROM h"""
 
 def q_reject_reasons(spark, sf):
     t = fixture_tickets(spark, sf)
-    in_window = F.coalesce(year_suffix(F.col("issue_date")).isin([str(y) for y in YEARS]), F.lit(False))
-    hn, _ = house_number_parts(F.col("house_number"), "first_two")
-    reason = (F.when(~in_window, "out_of_window")
-              .when(borough_code(F.col("county")).isNull(), "unknown_county")
-              .when(F.coalesce(F.col("street_name"), F.lit("")) == "", "empty_street")
-              .when(F.coalesce(F.col("house_number"), F.lit("")) == "", "empty_house")
-              .when(F.col("house_number").rlike(r"^\p{L}+\z"), "alpha_house")
-              .when(hn.isNull(), "unparsed_house")
-              .otherwise("ok"))
-    return t.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return t.groupBy(reject_reason(CANON).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 SQL_REJECT_REASONS = O.with_fixtures() + f"""
@@ -527,6 +534,72 @@ ORACLES["csv_record_parse"] = O.with_fixtures() + """
 SELECT ticket_id, issue_date, county, nullif(house_number, '') AS house_number,
        street_name || ', "EAST" ' AS street_name FROM t0"""
 
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_path(spark, name)}-{uuid.uuid4().hex}"
+
+
+def _report_type() -> str:
+    return "segment_id string, " + ", ".join(f"{c} bigint" for c in COUNT_COLS) + ", slope double"
+
+
+def q_report_from_files(spark, sf):
+    """Tickets and segments written as several CSV files with headers, read by glob; the report written as CSV and read
+    back."""
+    base = _scratch(spark, "csv-files")
+    write_tickets_csv(fixture_tickets(spark, sf).repartition(6, "ticket_id"), f"{base}/violations")
+    write_segments_csv(fixture_segments(spark, sf), f"{base}/centerline")
+    tickets = read_tickets_csv(spark, f"{base}/violations/*.csv")
+    write_report_csv(segment_report(tickets, read_segments_csv(spark, f"{base}/centerline"), CANON), f"{base}/report")
+    return spark.read.schema(_report_type()).csv(f"{base}/report")
+
+
+def q_report_sorted_files(spark, sf):
+    """The report written in the order of its ids over several part files; ``position`` is each row's place in them."""
+    path = _scratch(spark, "sorted-files")
+    write_report_sorted(segment_report(fixture_tickets(spark, sf), fixture_segments(spark, sf), CANON), path)
+    return sorted_rows(spark, path, _report_type()).select("position", "segment_id", "slope")
+
+
+def q_report_by_ledger(spark, sf):
+    """Ticket files counted one by one: those of three years first, then all; the second run reads only the new ones."""
+    base = _scratch(spark, "ledger")
+    tickets, segments = fixture_tickets(spark, sf), fixture_segments(spark, sf)
+    known: set[str] = set()
+    for years in (YEARS[:3], YEARS[3:]):
+        part = tickets.where(year_suffix(F.col("issue_date")).isin([str(y) for y in years])).coalesce(2)
+        part.select(*TICKET_COLUMNS).write.mode("append").parquet(f"{base}/tickets")
+        found = refresh(spark, f"{base}/tickets/*.parquet", segments, CANON, f"{base}/counts", read=read_tickets_parquet)
+        if not found.read or known & set(found.read):
+            raise RuntimeError("a known file was read again")
+        known |= set(found.read)
+    return ledger_report(found, segments, CANON)
+
+
+def q_reject_reasons_observed(spark, sf):
+    """The reject counts that the report's own pass observes."""
+    tickets, seen = observed_rejects(fixture_tickets(spark, sf), CANON)
+    segment_report(tickets, fixture_segments(spark, sf), CANON).write.parquet(_scratch(spark, "observed"))
+    return spark.createDataFrame([(r, n) for r, n in seen.get.items() if n], "reason string, n bigint")
+
+
+def q_trend_slope_merged(spark, sf):
+    """Regression sums of two halves of the events, made apart, merged, and the slope over the zero-filled grid."""
+    events = _events(spark, sf)
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    parts = [event_sums(events.where(half == k), "id", "year", YEARS) for k in (0, 1)]
+    ids = fixture_spine(spark, sf).select("id").distinct()
+    return ids.join(merged(parts, "id"), "id", "left").select("id", F.round(grid_slope(YEARS), 9).alias("slope"))
+
+
+QUERIES |= {"report_from_files": q_report_from_files, "report_sorted_files": q_report_sorted_files,
+            "report_by_ledger": q_report_by_ledger, "reject_reasons_observed": q_reject_reasons_observed,
+            "trend_slope_merged": q_trend_slope_merged}
+ORACLES |= {
+    "report_from_files": O.report_sql(CANON),
+    "report_sorted_files": f"SELECT row_number() OVER (ORDER BY segment_id) AS position, segment_id, slope FROM ({O.report_sql(CANON)})",
+    "report_by_ledger": O.report_sql(CANON), "reject_reasons_observed": SQL_REJECT_REASONS,
+    "trend_slope_merged": SQL_TREND_SLOPE_LONG}
+
 _REPORT = O.report_sql(CANON)
 QUERIES["report_lines"] = q_report_lines
 ORACLES["report_lines"] = (f"SELECT concat_ws(', ', segment_id, {', '.join(CANON.count_columns)}, slope) AS line "

@@ -8,11 +8,11 @@ a query uses.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# 0-based field positions in the source files.
+# 0-based field positions in the source files.
 TICKET_FIELDS = {0: "ticket_id", 4: "issue_date", 21: "county", 23: "house_number", 24: "street_name"}
 TICKET_WIDTH = 25
 SEGMENT_FIELDS = {
@@ -88,6 +88,41 @@ def write_report_csv(report: DataFrame, path: str, mode: str = "errorifexists")
     report.write.mode(mode).option("header", False).csv(path)
 
 
+def write_report_sorted(report: DataFrame, path: str, key: str = "segment_id", mode: str = "errorifexists") -> None:
+    """Comma-separated part files in the order of ``key``: rows are dealt by ranges of it (sampled by Spark) and sorted
+    in each range, so that the files read one after the other by name are sorted as a whole."""
+    report.orderBy(key).write.mode(mode).option("header", False).csv(path)
+
+
+def sorted_rows(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """What ``write_report_sorted`` wrote, with ``position``: the row's place (from 1) over all part files by name. Each
+    file's rows are numbered by themselves; only the files' row counts are added up."""
+    rows = spark.read.schema(schema).option("header", False).csv(path)
+    columns = rows.columns
+    placed = rows.select(*columns, F.col("_metadata.file_name").alias("_file"),
+                         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    in_file = Window.partitionBy("_file").orderBy("_block", "_at")
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).select(
+        "_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    return (placed.withColumn("_in_file", F.row_number().over(in_file)).join(F.broadcast(files), "_file")
+            .select(*columns, (F.col("_before") + F.col("_in_file")).cast("bigint").alias("position")))
+
+
+def write_tickets_csv(tickets: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Ticket columns at their positions in wide CSV files, each with a header."""
+    _write_wide(tickets, TICKET_FIELDS, TICKET_WIDTH, path, mode)
+
+
+def write_segments_csv(segments: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    _write_wide(segments, SEGMENT_FIELDS, SEGMENT_WIDTH, path, mode)
+
+
+def _write_wide(df: DataFrame, fields: dict[int, str], width: int, path: str, mode: str) -> None:
+    columns = [F.col(fields[i]) if i in fields else F.lit(None).cast("string").alias(f"_c{i}") for i in range(width)]
+    df.select(*columns).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
 def write_report_text(report: DataFrame, path: str, separator: str = ", ", mode: str = "errorifexists") -> None:
     """One text line per row, fields joined by ``separator``."""
     line = F.concat_ws(separator, *[F.col(c).cast("string") for c in report.columns])

@@ -1,0 +1,69 @@
+"""Counts per file: new, replaced and removed files, broken runs, other policies and segments."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import segments_df, tickets_df
+from curbline.plans.report import segment_report
+from curbline.policy import preset
+from curbline.sources.csv_io import write_tickets_csv
+from curbline.sources.ledger import input_files, ledger_report, refresh, table_digest
+
+
+def tickets(spark, year, n):
+    return tickets_df(spark, [(f"{year}-{k}", f"01/01/{year}", "NY", str(101 + 2 * k), "A ST") for k in range(n)])
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_ledger(spark, tmp_path):
+    segments = segments_df(spark, [("S1", "101", "110", "100", "198", "A ST", "1", "A ST", ""), ("S2", "1", "9", "2", "8", "B", "1", "B", "")])
+    policy, state, glob = preset("canonical"), str(tmp_path / "state"), str(tmp_path / "in-*" / "*.csv")
+
+    def put(year, n, mode="errorifexists"):
+        write_tickets_csv(tickets(spark, year, n).coalesce(1), str(tmp_path / f"in-{year}"), mode)
+
+    def run(segs=segments, pol=policy):
+        return refresh(spark, glob, segs, pol, state)
+
+    assert run().read == [] and rows(ledger_report(run(), segments, policy)) == [("S1", 0, 0, 0, 0, 0, 0.0), ("S2", 0, 0, 0, 0, 0, 0.0)]
+    put(2015, 2)
+    put(2016, 9)
+    assert len(run().read) == 2
+    put(2018, 3)
+    found = run()
+    assert len(found.read) == 1 and "in-2018" in found.read[0]
+    every = tickets(spark, 2015, 2).union(tickets(spark, 2016, 9)).union(tickets(spark, 2018, 3))
+    assert rows(ledger_report(found, segments, policy)) == rows(segment_report(every, segments, policy))
+    assert run().read == []
+    # a replaced file is counted anew, alone
+    put(2016, 1, "overwrite")
+    found = run()
+    assert len(found.read) == 1 and "in-2016" in found.read[0]
+    every = tickets(spark, 2015, 2).union(tickets(spark, 2016, 1)).union(tickets(spark, 2018, 3))
+    assert rows(ledger_report(found, segments, policy)) == rows(segment_report(every, segments, policy))
+    # a file that is gone no longer counts
+    tickets(spark, 2018, 3).limit(0).write.mode("overwrite").parquet(str(tmp_path / "in-2018"))
+    found = run()
+    assert found.read == [] and rows(found.counts) == [("S1", 2015, 2), ("S1", 2016, 1)]
+    # a folder without Spark's mark is a broken run's
+    done = [p for p in (tmp_path / "state").iterdir() if any(q.name.startswith("part-") for q in p.iterdir())]
+    (done[0] / "_SUCCESS").rename(tmp_path / "mark")
+    assert len(run().read) <= 1
+    # other segments or another policy: all files again
+    assert len(run(segments.limit(1)).read) == 2 and len(run(pol=policy.with_(fold_case=False)).read) == 2
+    with pytest.raises(ValueError):
+        run(pol=preset("row_predicate"))
+
+
+def test_digest_ignores_order_and_sees_changes(spark):
+    one = spark.range(50).select(F.col("id").cast("string").alias("a"))
+    assert table_digest(one) == table_digest(one.orderBy(F.desc("id")).repartition(3))
+    assert table_digest(one) != table_digest(one.where("a <> '7'")) and table_digest(one) != table_digest(one.union(one.limit(1)))
+    assert table_digest(one.where("false")) == "0:None:None"
+
+
+def test_no_files(spark, tmp_path):
+    assert input_files(spark, [str(tmp_path / "*.csv")]) == []
