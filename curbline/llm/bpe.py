@@ -22,13 +22,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm.common import arrow_map, ship_package
 
-KEPT_WORDS = 250_000
+KEPT_WORDS = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -298,11 +299,20 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 def decoder(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[Column], Column]:
     """A function of an array of ids: the bytes that they stand for."""
     ship_package(spark)
-    sent = spark.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+    by_rank = {rank: token for token, rank in ranks.items()}
+    sent = spark.sparkContext.broadcast([by_rank.get(rank, b"") for rank in range(max(by_rank, default=-1) + 1)])
 
     @F.arrow_udf("binary")
-    def decoded(ids: pa.Array) -> pa.Array:
-        token = sent.value.__getitem__
-        return pa.array([b"".join(map(token, one.as_py() or ())) for one in ids], pa.binary())
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens = pa.array(sent.value, pa.large_binary())
+        for ids in batches:
+            taken = tokens.take(ids.flatten())
+            # the tokens' bytes lie one after the other: a text's bytes reach from its first token to its last
+            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            ends = np.frombuffer(taken.buffers()[1], dtype=np.int64, count=len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+            edges = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+            data = taken.buffers()[2] if len(taken) else pa.py_buffer(b"")
+            yield pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(edges.tobytes()), data]).cast(
+                pa.binary())
 
     return decoded
