@@ -41,7 +41,7 @@ from curbline.llm.common import arrow_map, ship_package
 BLOCK_ITEMS = 20_000
 _not_word = re.compile(r"[\W_]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 
 @dataclass(frozen=True)
