@@ -58,7 +58,16 @@ def stored(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(TIDY, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discarded(table: DataFrame) -> None:
+    """Deletes what ``stored`` has written for ``table``, when nothing reads it any more."""
+    spark = table.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -49,17 +49,19 @@ def fingerprint(text: bytes | None, shingle_words: int = 3, seed: int = 42) -> i
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
-                 seed: int = 42) -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long) for every row."""
+                 seed: int = 42, keep: str | None = None) -> DataFrame:
+    """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long) for every row, and the long column ``keep``."""
+    more = [keep] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), shingle_words, seed) for t in batch.column(1)),
                                 dtype=np.uint64, count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                                             ["doc_id", "fp", *more])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("body"))
-    return arrow_map(rows, run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("body"), *more)
+    return arrow_map(rows, run, ", ".join(["doc_id long", "fp long", *[f"{c} long" for c in more]]))
 
 
 def _cell(fp):
@@ -168,26 +170,36 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _rooted(marked: DataFrame, radius: int, tile_rows: int) -> DataFrame:
+    """``fp``, ``first_id`` (its smallest id), ``root`` (of its group) for every fingerprint of ``marked``."""
+    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    roots = components(links(distinct.select("fp"), radius, tile_rows))
+    return (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+            .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                     radius: int = 3, seed: int = 42, tile_rows: int = 4096) -> DataFrame:
     """``doc_id``, ``fp``, ``component_id`` (smallest id linked, directly or through others) for every row."""
     marked = stored(fingerprints(docs, id_col, text_col, shingle_words, seed), "simhash-fingerprints")
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), radius, tile_rows))
-    rooted = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(marked, radius, tile_rows)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
-                  radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group; of rows that repeat an id one stays.
-
-    Rows with a null id have no smallest id of their own: they stay as they are.
-    """
-    marked = near_duplicates(docs, id_col, text_col, shingle_words, radius)
-    first = (marked.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct())
-    kept = docs.join(first, docs[id_col].cast("long") == F.col("_first"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+                  radius: int = 3, seed: int = 42, tile_rows: int = 4096) -> DataFrame:
+    """One row of ``docs`` for each group: that with the smallest id (a null id comes last), of several the one whose
+    text has the smallest hash, of equal ones any."""
+    text_id = F.xxhash64(F.col(text_col).cast("string"))
+    marked = stored(fingerprints(docs.withColumn("_text_id", text_id), id_col, text_col, shingle_words, seed, keep="_text_id"),
+                    "simhash-fingerprints")
+    rooted = _rooted(marked, radius, tile_rows)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_text_id")
+    chosen = (marked.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("c"))
+              .select(F.col("c.doc_id").alias("_id"), F.col("c._text_id").alias("_chosen")).distinct())
+    same = docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (text_id == F.col("_chosen"))
+    # rows that agree in id and text are few unless they are copies: any one of them stays
+    return docs.join(chosen, same, "left_semi").withColumns({"_id": F.col(id_col), "_text_id": text_id}).dropDuplicates(
+        ["_id", "_text_id"]).drop("_id", "_text_id")

@@ -80,10 +80,14 @@ def test_groups_equal_brute_force(spark):
 
 def test_one_per_group_and_empty_table(spark):
     long_text = "a b c d e f g h i j k l m n o p " * 4
-    rows = [(3, long_text), (1, long_text), (1, long_text), (2, "quite another text here"), (None, long_text)]
+    other = "nothing in common with any of the rest of these rows at all, whatever one may say of it"
+    rows = [(3, long_text), (1, long_text), (1, long_text), (2, "quite another text here"), (None, long_text),
+            (1, other), (None, "only without an id, but twice"), (None, "only without an id, but twice")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit("kept"))
     kept = simhash.one_per_group(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 2, None]
+    # one row of each group: two texts under one id both stay, rows without id only where no other of the group has one
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, long_text), (1, other), (2, "quite another text here"), (None, "only without an id, but twice")], key=str)
     assert simhash.near_duplicates(df.where("false")).count() == 0
     assert simhash.one_per_group(df.where("false")).count() == 0
