@@ -4,9 +4,10 @@ Each stage takes ``(spark, docs, sf_dir)``, calls one operator of ``curbline.llm
 kept and returns the columns of documents; the last returns the encoded documents. ``run`` writes what a stage keeps
 as Parquet in the shared folder and reads it back for the next, so that a lost executor costs one stage's tasks.
 
-Null or empty texts have no letters and go in the language stage. A row whose id is null teaches no model and is no
-group's representative; it passes the duplicate stage. Of rows that repeat an id one stays. Extra columns of
-``documents`` pass through to the last stage. Empty tables give an empty result.
+Null or empty texts have no letters and go in the language stage. A row whose id is null teaches no model, and stands for
+its group of near-duplicates only where no row of it has an id; rows that repeat an id are judged by their texts. Extra
+columns of ``documents`` pass through to the last stage. Empty tables give an empty result. What a stage kept is deleted
+once the next one's result is stored.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm import decontam, langid, quality, simhash
-from curbline.llm.common import held_out, stored, table
+from curbline.llm.common import discarded, held_out, stored, table
 from curbline.llm.queries import ACCEPTED, bpe_digests
 
 #: A text whose n-grams are this far from every learned language belongs to none of them.
@@ -67,6 +68,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
+    read = None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, before = stored(stage(spark, docs, sf_dir), f"pipeline-{name}"), read
+        read = docs
+        if before is not None:
+            discarded(before)
     return STAGES[-1][1](spark, docs, sf_dir)
