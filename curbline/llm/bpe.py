@@ -2,9 +2,11 @@
 
 Instead of running the merge loop once per word occurrence, a task gathers the *distinct* pattern matches of the
 texts it holds, indexes their adjacent token pairs (by the rank of the token a pair makes: the positions where it
-stands) and replays the merges in rank order over that index. A merge touches only the two neighbours of its
-position. The texts are then encoded by looking their matches up; finished words are kept for the task's next
-batches, up to ``kept_words``. No shuffle is needed: a text's words meet their merges where the text already is.
+stands) and replays the merges in rank order over that index; the long tail of ranks that have few positions is replayed
+in rank order within each word, all words at once. A merge touches only the two neighbours of its position. The texts
+are then encoded by looking their matches up; finished words are kept for the task's next batches, and of more than
+``kept_words`` those that were asked for most often. No shuffle is needed: a text's words meet their merges where the
+text already is.
 
 The rank file is read by the driver and sent to the tasks; its size is a property of the vocabulary, not of the data.
 A null text is encoded as the empty text, a null list of ids decodes to no bytes. Ids outside the vocabulary raise.
@@ -18,7 +20,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -122,13 +124,15 @@ def _replay_common(symbols: np.ndarray, ranks: PairRanks, least_places: int) ->
     return symbols
 
 
-def replay(words: list[bytes], byte_ids: np.ndarray, ranks: PairRanks,
-           least_places: int = 48) -> tuple[np.ndarray, np.ndarray]:
+def replay(words: list[bytes], byte_ids: np.ndarray, ranks: PairRanks, least_places: int = 1000,
+           wave_symbols: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """The token ids of all words, one word after the other, and the number of ids of each word.
 
     All words lie in one array of symbols, each word followed by an end mark (-1). ``index`` maps a rank to the
     positions whose symbol and next symbol make that token; merges are applied in rank order. Ranks with many
-    positions come first and are applied to all of them at once, the long tail one position at a time.
+    positions come first and are applied to all of them at once. The long tail of ranks with few positions is replayed
+    in rank order within each word, all words side by side: words don't meet, so their order among each other is free.
+    Words that still have more than ``wave_symbols`` symbols are replayed one position at a time.
     """
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     body = byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
@@ -138,12 +142,46 @@ def replay(words: list[bytes], byte_ids: np.ndarray, ranks: PairRanks,
     marks[ends] = True
     whole = _replay_common(whole, ranks, least_places)
     left = marks | (whole >= 0)
-    whole, marks = whole[left], marks[left]
-    symbols = _replay_rare(whole, ranks)
+    symbols, marks = whole[left], marks[left]
+    lengths = np.diff(np.flatnonzero(marks), prepend=-1)  # with the end mark
+    of_long = np.repeat(lengths > wave_symbols + 1, lengths)
+    if len(symbols):
+        symbols[~of_long] = _replay_side_by_side(symbols[~of_long], ranks)
+    if of_long.any():
+        symbols[of_long] = _replay_rare(symbols[of_long], ranks)
     return symbols[symbols >= 0].astype(np.int32), np.diff(
         np.cumsum(symbols >= 0)[np.flatnonzero(marks)], prepend=0)
 
 
+def _replay_side_by_side(symbols: np.ndarray, ranks: PairRanks) -> np.ndarray:
+    """Replays one merge of every word at a time: that of its lowest rank, the first of its places; swallowed symbols
+    become -1. Only the pairs with the two neighbours of a merge are looked up anew."""
+    n, none = len(symbols), 1 << SHIFT
+    word = np.cumsum(symbols < 0) - (symbols < 0)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    makes = np.full(n, none)  # the rank that the pair from here on makes
+
+    def look_up(places: np.ndarray, followers: np.ndarray) -> None:
+        found = ranks.of(symbols[places], symbols[followers])
+        makes[places] = np.where(found < 0, none, found)
+
+    look_up(np.arange(n - 1), np.arange(1, n))
+    places = np.flatnonzero(makes < none)
+    while len(places):
+        owner = word[places]
+        firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        lowest = np.minimum.reduceat(makes[places] << 32 | places, firsts)
+        at, rank = lowest & 0xFFFFFFFF, lowest >> 32
+        right = after[at]
+        follower, left = after[right], before[at]
+        symbols[at], symbols[right], makes[right] = rank, -1, none
+        after[at], before[follower] = follower, at
+        look_up(at, follower)
+        look_up(left, at)
+        places = np.flatnonzero(makes < none)
+    return symbols
+
+
 def _replay_rare(whole: np.ndarray, ranks: PairRanks) -> np.ndarray:
     """Replays the merges in rank order one position at a time; swallowed symbols become -1."""
     n = len(whole)
@@ -192,17 +230,19 @@ LATIN_END = 0x250  # texts with characters from here on are split by the slower
 
 
 def fast_split(pattern: str) -> tuple[re.Pattern, re.Pattern] | None:
-    """The pattern for the standard library's faster matcher, and a search for the characters that it mustn't meet:
-    those beyond the Latin blocks, and those whose classes differ between the matchers. None: no such pattern."""
-    fast = (pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{L}", r"[^\W\d_]")
-            .replace(r"\p{N}", r"\d"))
+    """The pattern for the standard library's faster matcher, its classes written out as the characters they hold up to
+    the end of the Latin blocks, and a search for characters beyond. None: no such pattern."""
+    latin = "".join(map(chr, range(LATIN_END)))
+
+    def listed(inside: str) -> str:
+        return "".join(map(re.escape, regex.findall(f"[{inside}]", latin)))
+
+    fast = pattern
+    for slow_class in (r"[^\s\p{L}\p{N}]", r"\p{L}", r"\p{N}", r"\s", r"\S"):
+        fast = fast.replace(slow_class, f"[{listed(slow_class.strip('[]'))}]")
     if r"\p" in fast:
         return None
-    latin, odd = "".join(map(chr, range(LATIN_END))), set()
-    for slow_class, fast_class in ((r"\p{L}", r"[^\W\d_]"), (r"\p{N}", r"\d"), (r"\s", r"\s")):
-        odd |= set(regex.findall(slow_class, latin)) ^ set(re.findall(fast_class, latin))
-    shy = re.escape("".join(sorted(odd))) + rf"\U{LATIN_END:08x}-\U0010ffff"
-    return re.compile(fast), re.compile(f"[{shy}]")
+    return re.compile(fast), re.compile(rf"[\U{LATIN_END:08x}-\U0010ffff]")
 
 
 class Encoder:
@@ -222,8 +262,18 @@ class Encoder:
         return self.slow.findall(text)
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}  # word -> its place in size and start
+        self.number: dict[str, int] = {}  # word -> its place in size, start and uses
         self.size, self.start, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int64)
+
+    def _make_room(self) -> None:
+        """Keeps the words asked for most often, half as many as may be kept; what they were asked for counts half."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[:self.kept_words // 2])
+        words, size = list(self.number), self.size[kept]
+        self.number = {words[k]: place for place, k in enumerate(kept.tolist())}
+        ends = np.cumsum(size)
+        self.ids = self.ids[np.repeat(self.start[kept] - ends + size, size) + np.arange(size.sum())]
+        self.size, self.start, self.uses = size, ends - size, self.uses[kept] // 2
 
     def _learn(self, words: set[str]) -> None:
         order = sorted(words)
@@ -231,23 +281,27 @@ class Encoder:
         self.number.update(zip(order, range(len(self.number), len(self.number) + len(order))))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
         self.size, self.ids = np.concatenate([self.size, sizes]), np.concatenate([self.ids, ids])
+        self.uses = np.concatenate([self.uses, np.zeros(len(order), np.int64)])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one text after the other, and the number of ids of each text."""
-        split = [self.split(text) for text in texts]
-        seen = set().union(*split)
-        new = seen.difference(self.number)
-        if new:
-            if len(self.number) + len(new) > self.kept_words:
-                self._forget()
-                new = seen
-            self._learn(new)
-        words = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        if len(self.number) > self.kept_words:
+            self._make_room()
+        matches: list[str] = []
+        text_ends = [0]
+        for text in texts:
+            matches += self.split(text)
+            text_ends.append(len(matches))
+        words = np.fromiter(map(self.number.get, matches, repeat(-1)), dtype=np.int64, count=len(matches))
+        if len(unknown := np.flatnonzero(words < 0)):
+            asked = [matches[k] for k in unknown.tolist()]
+            self._learn(set(asked))
+            words[unknown] = np.fromiter(map(self.number.__getitem__, asked), dtype=np.int64, count=len(asked))
+        self.uses += np.bincount(words, minlength=len(self.uses))
         size = self.size[words]
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.start[words] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        text_ends = np.r_[0, ends][np.cumsum([len(part) for part in split], dtype=np.int64)]
-        return ids, np.diff(text_ends, prepend=0)
+        return ids, np.diff(np.r_[0, ends][text_ends])
 
 
 _encoders: dict[tuple, Encoder] = {}  # of this Python worker: its next tasks go on with the words it knows

@@ -18,13 +18,13 @@ TEXTS = ["", "Hello world, it's 12 o'clock!!", " leading  and   trailing  ", "ta
          "'s't're've'm'll'd 'S", "a" * 5_000, "😀😀 ‍", "___ -- $$$ ***", " \n \n x", "1234567890 " * 50]
 
 
-@pytest.mark.parametrize("least_places", [1, 3, 48, 10**9])
-def test_replay_equals_the_library(least_places):
+@pytest.mark.parametrize("least_places,wave_symbols", [(1, 64), (3, 5), (48, 64), (10**9, 64), (10**9, 0), (10**9, 8)])
+def test_replay_equals_the_library(least_places, wave_symbols):
     rng = random.Random(1)
     words = [bytes(rng.choice(b"aabtheino r\xc3\xa9s1.") for _ in range(rng.randint(1, 25))) for _ in range(3_000)]
     words += [b"a" * 40, b" " * 33, b"\xff\x00\xff", b"the" * 9]
     encoder = bpe.Encoder(RANKS, PAIRS, public_tokenizers.PATTERN)
-    ids, sizes = bpe.replay(words, encoder.byte_ids, PAIRS, least_places)
+    ids, sizes = bpe.replay(words, encoder.byte_ids, PAIRS, least_places, wave_symbols)
     for word, own in zip(words, np.split(ids, np.cumsum(sizes)[:-1])):
         assert own.tolist() == LIBRARY._encode_single_piece(word)
 
@@ -38,6 +38,14 @@ def test_encoder_equals_the_library_also_after_forgetting():
             assert [f.tolist() for f in found] == [LIBRARY.encode_ordinary(t or "") for t in texts]
 
 
+def test_words_asked_for_often_stay():
+    encoder = bpe.Encoder(RANKS, PAIRS, public_tokenizers.PATTERN, kept_words=40)
+    for k in range(200):
+        encoder.encode([f" often again word{k} {k}x"])
+    assert {" often", " again"} <= set(encoder.number) and len(encoder.number) < 60
+    assert list(encoder.number.values()) == list(range(len(encoder.size))) and len(encoder.uses) == len(encoder.size)
+
+
 def test_fast_splitting_equals_the_pattern():
     fast, shy = bpe.fast_split(public_tokenizers.PATTERN)
     slow = bpe.Encoder(RANKS, PAIRS, public_tokenizers.PATTERN).slow
