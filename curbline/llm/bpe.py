@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm.common import arrow_map, ship_package
+from curbline.llm.common import arrow_map, ship_package, slices
 
 KEPT_WORDS = 150_000
 
@@ -314,59 +314,52 @@ def _encoder(key: tuple, ranks: dict[bytes, int], pairs: PairRanks, pattern: str
     return _encoders[key]
 
 
-def _slices(texts: list[str | None], most_chars: int) -> Iterator[list[str | None]]:
-    """Runs of whole texts of about ``most_chars`` characters together, so that memory follows the text, not the
-    batch's row count."""
-    run: list[str | None] = []
-    size = 0
-    for text in texts:
-        run.append(text)
-        size += len(text or "")
-        if size >= most_chars:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           slice_chars: int = 1_000_000) -> DataFrame:
-    """``doc_id`` and ``ids`` (array of int), one row per row of ``docs``."""
+           slice_bytes: int = 1_000_000) -> DataFrame:
+    """``doc_id`` and ``ids`` (array of int), one row per row of ``docs``. Runs of whole texts of about ``slice_bytes``
+    together are encoded at a time, so that memory follows the text, not the batch's row count."""
     sent = docs.sparkSession.sparkContext.broadcast((ranks, PairRanks(pair_table(ranks))))
     key = (uuid.uuid4().hex, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, *sent.value, pattern)
         for batch in batches:
-            at = 0
-            for texts in _slices(batch.column(1).to_pylist(), slice_chars):
-                found, sizes = encoder.encode(texts)
+            for part in slices(batch, 1, slice_bytes):
+                found, sizes = encoder.encode(part.column(1).to_pylist())
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(found))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], ["doc_id", "ids"])
-                at += len(texts)
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return arrow_map(rows, run, "doc_id long, ids array<int>")
 
 
-def decoder(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[Column], Column]:
+def decoder(spark: SparkSession, ranks: dict[bytes, int], slice_ids: int = 500_000) -> Callable[[Column], Column]:
     """A function of an array of ids: the bytes that they stand for."""
     ship_package(spark)
     by_rank = {rank: token for token, rank in ranks.items()}
     sent = spark.sparkContext.broadcast([by_rank.get(rank, b"") for rank in range(max(by_rank, default=-1) + 1)])
 
+    def joined(tokens: pa.Array, ids: pa.ListArray, counts: np.ndarray) -> pa.Array:
+        taken = tokens.take(ids.flatten())
+        # the tokens' bytes lie one after the other: a text's bytes reach from its first token to its last
+        ends = np.frombuffer(taken.buffers()[1], dtype=np.int64, count=len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+        edges = ends[np.concatenate([[0], np.cumsum(counts)])]
+        data = taken.buffers()[2] if len(taken) else pa.py_buffer(b"")
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ids), [None, pa.py_buffer(edges.tobytes()), data]).cast(pa.binary())
+
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = pa.array(sent.value, pa.large_binary())
         for ids in batches:
-            taken = tokens.take(ids.flatten())
-            # the tokens' bytes lie one after the other: a text's bytes reach from its first token to its last
-            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-            ends = np.frombuffer(taken.buffers()[1], dtype=np.int64, count=len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
-            edges = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-            data = taken.buffers()[2] if len(taken) else pa.py_buffer(b"")
-            yield pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(edges.tobytes()), data]).cast(
-                pa.binary())
+            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, parts, start = np.cumsum(counts), [], 0
+            while start < len(ids):  # runs of rows of about ``slice_ids`` ids together; a longer row is alone
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + slice_ids, side="right")))
+                parts.append(joined(tokens, ids.slice(start, stop - start), counts[start:stop]))
+                start = stop
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return decoded

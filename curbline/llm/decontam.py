@@ -78,9 +78,6 @@ class WordCodes:
         return codes[codes != 0]
 
 
-worker_codes = WordCodes()  # of a Python worker: its next tasks go on with the words it knows
-
-
 def window_size(n_words: int, max_edit: float) -> int:
     """The class of an item: the largest power of two ``n`` such that any copy within ``max_edit``, wherever it
     starts, holds a whole window of ``n`` words that begins at a multiple of ``max(1, n // 2)``."""
@@ -276,7 +273,7 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index, codes = Index(sent.value, settings), worker_codes
+            index, codes = Index(sent.value, settings), WordCodes()
             for batch in batches:
                 ids, out = batch.column(0), []
                 for first, texts in _runs((codes(t.as_py()) for t in batch.column(1)), settings.slice_words):
@@ -304,10 +301,10 @@ def _clean(sent: Broadcast, settings: Settings) -> Callable[[Column], Column]:
 
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(sent.value, settings)
+        index, codes = Index(sent.value, settings), WordCodes()
         for texts in batches:
             good = np.ones(len(texts), dtype=bool)
-            for first, run in _runs((worker_codes(text) for text in texts), settings.slice_words):
+            for first, run in _runs((codes(text) for text in texts), settings.slice_words):
                 good[[first + text for text, _ in index.find(run)]] = False
             yield pd.Series(good)
 

@@ -58,8 +58,8 @@ def test_fast_splitting_equals_the_pattern():
 def test_spark_round_trip(spark):
     rows = [(k, t) for k, t in enumerate(TEXTS)] + [(99, None), (None, "x y"), (0, TEXTS[0])]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("clash"))
-    encoded = bpe.encode(df, RANKS, public_tokenizers.PATTERN, slice_chars=100)
-    found = encoded.withColumn("back", bpe.decoder(spark, RANKS)(F.col("ids"))).collect()
+    encoded = bpe.encode(df, RANKS, public_tokenizers.PATTERN, slice_bytes=100)
+    found = encoded.withColumn("back", bpe.decoder(spark, RANKS, slice_ids=50)(F.col("ids"))).collect()
     want = sorted((str(i), LIBRARY.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows)
     assert sorted((str(r["doc_id"]), list(r["ids"]), bytes(r["back"])) for r in found) == want
     assert bpe.encode(df.where("false"), RANKS, public_tokenizers.PATTERN).count() == 0
