@@ -46,6 +46,11 @@ def dedup_matches(matched: DataFrame, policy: MatchPolicy) -> DataFrame:
     seen = F.when(~named, F.when(F.col("ticket_id").isNull(), 1).otherwise(2) * F.when(F.col("is_left"), 1).otherwise(4))
     per_year = once.groupBy("segment_id", "year").agg(
         F.count_if(named).alias("named"), F.coalesce(F.bit_or(seen), F.lit(0)).alias("seen"))
+    return count_named_and_nameless(per_year, policy)
+
+
+def count_named_and_nameless(per_year: DataFrame, policy: MatchPolicy) -> DataFrame:
+    """(segment_id, year, named, seen) -> (segment_id, year, n): tickets with ids, and the bits of those without."""
     if policy.dedup == "id_ticket":
         # a nameless id counts in the first of the segment's years that has it
         before = Window.partitionBy("segment_id").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)

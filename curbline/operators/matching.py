@@ -32,7 +32,7 @@ everything, and only where both have, their ``long`` keys decide.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -80,17 +80,25 @@ def _rule(policy: MatchPolicy, number: Callable[[str], Column], end: Callable[[s
     raise ValueError(f"unknown compound rule {rule!r}")
 
 
+def _condition(policy: MatchPolicy, p: Callable[[str], Column], s: Callable[[str], Column]) -> Column:
+    no_suffix, branch = p("hn_suffix").isNull(), p("kind") == 0
+    plain = _rule(policy, lambda n: p("hn" if n == "hn" else "hn_suffix"), s, no_suffix, branch)
+    exact = _rule(policy, lambda n: p("long")[n], lambda e: s("long")[e], no_suffix, branch)
+    # long numbers are equal as BIGINTs, so the plain rule holds wherever the exact one does
+    return plain & (p("long").isNull() | s("long").isNull() | exact)
+
+
 def match_condition(policy: MatchPolicy, p: str = "p", s: str = "s") -> Column:
     """Residual predicate of one (probe, segment side) pair.
 
     ``hn``/``hn_suffix`` belong to the ticket, ``lo``..``o_hi_c`` to the side.
     """
-    no_suffix, branch = F.col(f"{p}.hn_suffix").isNull(), F.col(f"{p}.kind") == 0
-    plain = _rule(policy, lambda n: F.col(f"{p}.{'hn' if n == 'hn' else 'hn_suffix'}"), lambda e: F.col(f"{s}.{e}"),
-                  no_suffix, branch)
-    exact = _rule(policy, lambda n: F.col(f"{p}.long.{n}"), lambda e: F.col(f"{s}.long.{e}"), no_suffix, branch)
-    # long numbers are equal as BIGINTs, so the plain rule holds wherever the exact one does
-    return plain & (F.col(f"{p}.long").isNull() | F.col(f"{s}.long").isNull() | exact)
+    return _condition(policy, lambda c: F.col(f"{p}.{c}"), lambda c: F.col(f"{s}.{c}"))
+
+
+def pair_matches(policy: MatchPolicy, probe: Column, side: Column) -> Column:
+    """The same of a probe and a side that are structs."""
+    return _condition(policy, lambda c: probe[c], lambda c: side[c])
 
 
 def _is_odd(number: str, key: str) -> Column:
@@ -199,14 +207,13 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
     is_left, spread)`` with one row per match.
     """
     by_ticket = policy.dedup != "none"
-    keys = ["boro", "street", "is_left"]
     stats = measure_sides(segment_sides, policy)
     broadcast = stats.bytes <= policy.broadcast_max_bytes
 
     probes = ticket_probes(tickets, policy)
     if probes_where is not None:
         probes = probes.where(probes_where)
-    columns = [*keys, "hn", "hn_suffix", "long", "kind", "year"]
+    columns = ["boro", "street", "is_left", "hn", "hn_suffix", "long", "kind", "year"]
     # raw probes (one row per ticket): needed to deduplicate by ticket; chosen
     # for a broadcast join (no shuffle); otherwise probes are pre-aggregated
     raw = by_ticket or (broadcast if policy.preaggregate == "auto" else policy.preaggregate == "never")
@@ -237,6 +244,15 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
         # the deduplication groups by segment and ticket: rows dealt by ticket before the join are in place for
         # it, and the join's fan-out is never shuffled
         probes = probes.repartition("ticket_id", "spread")
+    return meet_by_block(probes, sides, [], stats, policy, salt=salt).select(
+        F.col("s.segment_id").alias("segment_id"), *[F.col(f"p.{c}").alias(c) for c in payload])
+
+
+def meet_by_block(probes: DataFrame, sides: DataFrame, more: list[str], stats: SideStats, policy: MatchPolicy,
+                  where: Column | None = None, salt: Sequence[str] = ()) -> DataFrame:
+    """All matches of probes ``p`` and sides ``s`` (that ``where`` holds for). ``more``: the sides' columns besides
+    ``SIDE_COLUMNS``; ``salt``: a key besides the street."""
+    keys, broadcast = ["boro", "street", "is_left"], stats.bytes <= policy.broadcast_max_bytes
     if policy.bin_width:
         widths = level_widths(policy.bin_width, policy.level_step)
         placed = with_levels(sides, widths)
@@ -244,7 +260,7 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
         met = _meet(probes, level_map(placed, salt), ["boro", "street", *salt], small).select("p.*", F.explode("s.levels").alias("level"))
         # hn is never NULL; the coalesce only says so, as above
         probes = met.withColumn("bin", F.coalesce(block_at(F.col("hn"), F.col("level"), widths), F.lit(-1).cast("bigint")))
-        sides = explode_blocks(placed, salt)
+        sides = explode_blocks(placed, [*salt, *more])
         keys = [*keys, "level", "bin"]
-    return _meet(probes, sides, [*keys, *salt], broadcast, match_condition(policy)).select(
-        F.col("s.segment_id").alias("segment_id"), *[F.col(f"p.{c}").alias(c) for c in payload])
+    condition = match_condition(policy) if where is None else match_condition(policy) & where
+    return _meet(probes, sides, [*keys, *salt], broadcast, condition)

@@ -24,12 +24,11 @@ from curbline.functions.parsing import (
 )
 from curbline.functions.trend import apply_rounding, centred_slope_expr, row_mean_expr, slope_expr
 from curbline.operators import counting
-from curbline.operators.matching import match_pairs
 from curbline.operators.regression import event_sums, grid_slope, merged
-from curbline.operators.segments import borough_number, parsed_sides, segment_sides, street_keys
+from curbline.operators.segments import borough_number, parsed_sides, street_keys
 from curbline.operators.tickets import house_number_parts, normalize_tickets, observed_rejects, reject_reason
 from curbline.plans import oracle as O
-from curbline.plans.report import segment_report
+from curbline.plans.report import segment_counts, segment_report
 from curbline.policy import PRESETS, MatchPolicy, preset
 from curbline.session import checkpoint_path
 from curbline.sources.csv_io import (
@@ -248,9 +247,7 @@ def _match_counts(spark, sf, policy: MatchPolicy, ticket_filter=None) -> DataFra
     raw = fixture_tickets(spark, sf)
     if ticket_filter is not None:
         raw = raw.where(ticket_filter)
-    t = normalize_tickets(raw, policy)
-    matched = match_pairs(t, segment_sides(fixture_segments(spark, sf), policy), policy)
-    counts = counting.dedup_matches(matched, policy)
+    counts = segment_counts(raw, fixture_segments(spark, sf), policy)
     return counts.groupBy("segment_id", "year").agg(F.sum("n").cast("bigint").alias("n"))
 
 

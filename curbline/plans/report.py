@@ -3,7 +3,7 @@
     tickets --normalize--> probes --+
                                     |-- join (boro, street, side[, block]) + range residual
     segments --sides/keys/blocks----+
-        --> dedup (optional) --> (segment, year, n) U spine zeros
+        --> (segment, year, n), each ticket once where the policy says so --> U spine zeros
         --> one aggregation per segment --> count_<year> x N, slope
 
 The plan is built lazily and runs as one job at the sink (plus one small
@@ -15,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from curbline.functions.trend import apply_rounding, slope_expr
-from curbline.operators.counting import dedup_matches, explode_per_year, yearly_vector
+from curbline.operators.counting import explode_per_year, yearly_vector
 from curbline.operators.matching import match_pairs
+from curbline.operators.once import counted_once
 from curbline.operators.segments import segment_sides, segment_spine
 from curbline.operators.sweep import sweep_counts
 from curbline.operators.tickets import normalize_tickets
@@ -29,7 +30,9 @@ def segment_counts(tickets: DataFrame, segments: DataFrame, policy: MatchPolicy)
     sides = segment_sides(segments, policy)
     if policy.range_join == "sweep":
         return sweep_counts(norm, sides, policy)
-    return dedup_matches(match_pairs(norm, sides, policy), policy)
+    if policy.dedup != "none":
+        return counted_once(norm, sides, policy)
+    return match_pairs(norm, sides, policy).select("segment_id", "year", "n")
 
 
 def with_slope(wide: DataFrame, policy: MatchPolicy) -> DataFrame:
