@@ -198,9 +198,8 @@ def _meet(probes: DataFrame, sides: DataFrame, keys: list[str], broadcast: bool,
     return p.join(s, cond if condition is None else [*cond, condition], "inner")
 
 
-def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolicy,
-                probes_where: Column | None = None) -> DataFrame:
-    """All (segment, ticket) matches (of the probes that ``probes_where`` leaves).
+def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolicy, more: Sequence[str] = ()) -> DataFrame:
+    """All (segment, ticket) matches; ``more``: columns of the tickets to keep, matches are counted apart by them.
 
     Returns ``(segment_id, year, n)`` where ``n`` is a multiplicity to sum,
     or, when the policy deduplicates by ticket, ``(segment_id, ticket_id, year,
@@ -211,21 +210,19 @@ def match_pairs(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPolic
     broadcast = stats.bytes <= policy.broadcast_max_bytes
 
     probes = ticket_probes(tickets, policy)
-    if probes_where is not None:
-        probes = probes.where(probes_where)
-    columns = ["boro", "street", "is_left", "hn", "hn_suffix", "long", "kind", "year"]
+    columns = ["boro", "street", "is_left", "hn", "hn_suffix", "long", "kind", "year", *more]
     # raw probes (one row per ticket): needed to deduplicate by ticket; chosen
     # for a broadcast join (no shuffle); otherwise probes are pre-aggregated
     raw = by_ticket or (broadcast if policy.preaggregate == "auto" else policy.preaggregate == "never")
     if by_ticket:
-        payload = ["ticket_id", "year", "is_left", "spread"]
+        payload = ["ticket_id", *more, "year", "is_left", "spread"]
         # matches of a ticket are deduplicated; those without an id would all be dealt to one task, so they are also
         # dealt by address, which their deduplication takes into account
         nameless = F.coalesce(F.col("ticket_id"), F.lit("")) == ""
         columns = [*columns, "ticket_id", "spread"]
         probes = probes.withColumn("spread", F.when(nameless, F.hash("boro", "street", "hn", "hn_suffix")).otherwise(F.lit(0)))
     else:
-        payload = ["year", "n"]
+        payload = [*more, "year", "n"]
         columns = [*columns, "n"]
         if raw:  # the counts are combined map-side after the join
             probes = probes.withColumn("n", F.lit(1).cast("bigint"))

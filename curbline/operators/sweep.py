@@ -8,7 +8,7 @@ from the ranges' totals (one small row per street and range). All steps are sort
 spills; none depends on how many tickets a side matches.
 
 That counts tickets whose rule needs the base number only. Tickets with a suffix under a rule that tests it keep the
-equi join of ``operators.matching``; ``sweep_counts`` unites both (and reads the tickets once for each). Numbers of any
+equi join of ``operators.matching``; ``sweep_counts`` unites both, from one sum of the tickets per address. Numbers of any
 length are ordered by their BIGINT, then by their key. Dedup by ticket needs the pairs and is refused.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.functions.parsing import LONG_NUMBER
-from curbline.operators.matching import match_pairs, ticket_probes
+from curbline.operators.matching import measure_sides, meet_by_block, ticket_probes
 from curbline.policy import MatchPolicy
 
 #: House numbers per sorted run of a street's side.
@@ -32,12 +32,14 @@ LOW, TICKET, HIGH = 0, 1, 2
 
 
 def swept(tickets: DataFrame, sides: DataFrame, years: Sequence[int], range_width: int = RANGE_WIDTH) -> DataFrame:
-    """(segment_id, count_<year>...): tickets (``boro, street, is_left, hn, long, year``) within each side's base range."""
+    """(segment_id, count_<year>...): tickets (``boro, street, is_left, hn, long, year``, and ``n`` where a row stands for
+    several) within each side's base range."""
     columns = [f"count_{y}" for y in years]
     zero = F.lit(0).cast("bigint")
+    n = F.col("n") if "n" in tickets.columns else F.lit(1).cast("bigint")
     # a hot address is one row from here on
     summed = tickets.groupBy(*STREET, "hn", F.col("long.hn").alias("key")).agg(
-        *[F.count_if(F.col("year") == y).alias(c) for y, c in zip(years, columns)])
+        *[F.sum(F.when(F.col("year") == y, n).otherwise(zero)).alias(c) for y, c in zip(years, columns)])
 
     def ends(kind: int, end: str) -> DataFrame:
         return sides.where(not_empty).select(*STREET, F.col(end).alias("number"), F.col(f"long.{end}").alias("key"),
@@ -50,7 +52,10 @@ def swept(tickets: DataFrame, sides: DataFrame, years: Sequence[int], range_widt
         .unionByName(ends(LOW, "lo")).unionByName(ends(HIGH, "hi"))
         # numbers that a BIGINT tells apart need no key; long ones are ordered by it
         .withColumn("key", F.when(F.col("number") >= LONG_NUMBER, F.col("key")))
-        .withColumn("run", F.call_function("div", F.col("number"), F.lit(range_width).cast("bigint")))
+        # never NULL; the coalesce says so, and Catalyst infers no filters for the join that keep the two uses of the
+        # points from sharing what they shuffle
+        .withColumn("run", F.coalesce(F.call_function("div", F.col("number"), F.lit(range_width).cast("bigint")), F.lit(-1)))
+        .withColumns(_never_null("boro", "street"))
     )
     so_far = (Window.partitionBy(*STREET, "run").orderBy("number", "key", "kind")
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -63,6 +68,12 @@ def swept(tickets: DataFrame, sides: DataFrame, years: Sequence[int], range_widt
             .agg(*[F.sum(sign * (F.col(c) + F.col(f"carried_{c}"))).cast("bigint").alias(c) for c in columns]))
 
 
+def _never_null(*columns: str) -> dict[str, Column]:
+    """Keys that are never NULL here (normalize_tickets, segment_sides), said so."""
+    none = {"boro": F.lit(-1), "street": F.lit("")}
+    return {c: F.coalesce(F.col(c), none[c]) for c in columns}
+
+
 def by_base_number_alone(policy: MatchPolicy) -> Column:
     """Probes for which the policy's rule tests nothing but the base number."""
     if policy.compound == "zero_default":
@@ -78,7 +89,16 @@ def sweep_counts(tickets: DataFrame, sides: DataFrame, policy: MatchPolicy, rang
     if policy.dedup != "none":
         raise ValueError("a sweep counts tickets without pairs: it can't deduplicate them per segment")
     alone = by_base_number_alone(policy)
-    wide = swept(ticket_probes(tickets, policy).where(alone), sides, policy.years, range_width)
+    # the tickets are read once: both parts are taken from their sums per address. ``alone`` belongs to the address; as
+    # an aggregate it is tested above the shuffle, so that both share it
+    addresses = (ticket_probes(tickets, policy).withColumns(_never_null("boro", "street"))
+                 .groupBy(*STREET, "hn", "hn_suffix", "long", "kind", "year")
+                 .agg(F.count(F.lit(1)).alias("n"), F.bool_or(alone).alias("alone")))
+    wide = swept(addresses.where("alone"), sides, policy.years, range_width)
     long = wide.select("segment_id", F.inline(F.array(*[
         F.struct(F.lit(y).alias("year"), F.col(f"count_{y}").alias("n")) for y in policy.years])))
-    return long.where("n > 0").unionByName(match_pairs(tickets, sides, policy, probes_where=~alone))
+    # handed on by a generator: what Catalyst infers from the join stays above it, and the shuffle below is the same
+    others = addresses.where("not alone").select(F.inline(F.array(F.struct(*[
+        F.col(c) for c in (*STREET, "hn", "hn_suffix", "long", "kind", "year", "n")]))))
+    pairs = meet_by_block(others, sides, [], measure_sides(sides, policy), policy)
+    return long.where("n > 0").unionByName(pairs.select("s.segment_id", "p.year", "p.n"))

@@ -70,7 +70,7 @@ def fixture_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One street segment per part row (raw text fields)."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    p = rebalanced(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"), "p_partkey")
     k = F.col("p_partkey")
     b = (F.col("p_size") % 40).cast("bigint")
     compound = k % 4 == 0

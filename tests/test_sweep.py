@@ -69,3 +69,20 @@ def test_sorted_files_are_in_order(spark):
     rows = sorted((r["position"], r["segment_id"]) for r in QUERIES["report_sorted_files"](spark, SF_SMALL).collect())
     assert [p for p, _ in rows] == list(range(1, len(rows) + 1))
     assert [i for _, i in rows] == sorted(i for _, i in rows)
+
+
+def test_tickets_are_read_once(spark):
+    """The sweep and the join of what it leaves share one sum of the tickets per address."""
+    pol = preset("canonical", range_join="sweep", broadcast_max_bytes=0)
+    t, s = random_tables(spark, 3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = t.count()
+    watched = t.mapInArrow(counted, t.schema)
+    segment_report(watched, s, pol).collect()
+    assert seen.value == rows
