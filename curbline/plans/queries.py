@@ -55,6 +55,7 @@ from curbline.sources.fixtures import (
     fixture_spread_segments,
     fixture_spread_tickets,
     fixture_tickets,
+    table,
 )
 from curbline.sources.ledger import ledger_report, refresh
 
@@ -539,11 +540,16 @@ def _report_type() -> str:
     return "segment_id string, " + ", ".join(f"{c} bigint" for c in COUNT_COLS) + ", slope double"
 
 
+#: Tickets in one written file, about.
+FILE_TICKETS = 1_000_000
+
+
 def q_report_from_files(spark, sf):
     """Tickets and segments written as several CSV files with headers, read by glob; the report written as CSV and read
     back."""
     base = _scratch(spark, "csv-files")
-    write_tickets_csv(fixture_tickets(spark, sf).repartition(6, "ticket_id"), f"{base}/violations")
+    files = max(6, -(-table(spark, sf, "lineitem").count() // FILE_TICKETS))
+    write_tickets_csv(fixture_tickets(spark, sf).repartition(files, "ticket_id"), f"{base}/violations")
     write_segments_csv(fixture_segments(spark, sf), f"{base}/centerline")
     tickets = read_tickets_csv(spark, f"{base}/violations/*.csv")
     write_report_csv(segment_report(tickets, read_segments_csv(spark, f"{base}/centerline"), CANON), f"{base}/report")
