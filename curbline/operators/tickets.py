@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -84,8 +86,9 @@ def observed_rejects(tickets: DataFrame, policy: MatchPolicy) -> tuple[DataFrame
     return counted.drop("_reason"), seen
 
 
-def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bool = True) -> DataFrame:
-    """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix, long).
+def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bool = True,
+                      more: Sequence[str] = ()) -> DataFrame:
+    """Raw ticket text -> (ticket_id, year, boro, street, hn, hn_suffix, long), and the columns ``more`` as they are.
 
     ``long`` holds keys that order numbers of any length; it is NULL for house numbers of
     at most 18 characters, nearly all, whose BIGINTs tell everything.
@@ -101,7 +104,7 @@ def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bo
     base, suffix = house_number_texts(F.col("house_number"), policy.ticket_split)
     # a step of its own: each part is split off once and then read several times
     texts = tickets.where(keep).select(
-        "ticket_id",
+        "ticket_id", *more,
         year_suffix(F.col("issue_date")).try_cast("int").alias("year"),
         borough_code(F.col("county"), policy.aliases).alias("boro"),
         fold(F.col("street_name"), policy.fold_case).alias("street"),
@@ -115,4 +118,4 @@ def normalize_tickets(tickets: DataFrame, policy: MatchPolicy, drop_unparsed: bo
         F.when(F.col("is_long"), keys).alias("long"))
     # handed on by a generator as plain columns: tests of the numbers that Catalyst infers from the join stay above it
     # and don't parse the text once more each
-    return texts.select("ticket_id", "year", "boro", "street", F.inline(F.array(numbers)))
+    return texts.select("ticket_id", *more, "year", "boro", "street", F.inline(F.array(numbers)))

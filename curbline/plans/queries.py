@@ -542,6 +542,8 @@ def _report_type() -> str:
 
 #: Tickets in one written file, about.
 FILE_TICKETS = 1_000_000
+#: The ledger's files are fewer.
+LEDGER_TICKETS = 10_000_000
 
 
 def q_report_from_files(spark, sf):
@@ -568,8 +570,10 @@ def q_report_by_ledger(spark, sf):
     base = _scratch(spark, "ledger")
     tickets, segments = fixture_tickets(spark, sf), fixture_segments(spark, sf)
     known: set[str] = set()
+    files = max(2, -(-table(spark, sf, "lineitem").count() // LEDGER_TICKETS))
     for years in (YEARS[:3], YEARS[3:]):
-        part = tickets.where(year_suffix(F.col("issue_date")).isin([str(y) for y in years])).coalesce(2)
+        part = tickets.where(year_suffix(F.col("issue_date")).isin([str(y) for y in years]))
+        part = part.repartition(files, "ticket_id")  # all tasks make the files' rows
         part.select(*TICKET_COLUMNS).write.mode("append").parquet(f"{base}/tickets")
         found = refresh(spark, f"{base}/tickets/*.parquet", segments, CANON, f"{base}/counts", read=read_tickets_parquet)
         if not found.read or known & set(found.read):

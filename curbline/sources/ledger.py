@@ -5,27 +5,35 @@ Tickets come in files (one per year, month, ...). Each file's matches are counte
 change, the policy, and a digest of the segment table. A run lists the files, counts those that have no finished folder
 yet, and adds up the folders of the files that are there now. So a replaced file is counted anew, a removed one no longer
 counts, other files are not read, and a run that was broken off goes on where it stopped (a folder counts only once Spark
-has committed it). Files whose policy or segments changed are counted anew as a whole.
+has committed it, or it was moved there from a committed one). Files whose policy or segments changed are counted anew
+as a whole.
 
-Deduplication by ticket looks across files and is refused. The number of files is bounded by the calendar, not by the
-tickets; each new one is a Spark job of its own.
+Deduplication by ticket looks across files and is refused. New files are counted together, up to ``TOGETHER`` in one Spark
+job, since each job meets all segments; the sweep, which has no place for the file, takes them one by one.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.operators.counting import explode_per_year, yearly_vector
-from curbline.operators.segments import segment_spine
+from curbline.operators.matching import match_pairs
+from curbline.operators.segments import segment_sides, segment_spine
+from curbline.operators.tickets import normalize_tickets
 from curbline.plans.report import segment_counts, with_slope
 from curbline.policy import MatchPolicy
 from curbline.sources.csv_io import read_tickets_csv
 
+#: New files counted by one job at most.
+TOGETHER = 32
+
 COUNTS = "segment_id string, year int, n bigint"
 
 
@@ -64,6 +72,27 @@ def table_digest(table: DataFrame) -> str:
     return f"{r['n']}:{r['s']}:{r['x']}"
 
 
+def _count_together(spark: SparkSession, files: Sequence[tuple[str, str]], segments: DataFrame, policy: MatchPolicy,
+                    state: str, read: Callable[[SparkSession, str], DataFrame]) -> None:
+    """Counts several files (path, folder) in one job, each into its folder."""
+    parts = [normalize_tickets(read(spark, path).withColumn("file", F.lit(k)), policy, more=["file"])
+             for k, (path, _) in enumerate(files)]
+    counts = (match_pairs(reduce(DataFrame.unionByName, parts), segment_sides(segments, policy), policy, more=["file"])
+              .groupBy("file", "segment_id", "year").agg(F.sum("n").cast("bigint").alias("n")))
+    new, system = _file_system(spark, f"{state.rstrip('/')}/_new-{uuid.uuid4().hex}")
+    counts.write.partitionBy("file").parquet(new.toString())
+    for k, (_, folder) in enumerate(files):
+        done, _ = _file_system(spark, folder)
+        made, _ = _file_system(spark, f"{new.toString()}/file={k}")
+        system.delete(done, True)
+        # a file without matches has no counts
+        moved = system.rename(made, done) if system.exists(made) else system.mkdirs(done)
+        if not moved:
+            raise RuntimeError(f"can't put the counts of {files[k][0]} into {folder}")
+        system.create(_file_system(spark, f"{folder}/_SUCCESS")[0]).close()
+    system.delete(new, True)
+
+
 @dataclass(frozen=True)
 class Ledger:
     """What ``refresh`` found: the counts of all present files, and the paths it had to read."""
@@ -84,10 +113,17 @@ def refresh(spark: SparkSession, paths: str | Sequence[str], segments: DataFrame
         folders.append(folder)
         done, system = _file_system(spark, f"{folder}/_SUCCESS")
         if not system.exists(done):
-            counts = segment_counts(read(spark, file.path), segments, policy)
+            fresh.append((file.path, folder))
+    together = 1 if policy.range_join == "sweep" else TOGETHER
+    for k in range(0, len(fresh), together):
+        if len(some := fresh[k:k + together]) == 1:
+            path, folder = some[0]
+            counts = segment_counts(read(spark, path), segments, policy)
             (counts.groupBy("segment_id", "year").agg(F.sum("n").cast("bigint").alias("n"))
              .write.mode("overwrite").parquet(folder))
-            fresh.append(file.path)
+        else:
+            _count_together(spark, some, segments, policy, state, read)
+    fresh = [path for path, _ in fresh]
     counts = spark.read.schema(COUNTS).parquet(*folders) if folders else spark.createDataFrame([], COUNTS)
     return Ledger(counts, fresh)
 

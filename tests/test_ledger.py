@@ -67,3 +67,21 @@ def test_digest_ignores_order_and_sees_changes(spark):
 
 def test_no_files(spark, tmp_path):
     assert input_files(spark, [str(tmp_path / "*.csv")]) == []
+
+
+def test_new_files_are_counted_in_one_job(spark, tmp_path, monkeypatch):
+    """Three new files meet the segments in one job; each has a finished folder of its own, one of them without matches."""
+    from curbline.sources import ledger
+
+    segments = segments_df(spark, [("S1", "101", "110", "100", "198", "A ST", "1", "A ST", "")])
+    policy, state = preset("canonical"), tmp_path / "state"
+    for year, n in ((2015, 2), (2016, 9), (2018, 0)):
+        write_tickets_csv(tickets(spark, year, n or 1).withColumn("street_name", F.lit("A ST" if n else "B")).coalesce(1), str(tmp_path / f"in-{year}"))
+    jobs = []
+    plain = ledger.match_pairs
+    monkeypatch.setattr(ledger, "match_pairs", lambda *a, **k: jobs.append(1) or plain(*a, **k))
+    found = refresh(spark, str(tmp_path / "in-*" / "*.csv"), segments, policy, str(state))
+    assert len(jobs) == 1 and len(found.read) == 3
+    assert rows(found.counts) == [("S1", 2015, 2), ("S1", 2016, 5)]
+    assert len(list(state.iterdir())) == 3 and all((p / "_SUCCESS").exists() for p in state.iterdir())
+    assert refresh(spark, str(tmp_path / "in-*" / "*.csv"), segments, policy, str(state)).read == []
