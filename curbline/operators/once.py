@@ -19,7 +19,6 @@ sides, keep the plain way: one row per match, made distinct.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +26,7 @@ from curbline.operators.counting import count_named_and_nameless
 from curbline.operators.matching import SideStats, measure_sides, meet_by_block, pair_matches, ticket_probes
 from curbline.operators.segments import SIDE_COLUMNS
 from curbline.policy import MatchPolicy
+from curbline.session import ensure_checkpoint_dir
 
 #: A ticket's rows, or a segment's sides, that one of them keeps beside it at most.
 MOST = 16
@@ -87,8 +87,9 @@ def counted_once(tickets: DataFrame, segment_sides: DataFrame, policy: MatchPoli
     """``(segment_id, year, n)`` of normalised tickets and segment sides under the policy's dedup mode: what
     ``dedup_matches(match_pairs(...))`` gives."""
     probes = ticket_probes(tickets, policy)
-    # read several times; a lost block is made again
-    sides = sides_by_shape(segment_sides, probes).persist(StorageLevel.MEMORY_AND_DISK)
+    # read several times, so kept in the shared folder
+    ensure_checkpoint_dir(tickets.sparkSession)
+    sides = sides_by_shape(segment_sides, probes).checkpoint()
     shapes = {r["shape"] for r in sides.select("shape").distinct().collect()}
     stats = measure_sides(sides, policy)
 
