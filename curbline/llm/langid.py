@@ -1,8 +1,8 @@
 """Language identification by rank order of character n-grams (out-of-place distance).
 
 Learning: n-grams of 1 to ``max_n`` characters of all learnable texts are counted per language, first inside each
-task (over the distinct words of its batches), then by a grouped sum; a language's profile is its ``profile_size``
-most frequent n-grams in order. Prediction: a text's most frequent ``profile_size`` n-grams, in order, are held
+task (over the distinct words of its batches, a run of words at a time, so that a task's memory is bounded), then by a
+grouped sum; a language's profile is its ``profile_size`` most frequent n-grams in order. Prediction: a text's most frequent ``profile_size`` n-grams, in order, are held
 against each profile; an n-gram costs the difference of its two ranks, or ``profile_size`` where the profile lacks
 it. The language with the smallest sum wins; ties go to the language first in byte order.
 
@@ -20,7 +20,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ UNDETERMINED = "und"
 PROFILE_SIZE = 300
 MAX_N = 3
 MAX_LANGUAGES = 2_000
-FLUSH_WORDS = 200_000
+FLUSH_WORDS = 100_000
 BITS = 21  # a code point
 
 _not_letters = re.compile(r"[\W\d_]+")
@@ -58,6 +57,28 @@ def gram_codes(words: str, max_n: int = MAX_N) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(places)
 
 
+def summed(grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams and the sum of the weights of each."""
+    kinds, kind = np.unique(grams, return_inverse=True)
+    return kinds, np.bincount(kind, weights=weights).astype(np.int64)
+
+
+def word_grams(words: dict[str, int], max_n: int = MAX_N, most_chars: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of words that occur so many times, and how often each occurs. Runs of words of about ``most_chars``
+    characters together are cut at a time (a longer word is alone), so that the work arrays don't follow the number
+    of words."""
+    known, times = list(words), np.fromiter(words.values(), np.int64, len(words))
+    sizes = np.fromiter(map(len, known), np.int64, len(known)) + 1  # a word owns the blank before it
+    ends, parts, start = np.cumsum(sizes), [], 0
+    while start < len(known):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most_chars, side="right")))
+        found, places = gram_codes(f" {' '.join(known[start:stop])} ", max_n)
+        parts.append(summed(found, np.repeat(times[start:stop], sizes[start:stop])[places]))
+        start = stop
+    return summed(*map(np.concatenate, zip(*parts)))
+
+
 def ranked(grams: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     """The ``size`` most frequent n-grams, most frequent first, ties by code."""
     if len(grams) > size:
@@ -78,18 +99,14 @@ def learn(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col:
             for lang, words in seen.items():
                 if not words:
                     continue
-                found, places = gram_codes(f" {' '.join(words)} ", max_n)  # a word owns the blank before it
-                owner = np.repeat(np.arange(len(words)), [len(word) + 1 for word in words])
-                weights = np.fromiter(words.values(), np.int64, len(words))[owner[places]]
-                grams, kind = np.unique(found, return_inverse=True)
-                totals = np.bincount(kind, weights=weights).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams), pa.array(totals)],
+                grams, totals = word_grams(words, max_n)
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(grams)), pa.array(grams), pa.array(totals)],
                                                  ["lang", "gram", "n"])
             seen.clear()
 
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.setdefault(lang, Counter()).update(letters(text).split())
+            for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
+                seen.setdefault(lang, Counter()).update(letters(text.as_py()).split())
                 if sum(map(len, seen.values())) > FLUSH_WORDS:
                     yield from flush()
         yield from flush()
@@ -154,9 +171,12 @@ def with_language(docs: DataFrame, profiles: dict, text_col: str = "text", name:
     ship_package(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
 
-    @F.pandas_udf("lang string, score double")
-    def judged(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang string, score double")
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         judge = Judge(sent.value, profile_size, max_n)
-        return pd.DataFrame([judge(text) for text in texts], columns=["lang", "score"])
+        for texts in batches:
+            found = [judge(text.as_py()) for text in texts]
+            yield pa.StructArray.from_arrays([pa.array([lang for lang, _ in found], pa.string()),
+                                              pa.array([score for _, score in found], pa.float64())], ["lang", "score"])
 
     return docs.withColumn(name, judged(F.col(text_col)))

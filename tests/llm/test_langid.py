@@ -1,7 +1,10 @@
 """Rank-order profiles against a plain counting version; held-out accuracy; edge cases."""
 
+import tracemalloc
 from collections import Counter
+from itertools import product
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +78,28 @@ def test_edge_cases(spark):
     assert langid.predict(empty, profiles).count() == 0
     with pytest.raises(ValueError):
         langid.learn(df.withColumn("lang", F.col("doc_id").cast("string")), F.lit(True), max_languages=1)
+
+
+@pytest.mark.parametrize("most_chars", [1, 5, 12, 1_000])
+def test_grams_of_runs_of_words_equal_plain_counting(most_chars):
+    words = {"the": 3, "cat": 1, "ß": 2, "日本": 4, "donaudampfschiff": 2, "a": 7}
+    grams, counts = langid.word_grams(words, most_chars=most_chars)
+    assert dict(zip(map(decoded, grams.tolist()), counts.tolist())) == plain_grams(" ".join(" ".join([w] * n) for w, n in words.items()))
+
+
+def test_memory_of_learning_does_not_follow_the_distinct_words(spark, monkeypatch):
+    """The work of one task, without Spark: 190,000 distinct words took 301 MB as one run."""
+    taken = []
+    monkeypatch.setattr(langid, "arrow_map", lambda df, run, schema: taken.append(run) or df.selectExpr("lang", "0L gram", "1L n"))
+    langid.learn(spark.createDataFrame([("a", "xx")], "text string, lang string"), F.lit(True))
+    words = ["".join(w) + "xyz" for w in product("abcdefghijklmnopqrstu", repeat=4)][:190_000]
+    texts = [" ".join(words[k:k + 500]) for k in range(0, len(words), 500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["xx"] * len(texts))], ["text", "lang"])
+    found = Counter()
+    tracemalloc.start()
+    for part in taken[0](iter([batch])):
+        found.update(dict(zip(part.column(1).to_pylist(), part.column(2).to_pylist())))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {decoded(g): n for g, n in found.items()} == plain_grams(" ".join(words))
+    assert peak < 80e6
