@@ -8,7 +8,8 @@ to length 1) and statistics share one index space, so words interact with statis
 
 Training takes at most ``max_train`` labelled texts (those with the smallest hash of their id), whatever the size of
 the corpus; several labels of one id count by their mean. Scoring is one pass over the texts without a shuffle, the
-model's size is fixed by its parameters. Labels that are null teach nothing. Null texts score as empty texts; a null
+model's size is fixed by its parameters. A task works on runs of whole texts of about ``SLICE_BYTES`` together, so that
+its work arrays don't follow the rows of a batch. Labels that are null teach nothing. Null texts score as empty texts; a null
 or negative length statistic counts as 0. Without labelled rows every text scores 0.5. Repeated rows score alike,
 columns other than those named are not read.
 """
@@ -22,17 +23,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import arrow_map, ship_package, stored
+from curbline.llm.common import arrow_map, ship_package, slices, stored
 
 MAX_TRAIN = 6_000
 BUCKETS = 1 << 16
 FACTORS = 4
 KEPT_WORDS = 150_000
+SLICE_BYTES = 1_000_000
 STATISTICS = ("bias", "upper", "digit", "blank", "line_end", "stop", "symbol", "bar", "mark", "other", "long_word",
               "new_word", "echo", "new_line_share", "size", "words", "declared", "undeclared")
 
@@ -81,6 +82,10 @@ class Features:
         return (np.concatenate([np.arange(len(STATISTICS)), own + len(STATISTICS)]),
                 np.concatenate([statistics(text, tokens, words, declared), weight]))
 
+    def of(self, texts: pa.Array, declared: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The rows of some texts, which become strings one at a time."""
+        return [self(text.as_py(), n.as_py()) for text, n in zip(texts, declared)]
+
 
 @dataclass
 class Machine:
@@ -163,11 +168,12 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, label_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(buckets)
         for batch in batches:
-            found = [features(t, n) for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32())),
-                 pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))],
-                ["doc_id", "label", "index", "value"])
+            for part in slices(batch, 2, SLICE_BYTES):
+                found = features.of(part.column(2), part.column(3))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32())),
+                     pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))],
+                    ["doc_id", "label", "index", "value"])
 
     taught = arrow_map(texts, run, "doc_id long, label int, index array<int>, value array<float>").toArrow()
     taught = taught.sort_by("doc_id")  # at most max_train rows
@@ -176,15 +182,11 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, label_col: str
     return fit(rows, np.asarray(taught.column("label"), dtype=np.float64), buckets)
 
 
-def _slices(texts: list, most_chars: int = 2_000_000) -> Iterator[slice]:
-    start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= most_chars:
-            yield slice(start, k + 1)
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def batch_scores(machine: Machine, features: Features, texts: pa.Array, lengths: pa.Array) -> pa.Array:
+    """The scores of a batch, a run of whole texts at a time."""
+    batch = pa.RecordBatch.from_arrays([texts, lengths], ["text", "length"])
+    parts = [machine.scores(features.of(part.column(0), part.column(1))) for part in slices(batch, 0, SLICE_BYTES)]
+    return pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
 
 def with_score(docs: DataFrame, machine: Machine, text_col: str = "text", length_col: str = "n_chars",
@@ -193,11 +195,10 @@ def with_score(docs: DataFrame, machine: Machine, text_col: str = "text", length
     ship_package(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series, lengths: pd.Series) -> pd.Series:
-        features, model = Features(buckets), sent.value
-        texts, lengths = texts.tolist(), [None if pd.isna(n) else int(n) for n in lengths]
-        parts = [model.scores([features(t, n) for t, n in zip(texts[part], lengths[part])]) for part in _slices(texts)]
-        return pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        features = Features(buckets)
+        for texts, lengths in batches:
+            yield batch_scores(sent.value, features, texts, lengths)
 
     return docs.withColumn(name, scored(F.col(text_col), F.col(length_col).cast("long")))
