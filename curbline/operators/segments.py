@@ -31,6 +31,8 @@ from curbline.functions.parsing import (
 from curbline.policy import MatchPolicy
 
 SIDE_COLUMNS = ("segment_id", "boro", "street", "is_left", "lo", "hi", "lo_c", "hi_c", "o_lo_c", "o_hi_c", "long")
+#: All that a match asks of a side: sides that agree in it match the same tickets.
+RANGE_COLUMNS = SIDE_COLUMNS[1:]
 
 
 def street_keys(policy: MatchPolicy) -> Column:
@@ -112,6 +114,19 @@ def segment_sides(segments: DataFrame, policy: MatchPolicy) -> DataFrame:
     )
 
 
+def range_name() -> Column:
+    """A side's ``RANGE_COLUMNS`` as one text, different for different ranges. The street comes last: it alone may hold
+    the separator."""
+    empty = F.lit("")  # a number's text is never empty, so this stands for NULL
+    fixed = [F.coalesce(F.col(c).cast("string"), empty) for c in RANGE_COLUMNS if c not in ("street", "long")]
+    return F.concat_ws("|", *fixed, F.coalesce(F.to_json("long"), empty), F.col("street"))
+
+
+def side_ranges(sides: DataFrame) -> DataFrame:
+    """The different ranges of segment sides, each once, as sides whose ``segment_id`` is the range's name."""
+    return sides.select(*RANGE_COLUMNS).distinct().select(range_name().alias("segment_id"), *RANGE_COLUMNS)
+
+
 def level_widths(width: int, step: int) -> list[int]:
     """Block widths of all levels; the last one's first block holds every number."""
     widths = [width]

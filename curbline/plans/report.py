@@ -26,8 +26,12 @@ from curbline.policy import MatchPolicy, preset
 
 def segment_counts(tickets: DataFrame, segments: DataFrame, policy: MatchPolicy) -> DataFrame:
     """(segment_id, year, n): matches per segment and year, before the spine."""
+    return side_counts(tickets, segment_sides(segments, policy), policy)
+
+
+def side_counts(tickets: DataFrame, sides: DataFrame, policy: MatchPolicy) -> DataFrame:
+    """The same of segment sides that are at hand."""
     norm = normalize_tickets(tickets, policy)
-    sides = segment_sides(segments, policy)
     if policy.range_join == "sweep":
         return sweep_counts(norm, sides, policy)
     if policy.dedup != "none":

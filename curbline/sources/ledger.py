@@ -1,13 +1,18 @@
 """Counts that are kept per input file, so that a new or replaced file costs only its own rows.
 
 Tickets come in files (one per year, month, ...). Each file's matches are counted once and stored as a small table of
-(segment_id, year, n) in a folder whose name tells everything the counts depend on: the file's path, length and time of
+(range, year, n) in a folder whose name tells everything the counts depend on: the file's path, length and time of
 change, the policy, and a digest of the segment table. A run lists the files, counts those that have no finished folder
 yet, and adds up the folders of the files that are there now. So a replaced file is counted anew, a removed one no longer
 counts, other files are not read, and a run that was broken off goes on where it stopped (a folder counts only once Spark
 has committed it, or it was moved there from a committed one). Files whose policy or segments changed are counted anew
 as a whole.
 
+A range is all that a match asks of a segment's side (borough, street, side, numbers). Sides of many segments may share
+one, and then have the same matches: a file's tickets, summed per address, meet each range once, and its table has a row
+for each range and year that matched. Only the sum over all files is handed out to the segments, by one join for each
+report. So neither the matching nor the tables grow with the number of files times that of the segments on a range.
+
 Deduplication by ticket looks across files and is refused. New files are counted together, up to ``TOGETHER`` in one Spark
 job, since each job meets all segments; the sweep, which has no place for the file, takes them one by one.
 """
@@ -25,9 +30,9 @@ from pyspark.sql import functions as F
 
 from curbline.operators.counting import explode_per_year, yearly_vector
 from curbline.operators.matching import match_pairs
-from curbline.operators.segments import segment_sides, segment_spine
+from curbline.operators.segments import range_name, segment_sides, segment_spine, side_ranges
 from curbline.operators.tickets import normalize_tickets
-from curbline.plans.report import segment_counts, with_slope
+from curbline.plans.report import side_counts, with_slope
 from curbline.policy import MatchPolicy
 from curbline.sources.csv_io import read_tickets_csv
 
@@ -35,6 +40,12 @@ from curbline.sources.csv_io import read_tickets_csv
 TOGETHER = 32
 
 COUNTS = "segment_id string, year int, n bigint"
+#: What is kept of a file.
+KEPT = "range string, year int, n bigint"
+
+# Bytes of a broadcast row besides its text (header and three fields), and the hash table's overhead.
+_ROW_BYTES = 40
+_HASH_FACTOR = 2
 
 
 @dataclass(frozen=True)
@@ -72,13 +83,22 @@ def table_digest(table: DataFrame) -> str:
     return f"{r['n']}:{r['s']}:{r['x']}"
 
 
-def _count_together(spark: SparkSession, files: Sequence[tuple[str, str]], segments: DataFrame, policy: MatchPolicy,
+def _summed(policy: MatchPolicy) -> MatchPolicy:
+    """The policy with the tickets summed per address before they meet the ranges, unless it forbids that."""
+    return policy.with_(preaggregate="always") if policy.preaggregate == "auto" else policy
+
+
+def _kept(counts: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    return (counts.groupBy(*more, F.col("segment_id").alias("range"), "year")
+            .agg(F.sum("n").cast("bigint").alias("n")))
+
+
+def _count_together(spark: SparkSession, files: Sequence[tuple[str, str]], ranges: DataFrame, policy: MatchPolicy,
                     state: str, read: Callable[[SparkSession, str], DataFrame]) -> None:
     """Counts several files (path, folder) in one job, each into its folder."""
     parts = [normalize_tickets(read(spark, path).withColumn("file", F.lit(k)), policy, more=["file"])
              for k, (path, _) in enumerate(files)]
-    counts = (match_pairs(reduce(DataFrame.unionByName, parts), segment_sides(segments, policy), policy, more=["file"])
-              .groupBy("file", "segment_id", "year").agg(F.sum("n").cast("bigint").alias("n")))
+    counts = _kept(match_pairs(reduce(DataFrame.unionByName, parts), ranges, _summed(policy), more=["file"]), ["file"])
     new, system = _file_system(spark, f"{state.rstrip('/')}/_new-{uuid.uuid4().hex}")
     counts.write.partitionBy("file").parquet(new.toString())
     for k, (_, folder) in enumerate(files):
@@ -93,6 +113,16 @@ def _count_together(spark: SparkSession, files: Sequence[tuple[str, str]], segme
     system.delete(new, True)
 
 
+def _to_segments(kept: DataFrame, segments: DataFrame, policy: MatchPolicy) -> DataFrame:
+    """(range, year, n) of all files -> (segment_id, year, n), rows to be summed: each side has its range's counts."""
+    totals = kept.groupBy("range", "year").agg(F.sum("n").cast("bigint").alias("n"))
+    row_bytes = (F.octet_length("range") + F.lit(_ROW_BYTES)) * F.lit(_HASH_FACTOR)
+    size = totals.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()["b"]
+    totals = F.broadcast(totals) if size <= policy.broadcast_max_bytes else totals.hint("merge")
+    sides = segment_sides(segments, policy).select("segment_id", range_name().alias("range"))
+    return sides.join(totals, "range").select("segment_id", "year", "n")
+
+
 @dataclass(frozen=True)
 class Ledger:
     """What ``refresh`` found: the counts of all present files, and the paths it had to read."""
@@ -106,7 +136,7 @@ def refresh(spark: SparkSession, paths: str | Sequence[str], segments: DataFrame
     """Counts what is new under ``paths`` into the folder ``state`` and returns the counts of everything there."""
     if policy.dedup != "none":
         raise ValueError("counts per file can't deduplicate tickets across files")
-    basis = f"{policy!r}\n{table_digest(segments)}"
+    basis = f"{policy!r}\n{table_digest(segments)}\n{KEPT}"
     folders, fresh = [], []
     for file in input_files(spark, paths):
         folder = f"{state.rstrip('/')}/{file.key(basis)}"
@@ -114,18 +144,23 @@ def refresh(spark: SparkSession, paths: str | Sequence[str], segments: DataFrame
         done, system = _file_system(spark, f"{folder}/_SUCCESS")
         if not system.exists(done):
             fresh.append((file.path, folder))
-    together = 1 if policy.range_join == "sweep" else TOGETHER
-    for k in range(0, len(fresh), together):
-        if len(some := fresh[k:k + together]) == 1:
-            path, folder = some[0]
-            counts = segment_counts(read(spark, path), segments, policy)
-            (counts.groupBy("segment_id", "year").agg(F.sum("n").cast("bigint").alias("n"))
-             .write.mode("overwrite").parquet(folder))
-        else:
-            _count_together(spark, some, segments, policy, state, read)
+    if fresh:
+        # read several times by each job, so made once
+        made, system = _file_system(spark, f"{state.rstrip('/')}/_ranges-{uuid.uuid4().hex}")
+        side_ranges(segment_sides(segments, policy)).write.parquet(made.toString())
+        ranges = spark.read.parquet(made.toString())
+        together = 1 if policy.range_join == "sweep" else TOGETHER
+        for k in range(0, len(fresh), together):
+            if len(some := fresh[k:k + together]) == 1:
+                path, folder = some[0]
+                _kept(side_counts(read(spark, path), ranges, _summed(policy))).write.mode("overwrite").parquet(folder)
+            else:
+                _count_together(spark, some, ranges, policy, state, read)
+        system.delete(made, True)
     fresh = [path for path, _ in fresh]
-    counts = spark.read.schema(COUNTS).parquet(*folders) if folders else spark.createDataFrame([], COUNTS)
-    return Ledger(counts, fresh)
+    if not folders:
+        return Ledger(spark.createDataFrame([], COUNTS), fresh)
+    return Ledger(_to_segments(spark.read.schema(KEPT).parquet(*folders), segments, policy), fresh)
 
 
 def ledger_report(ledger: Ledger, segments: DataFrame, policy: MatchPolicy) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import segments_df, tickets_df
+from curbline.operators.segments import RANGE_COLUMNS, range_name, segment_sides, side_ranges
 from curbline.plans.report import segment_report
 from curbline.policy import preset
 from curbline.sources.csv_io import write_tickets_csv
@@ -85,3 +86,49 @@ def test_new_files_are_counted_in_one_job(spark, tmp_path, monkeypatch):
     assert rows(found.counts) == [("S1", 2015, 2), ("S1", 2016, 5)]
     assert len(list(state.iterdir())) == 3 and all((p / "_SUCCESS").exists() for p in state.iterdir())
     assert refresh(spark, str(tmp_path / "in-*" / "*.csv"), segments, policy, str(state)).read == []
+
+
+LONG = "100000000000000000"
+
+
+def crowded_segments(spark):
+    """Forty segments on one range, one of them in two rows, and others that differ in a single thing each."""
+    alike = [(f"S{k}", "101", "110", "100", "198", "A ST", "1", "A ST", "") for k in range(40)]
+    return segments_df(spark, [*alike, alike[3],
+                               ("boro", "101", "110", "100", "198", "A ST", "2", "A ST", ""),
+                               ("names", "101", "110", "100", "198", "A|ST", "1", "a st", ""),
+                               ("end", "101", "109", "", "", "A ST", "1", "A ST", ""),
+                               ("parts", "101-01", "110-49", "100-02", "198-50", "A ST", "1", "A ST", ""),
+                               ("part", "101-05", "110-49", "", "", "A ST", "1", "A ST", ""),
+                               ("long", f"{LONG}1", f"{LONG}9", f"{LONG}2", f"{LONG}8", "A ST", "1", "A ST", ""),
+                               ("longer", f"{LONG}1", f"{LONG}7", f"{LONG}2", f"{LONG}8", "A ST", "1", "A ST", ""),
+                               (None, "101", "110", "100", "198", "A ST", "1", "A ST", "")])
+
+
+@pytest.mark.parametrize("more", [{}, {"preaggregate": "never"}, {"broadcast_max_bytes": 0}, {"range_join": "sweep"}])
+def test_segments_on_one_range_share_its_counts(spark, tmp_path, more):
+    """A file's table has a row for each range and year, however many segments share the range."""
+    policy, segments = preset("canonical", **more), crowded_segments(spark)
+    houses = ("101", "110", "103-07", "105-03", "109", "111", "150", f"{LONG}1", f"{LONG}9", f"{LONG}2")
+    every = tickets_df(spark, [(f"{y}-{h}-{c}", f"01/01/{y}", c, h, s) for y in (2015, 2016, 2018) for h in houses
+                               for c, s in (("NY", "A ST"), ("NY", "A|ST"), ("BX", "a st"))])
+    for year in (2015, 2016, 2018):
+        write_tickets_csv(every.where(F.col("issue_date").endswith(str(year))).coalesce(1), str(tmp_path / f"in-{year}"))
+    found = refresh(spark, str(tmp_path / "in-*" / "*.csv"), segments, policy, str(tmp_path / "state"))
+    assert rows(ledger_report(found, segments, policy)) == rows(segment_report(every, segments, policy))
+    folders = list((tmp_path / "state").iterdir())
+    assert len(folders) == 3 and len(found.read) == 3
+    ranges = side_ranges(segment_sides(segments, policy)).count()
+    assert all(0 < spark.read.parquet(str(p)).count() <= ranges < 20 for p in folders)
+
+
+def test_ranges_have_names_of_their_own(spark):
+    sides = segment_sides(crowded_segments(spark), preset("canonical"))
+    assert sides.select(range_name()).distinct().count() == sides.select(*RANGE_COLUMNS).distinct().count()
+    one = {"boro": 1, "street": "'A'", "is_left": True, "lo": 1, "hi": 9, "long": "cast(null as struct<lo: string>)"}
+    suffixes = ("lo_c", "hi_c", "o_lo_c", "o_hi_c")
+    named = [spark.range(1).selectExpr(*[f"cast({v} as {'bigint' if c in ('lo', 'hi') else 'int'}) as {c}"
+                                         if c in ("boro", "lo", "hi") else f"{v} as {c}" for c, v in one.items()],
+                                       *[f"cast({7 if c == given else 'null'} as bigint) as {c}" for c in suffixes])
+             for given in (None, *suffixes)]
+    assert len({df.select(range_name()).first()[0] for df in named}) == 5
