@@ -23,7 +23,7 @@ import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +39,6 @@ from curbline.sources.csv_io import read_tickets_csv
 #: New files counted by one job at most.
 TOGETHER = 32
 
-COUNTS = "segment_id string, year int, n bigint"
 #: What is kept of a file.
 KEPT = "range string, year int, n bigint"
 
@@ -125,11 +124,18 @@ def _to_segments(kept: DataFrame, segments: DataFrame, policy: MatchPolicy) -> D
 
 @dataclass(frozen=True)
 class Ledger:
-    """What ``refresh`` found: the counts of all present files, and the paths it had to read."""
+    """What ``refresh`` found: what is kept of all present files, and the paths it had to read."""
 
-    counts: DataFrame
+    kept: DataFrame
+    segments: DataFrame
+    policy: MatchPolicy
     read: list[str]
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        """(segment_id, year, n), rows to be summed: the counts of all present files."""
+        return _to_segments(self.kept, self.segments, self.policy)
+
 
 def refresh(spark: SparkSession, paths: str | Sequence[str], segments: DataFrame, policy: MatchPolicy, state: str,
             read: Callable[[SparkSession, str], DataFrame] = read_tickets_csv) -> Ledger:
@@ -158,9 +164,8 @@ def refresh(spark: SparkSession, paths: str | Sequence[str], segments: DataFrame
                 _count_together(spark, some, ranges, policy, state, read)
         system.delete(made, True)
     fresh = [path for path, _ in fresh]
-    if not folders:
-        return Ledger(spark.createDataFrame([], COUNTS), fresh)
-    return Ledger(_to_segments(spark.read.schema(KEPT).parquet(*folders), segments, policy), fresh)
+    kept = spark.read.schema(KEPT).parquet(*folders) if folders else spark.createDataFrame([], KEPT)
+    return Ledger(kept, segments, policy, fresh)
 
 
 def ledger_report(ledger: Ledger, segments: DataFrame, policy: MatchPolicy) -> DataFrame:
